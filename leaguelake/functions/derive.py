@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # fixed values of the feed
 FINAL_STATUS = 3
@@ -15,10 +15,9 @@ LEADER_PATTERN = r"(?U)^(\w+)\s+(leads|wins)"
 
 def as_int(value: Column) -> Column:
     """Text to int; ``12.0`` becomes 12, a boolean 1 or 0, anything unreadable NULL."""
-    lowered = F.lower(value)
     return (
-        F.when(lowered == "true", F.lit(1))
-        .when(lowered == "false", F.lit(0))
+        F.when(value == "true", F.lit(1))
+        .when(value == "false", F.lit(0))
         .otherwise(value.try_cast("double").try_cast("int"))
     )
 
@@ -51,22 +50,30 @@ def home_code(game_code: Column) -> Column:
     return F.substring(F.nullif(F.split_part(game_code, F.lit("/"), F.lit(2)), F.lit("")), 4, 3)
 
 
-def series_wins(text: Column, home: Column, away: Column) -> tuple[Column, Column]:
-    """(home wins, away wins) read from a series label; (NULL, NULL) when it names no known standing.
+def with_series_wins(df: DataFrame, text: Column, home: Column, away: Column) -> DataFrame:
+    """Add ``home_series_wins`` and ``away_series_wins`` read from a series label.
 
-    A label without a leader is a tie, so both sides get the first number.
+    Both are NULL when the label names no known standing. A label without a leader is a tie, so both sides get
+    the first number. Each pattern is matched once per row: the parts are columns of their own before the
+    choice between them.
     """
-    first = F.regexp_extract(text, SCORE_PATTERN, 1).try_cast("int")
-    second = F.regexp_extract(text, SCORE_PATTERN, 2).try_cast("int")
-    leader = F.regexp_extract(text, LEADER_PATTERN, 1)
-    home_wins = F.when(leader == "", first).when(leader == home, first).when(leader == away, second)
-    away_wins = F.when(leader == "", first).when(leader == home, second).when(leader == away, first)
-    return home_wins, away_wins
-
-
-def playoff_series_wins(text: Column, home: Column, away: Column, kind: Column) -> tuple[Column, Column]:
-    home_wins, away_wins = series_wins(text, home, away)
-    return F.when(kind == "playoff", home_wins), F.when(kind == "playoff", away_wins)
+    parts = df.withColumns(
+        {
+            "_first": F.regexp_extract(text, SCORE_PATTERN, 1).try_cast("int"),
+            "_second": F.regexp_extract(text, SCORE_PATTERN, 2).try_cast("int"),
+            "_leader": F.regexp_extract(text, LEADER_PATTERN, 1),
+            "_home": home,
+            "_away": away,
+        }
+    )
+    first, second, leader = F.col("_first"), F.col("_second"), F.col("_leader")
+    tied, home_leads, away_leads = leader == "", leader == F.col("_home"), leader == F.col("_away")
+    return parts.withColumns(
+        {
+            "home_series_wins": F.when(tied | home_leads, first).when(away_leads, second),
+            "away_series_wins": F.when(tied, first).when(home_leads, second).when(away_leads, first),
+        }
+    ).drop("_first", "_second", "_leader", "_home", "_away")
 
 
 def is_final(status: Column) -> Column:

@@ -126,8 +126,8 @@ def plus_minus_context(player_facts: DataFrame, schedule: DataFrame, boxscores:
 def advanced_metrics(player_facts: DataFrame) -> DataFrame:
     """True shooting and usage share per player.
 
-    Usage is the player's share of the possessions his team used in the games he played, without the minutes
-    factor where minutes are unknown; team totals come from one aggregate per (game, side).
+    Usage is the share of team possessions a player used while on the floor, over the games in which the
+    player's minutes are known. Team totals come from one aggregate per (game, side).
     """
     used = F.col("fga") + FREE_THROW_WEIGHT * F.col("fta") + F.col("tov")
     minutes = derive.minutes_played(F.col("minutes"))

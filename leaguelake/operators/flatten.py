@@ -39,15 +39,12 @@ def project_schedule(games: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 def derive_schedule(projected: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Game type and series standing, then the fixed Silver layout (helpers dropped)."""
     typed = projected.withColumn("game_type", derive.game_type(F.col("game_id")))
-    home_wins, away_wins = derive.playoff_series_wins(
-        F.col("series_text"),
+    return derive.with_series_wins(
+        typed,
+        F.when(F.col("game_type") == "playoff", F.col("series_text")),
         derive.home_code(F.col("game_code")),
         derive.away_code(F.col("game_code")),
-        F.col("game_type"),
-    )
-    return typed.withColumns({"home_series_wins": home_wins, "away_series_wins": away_wins}).select(
-        *carry, *schemas.SILVER_SCHEDULE.fieldNames()
-    )
+    ).select(*carry, *schemas.SILVER_SCHEDULE.fieldNames())
 
 
 def silver_schedule(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -109,7 +106,7 @@ def silver_player_stats(documents: DataFrame, carry: Sequence[str] = ()) -> Data
             typed[name] = raw.try_cast("double")
         else:
             typed[name] = derive.as_int(raw)
-    played = player_entries(documents, carry).filter(F.lower(F.col("player.played")).isin("1", "true"))
+    played = player_entries(documents, carry).filter(F.col("player.played").isin("1", "true"))
     return played.select(
         *carry,
         "game_id",

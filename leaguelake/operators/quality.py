@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -50,25 +51,28 @@ def player_gates() -> list[Gate]:
     return [Gate("player_lines_not_empty", _any_rows(), policy="skip")]
 
 
-def gate_report(df: DataFrame, gates: list[Gate]) -> DataFrame:
-    """(gate, policy, passed) for every gate, from one aggregate over ``df``."""
-    measured = df.agg(*[F.coalesce(g.passed, F.lit(False)).alias(g.name) for g in gates])
+def gate_report(df: DataFrame, gates: list[Gate], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., gate, policy, passed) for every gate, from one aggregate over ``df``."""
+    measured = df.groupBy(*by).agg(*[F.coalesce(g.passed, F.lit(False)).alias(g.name) for g in gates])
     rows = F.array(
         *[
             F.struct(F.lit(g.name).alias("gate"), F.lit(g.policy).alias("policy"), F.col(g.name).alias("passed"))
             for g in gates
         ]
     )
-    return measured.select(F.inline(rows))
+    return measured.select(*by, F.inline(rows))
 
 
-def enforce(df: DataFrame, gates: list[Gate]) -> bool:
-    """True when the write may go on, False when it is to be skipped; raises GateFailed otherwise."""
-    results = gate_report(df, gates).collect()
-    failed = [r["gate"] for r in results if not r["passed"] and r["policy"] == "fail"]
-    if failed:
-        raise GateFailed(", ".join(failed))
-    return all(r["passed"] for r in results)
+def enforce(df: DataFrame, gates: list[Gate], by: Sequence[str] = ()) -> bool:
+    """True when the write may go on, False when it is to be skipped; raises GateFailed otherwise.
+
+    With ``by``, every group must pass; the error names the first failures.
+    """
+    failures = gate_report(df, gates, by).filter(~F.col("passed")).orderBy("policy", "gate", *by).limit(20).collect()
+    stopping = [r for r in failures if r["policy"] == "fail"]
+    if stopping:
+        raise GateFailed("; ".join(" ".join([r["gate"], *[f"{c}={r[c]}" for c in by]]) for r in stopping))
+    return not failures
 
 
 # contract name -> kind

@@ -70,17 +70,17 @@ def game_type(spark, sf_dir):
 
 @query
 def series_wins(spark, sf_dir):
-    games = bridge.games(spark, sf_dir)
-    home, away = derive.home_code(F.col("game_code")), derive.away_code(F.col("game_code"))
-    any_home, any_away = derive.series_wins(F.col("series_text"), home, away)
-    kind = derive.game_type(F.col("game_id"))
-    home_wins, away_wins = derive.playoff_series_wins(F.col("series_text"), home, away, kind)
-    return games.select(
+    games = bridge.games(spark, sf_dir).withColumn("game_type", derive.game_type(F.col("game_id")))
+    parsed = derive.with_series_wins(
+        games, F.col("series_text"), derive.home_code(F.col("game_code")), derive.away_code(F.col("game_code"))
+    )
+    playoff = F.col("game_type") == "playoff"
+    return parsed.select(
         "game_id",
-        any_home.alias("parsed_home_wins"),
-        any_away.alias("parsed_away_wins"),
-        home_wins.alias("home_series_wins"),
-        away_wins.alias("away_series_wins"),
+        F.col("home_series_wins").alias("parsed_home_wins"),
+        F.col("away_series_wins").alias("parsed_away_wins"),
+        F.when(playoff, F.col("home_series_wins")).alias("home_series_wins"),
+        F.when(playoff, F.col("away_series_wins")).alias("away_series_wins"),
     )
 
 

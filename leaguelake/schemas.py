@@ -14,6 +14,12 @@ def _struct(**fields) -> T.StructType:
 
 
 TEXT = T.StringType()
+INT = T.IntegerType()
+BIGINT = T.LongType()
+DOUBLE = T.DoubleType()
+BOOLEAN = T.BooleanType()
+DATE = T.DateType()
+INSTANT = T.TimestampNTZType()  # UTC, without zone
 
 _SCHEDULE_TEAM = _struct(teamName=TEXT, teamCity=TEXT)
 _SCHEDULE_GAME = _struct(
@@ -75,20 +81,20 @@ BOXSCORE_HEADER = _struct(
     game=_struct(gameId=TEXT, gameStatus=TEXT, homeTeam=_BOX_HEADER_TEAM, awayTeam=_BOX_HEADER_TEAM)
 )
 
-SILVER_SCHEDULE = T.StructType.fromDDL(
-    "game_id string, game_datetime_utc timestamp_ntz, game_status int, game_type string, "
-    "home_team_city string, home_team_name string, away_team_city string, away_team_name string, "
-    "us_broadcaster string, brazil_broadcaster string, home_series_wins int, away_series_wins int"
+SILVER_SCHEDULE = _struct(
+    game_id=TEXT, game_datetime_utc=INSTANT, game_status=INT, game_type=TEXT, home_team_city=TEXT,
+    home_team_name=TEXT, away_team_city=TEXT, away_team_name=TEXT, us_broadcaster=TEXT, brazil_broadcaster=TEXT,
+    home_series_wins=INT, away_series_wins=INT,
 )
-SILVER_BOXSCORES = T.StructType.fromDDL(
-    "game_id string, game_status int, away_team_city string, away_team_name string, away_score int, "
-    "home_team_city string, home_team_name string, home_score int, is_final boolean, winner string"
+SILVER_BOXSCORES = _struct(
+    game_id=TEXT, game_status=INT, away_team_city=TEXT, away_team_name=TEXT, away_score=INT,
+    home_team_city=TEXT, home_team_name=TEXT, home_score=INT, is_final=BOOLEAN, winner=TEXT,
 )
-SILVER_PLAYER_STATS = T.StructType.fromDDL(
-    "game_id string, team_id bigint, team_city string, team_name string, side string, player_id bigint, "
-    "player_name string, position string, starter int, minutes string, pts int, reb int, ast int, stl int, "
-    "blk int, tov int, plus_minus int, fgm int, fga int, fg_pct double, tpm int, tpa int, tp_pct double, "
-    "ftm int, fta int, ft_pct double, reb_off int, reb_def int"
+SILVER_PLAYER_STATS = _struct(
+    game_id=TEXT, team_id=BIGINT, team_city=TEXT, team_name=TEXT, side=TEXT, player_id=BIGINT, player_name=TEXT,
+    position=TEXT, starter=INT, minutes=TEXT, pts=INT, reb=INT, ast=INT, stl=INT, blk=INT, tov=INT,
+    plus_minus=INT, fgm=INT, fga=INT, fg_pct=DOUBLE, tpm=INT, tpa=INT, tp_pct=DOUBLE, ftm=INT, fta=INT,
+    ft_pct=DOUBLE, reb_off=INT, reb_def=INT,
 )
 
 # operational columns the Gold schedule carries on top of Silver: name -> (type, default)
@@ -96,5 +102,5 @@ GOLD_SCHEDULE_EXTRAS = {
     "poll_message_id": ("bigint", None),
     "is_cancelled": ("boolean", False),
 }
-GOLD_PLAYERS = T.StructType.fromDDL("player_id bigint, player_name string, position string")
-GOLD_LEDGER = T.StructType.fromDDL("sent_date date, channel string, created_at timestamp_ntz")
+DATES = _struct(dt=DATE)
+GOLD_LEDGER = _struct(sent_date=DATE, channel=TEXT)

@@ -8,13 +8,14 @@ without hints: Spark broadcasts a side only when its size statistics allow it.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
 from leaguelake.functions import derive
 from leaguelake.operators.flatten import derive_boxscore, derive_schedule
-from leaguelake.operators.ordered import paged
+from leaguelake.operators.ordered import number_rows, split_large_groups
 
 GAMES_PER_DOCUMENT = 64
 LINES_PER_DOCUMENT = 512
@@ -110,7 +111,7 @@ def snapshots(games: DataFrame) -> DataFrame:
 
 
 def _broadcasters(display: Column, shape: Column) -> Column:
-    """The feed's varying shapes: list of objects, list of texts, text, empty list."""
+    """JSON text in the feed's varying shapes: list of objects, list of texts, text, empty list."""
     entry = F.to_json(F.struct(display.alias("broadcasterDisplay")))
     as_text = lambda raw: F.concat(F.lit('"'), F.replace(raw, F.lit('"'), F.lit('\\"')), F.lit('"'))
     listed = lambda raw: F.concat(F.lit("["), raw, F.lit("]"))
@@ -120,7 +121,7 @@ def _broadcasters(display: Column, shape: Column) -> Column:
         .when(shape % 4 == 2, as_text(listed(entry)))
         .otherwise("[]")
     )
-    return F.parse_json(raw)
+    return raw
 
 
 def schedule_documents(games: DataFrame, *carry: str) -> DataFrame:
@@ -132,7 +133,7 @@ def schedule_documents(games: DataFrame, *carry: str) -> DataFrame:
     team = lambda side: F.struct(
         F.col(f"{side}_name").alias("teamName"), F.col(f"{side}_city").alias("teamCity")
     )
-    game = F.to_json(
+    plain = F.to_json(
         F.struct(
             F.col("game_id").alias("gameId"),
             F.date_format("game_datetime_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("gameDateTimeUTC"),
@@ -141,18 +142,26 @@ def schedule_documents(games: DataFrame, *carry: str) -> DataFrame:
             F.col("series_text").alias("seriesText"),
             team("home").alias("homeTeam"),
             team("away").alias("awayTeam"),
-            F.struct(
-                _broadcasters(F.col("us_broadcaster"), key).alias("nationalTvBroadcasters"),
-                _broadcasters(F.col("brazil_broadcaster"), key + 1).alias("intlTvBroadcasters"),
-            ).alias("broadcasters"),
         )
     )
-    block = F.floor(key / GAMES_PER_DOCUMENT).alias("block")
-    label = F.concat(F.date_format("dt", "MM/dd/yyyy"), F.lit(" 00:00:00")).alias("label")
+    game = F.concat(
+        F.rtrim(plain, F.lit("}")),
+        F.lit('},"broadcasters":{"nationalTvBroadcasters":'),
+        _broadcasters(F.col("us_broadcaster"), key),
+        F.lit(',"intlTvBroadcasters":'),
+        _broadcasters(F.col("brazil_broadcaster"), key + 1),
+        F.lit("}}"),
+    )
     joined = lambda column: F.array_join(F.collect_list(column), ",")
     days = (
-        games.select(*carry, block, label, game.alias("game"))
+        games.withColumn("block", F.floor(key / GAMES_PER_DOCUMENT))
         .repartition(*carry, "block")
+        .select(
+            *carry,
+            "block",
+            F.concat(F.date_format("dt", "MM/dd/yyyy"), F.lit(" 00:00:00")).alias("label"),
+            game.alias("game"),
+        )
         .groupBy(*carry, "block", "label")
         .agg(F.concat(F.lit('{"gameDate":"'), F.col("label"), F.lit('","games":['), joined("game"), F.lit("]}")).alias("day"))
     )
@@ -168,8 +177,12 @@ def silver_schedule(games: DataFrame, *carry: str) -> DataFrame:
     return derive_schedule(renamed, carry)
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Player lines: one row per line item with its game number, side and statistics."""
+def lines(spark: SparkSession, sf_dir: str, with_place: bool = False) -> DataFrame:
+    """Player lines: one row per line item with its game number, side and statistics.
+
+    ``with_place`` adds the row's place in its source file, which tells copies of one line apart.
+    """
+    place = [F.col("_metadata.file_path").alias("row_file"), F.col("_metadata.row_index").alias("row_index")]
     number, part, player = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     points = F.col("l_quantity").cast("int")
     clock = F.lpad((part % 60).cast("string"), 2, "0")
@@ -208,8 +221,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "N", "0").otherwise("1").alias("played"),
         F.when(number <= 2, 1).otherwise(0).alias("starter"),
         *[column.cast(kinds[name]).alias(name) for name, column in stat.items()],
-        F.col("_metadata.file_path").alias("row_file"),
-        F.col("_metadata.row_index").alias("row_index"),
+        *(place if with_place else []),
     )
 
 
@@ -271,47 +283,60 @@ def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     that repeat the header, so no task gathers all lines of one game.
     """
     base = lines(spark, sf_dir)
-    idle = F.when(F.col("played") == "0", "INACTIVE")
-    player = F.struct(
-        F.col("player_id").alias("personId"),
-        F.col("player_name").alias("name"),
-        "position",
-        F.col("starter").cast("string").alias("starter"),
-        "played",
-        idle.alias("notPlayingReason"),
-        F.struct(*[F.col(c).alias(f) for c, f in schemas.STATISTIC_FIELDS.items()]).alias("statistics"),
+    small, large = split_large_groups(
+        with_player_names(lines(spark, sf_dir, with_place=True), spark, sf_dir),
+        ["game_no"],
+        LINES_PER_DOCUMENT,
+        sizes_from=base,
     )
-    # the place in the source file makes the order total, so copies of one line can be split too
-    order = [F.col("player_id"), F.col("row_file"), F.col("row_index")]
-    listed = paged(
-        with_player_names(base, spark, sf_dir), ["game_no"], order, LINES_PER_DOCUMENT, sizes_from=base
-    ).groupBy("game_no", F.col("page").alias("part")).agg(
-        F.collect_list(F.when(F.col("side") == "home", player)).alias("home_players"),
-        F.collect_list(F.when(F.col("side") == "away", player)).alias("away_players"),
+    heads = games(spark, sf_dir).join(scores(base), "game_no")
+    built = []
+    if small is not None:
+        built.append(_boxscore_documents(small.withColumn("part", F.lit(0).cast("bigint")), heads, ["game_no"]))
+    if large is not None:
+        order = [F.col("player_id"), F.col("row_file"), F.col("row_index")]
+        numbered = number_rows(large, ["game_no"], order, "place")
+        parts = numbered.withColumn("part", F.floor((F.col("place") - 1) / LINES_PER_DOCUMENT).cast("bigint"))
+        built.append(_boxscore_documents(parts, heads, ["game_no", "part"]))
+    return reduce(DataFrame.unionByName, built)
+
+
+def _boxscore_documents(listed: DataFrame, heads: DataFrame, spread: list[str]) -> DataFrame:
+    """Documents of bounded length. Lines move once, to the task that also writes their document."""
+    idle = F.when(F.col("played") == "0", "INACTIVE")
+    player = F.to_json(
+        F.struct(
+            F.col("player_id").alias("personId"),
+            F.col("player_name").alias("name"),
+            "position",
+            F.col("starter").cast("string").alias("starter"),
+            "played",
+            idle.alias("notPlayingReason"),
+            F.struct(*[F.col(c).alias(f) for c, f in schemas.STATISTIC_FIELDS.items()]).alias("statistics"),
+        )
     )
-    team = lambda side: F.struct(
-        F.col(f"{side}_id").alias("teamId"), F.col(f"{side}_city").alias("teamCity"),
-        F.col(f"{side}_name").alias("teamName"), F.col(f"{side}_score").alias("score"),
-        F.col(f"{side}_players").alias("players"),
+    players = lambda side: F.array_join(F.collect_list(F.when(F.col("side") == side, F.col("player"))), ",")
+    grouped = (
+        listed.repartition(*spread)
+        .withColumn("player", player)
+        .groupBy("game_no", "part")
+        .agg(players("home").alias("home_players"), players("away").alias("away_players"))
     )
-    return (
-        listed.join(scores(base), "game_no")
-        .join(games(spark, sf_dir), "game_no")
-        .select(
-            "dt",
-            "part",
-            F.to_json(
-                F.struct(
-                    F.struct(
-                        F.col("game_id").alias("gameId"),
-                        F.col("game_status").alias("gameStatus"),
-                        team("home").alias("homeTeam"),
-                        team("away").alias("awayTeam"),
-                    ).alias("game")
-                )
-            ).alias("doc"),
+
+    def team(side: str) -> Column:
+        plain = F.to_json(
+            F.struct(
+                F.col(f"{side}_id").alias("teamId"), F.col(f"{side}_city").alias("teamCity"),
+                F.col(f"{side}_name").alias("teamName"), F.col(f"{side}_score").alias("score"),
+            )
         )
+        return F.concat(F.rtrim(plain, F.lit("}")), F.lit(',"players":['), F.col(f"{side}_players"), F.lit("]}"))
+
+    doc = F.concat(
+        F.lit('{"game":{"gameId":"'), F.col("game_id"), F.lit('","gameStatus":'), F.col("game_status"),
+        F.lit(',"homeTeam":'), team("home"), F.lit(',"awayTeam":'), team("away"), F.lit("}}"),
     )
+    return grouped.join(heads, "game_no").select("dt", "part", doc.alias("doc"))
 
 
 def landed_games(spark: SparkSession, sf_dir: str) -> DataFrame:
