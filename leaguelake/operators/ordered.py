@@ -7,15 +7,17 @@ fixed length. The results are exact; small groups take the plain path.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from leaguelake.session import working_root
 
 # a driver-side list of large groups stays below this many keys; with more, every group is numbered
 MAX_LISTED_GROUPS = 10_000
+# groups beyond this many rows are cut into blocks for windows
+BLOCK_ROWS = 100_000
 
 
 def _matches(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -99,14 +101,14 @@ def over_preceding(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[Column],
-    columns: dict[str, callable],
+    columns: dict[str, Callable[[WindowSpec], Column]],
     reach: int,
-    limit: int = 100_000,
+    limit: int | None = None,
 ) -> DataFrame:
     """Window columns that look back at most ``reach`` rows, for groups of any size.
 
-    ``columns`` maps a name to a function of the ordered window. Groups beyond ``limit`` rows are numbered and
-    cut into blocks of ``limit`` rows; each block also gets the last ``reach`` rows of the block before it, so
+    ``columns`` maps a name to a function of the ordered window. Groups beyond ``limit`` rows (BLOCK_ROWS when
+    not given) are numbered and cut into blocks of ``limit`` rows; each block also gets the last ``reach`` rows of the block before it, so
     every row sees exactly the rows a single window would show it.
     """
 
@@ -114,6 +116,7 @@ def over_preceding(
         window = Window.partitionBy(*keys).orderBy(*order)
         return frame.withColumns({name: build(window) for name, build in columns.items()})
 
+    limit = BLOCK_ROWS if limit is None else limit
     small, large = split_large_groups(df, group, limit)
     out = [*df.columns, *columns]
     parts = []
