@@ -35,15 +35,18 @@ def results_digest(
     zone: str = localtime.LOCAL_ZONE,
     day: dt.date | None = None,
     page_size: int = RESULTS_PER_PAGE,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """(local_date, page, n_games, body): the digest of each local date, games in time order.
 
     A date with up to ``page_size`` results is one message (page 0). A larger date becomes several messages of
-    that length, so no task ever gathers a whole date.
+    that length, so no task ever gathers a whole date. Dates are sized by the start times of ``sizes_from``,
+    by default of the schedule, which holds every game that can have a result.
     """
     results = final_results(schedule, boxscores, zone, day)
     order = [F.col("game_datetime_utc"), F.col("game_id")]
-    upper_bound = schedule.select(localtime.local_date(F.col("game_datetime_utc"), zone).alias("local_date"))
+    starts = schedule if sizes_from is None else sizes_from
+    upper_bound = starts.select(localtime.local_date(F.col("game_datetime_utc"), zone).alias("local_date"))
     lines = paged(
         results.select("local_date", "game_datetime_utc", "game_id", text.result_line(F.col("winner")).alias("line")),
         ["local_date"],

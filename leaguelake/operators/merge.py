@@ -129,7 +129,8 @@ def patch_column(target: DataFrame, patches: DataFrame, key: str, column: str) -
 
 def reserve_once(candidates: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Candidates not yet in the ledger, one row per key."""
-    return candidates.select(*keys).distinct().join(ledger.select(*keys), list(keys), "left_anti")
+    sent = ledger.select(*keys).distinct()
+    return candidates.select(*keys).distinct().join(sent, list(keys), "left_anti")
 
 
 def assert_schema(df: DataFrame, schema: StructType) -> None:

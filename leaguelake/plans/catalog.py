@@ -105,7 +105,8 @@ def wanted_manifest(spark, sf_dir):
 
 @query
 def completed_manifest(spark, sf_dir):
-    lists = manifest.grouped_manifest(manifest.completed_games(parsed_schedule(spark, sf_dir)))
+    games = manifest.completed_games(parsed_schedule(spark, sf_dir))
+    lists = manifest.grouped_manifest(games, sizes_from=bridge.game_keys(spark, sf_dir))
     return lists.select("dt", "page", F.array_join("game_ids", ",").alias("game_ids"))
 
 
@@ -318,15 +319,15 @@ def digest_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested documents to the result digest of every local date."""
     schedule = flatten.silver_schedule(parsed_schedule(spark, sf_dir))
     heads = parsed_boxscores(spark, sf_dir, schemas.BOXSCORE_HEADER).filter("part = 0")
-    return delivery.results_digest(schedule, flatten.silver_boxscores(heads), TITLE)
+    return delivery.results_digest(
+        schedule, flatten.silver_boxscores(heads), TITLE, sizes_from=bridge.game_keys(spark, sf_dir)
+    )
 
 
 @query
 def results_digest(spark, sf_dir):
-    games = bridge.games(spark, sf_dir)
-    return delivery.results_digest(
-        games.select("game_id", "game_datetime_utc"), bridge.silver_boxscores(spark, sf_dir, games), TITLE
-    )
+    boxes = bridge.silver_boxscores(spark, sf_dir, bridge.games(spark, sf_dir))
+    return delivery.results_digest(bridge.game_keys(spark, sf_dir), boxes, TITLE)
 
 
 @query

@@ -71,7 +71,7 @@ def read_sql(spark: SparkSession, text: str, args: Mapping[str, object], **views
 def latest_snapshot(df: DataFrame, version: str = "dt") -> DataFrame:
     """Rows of the newest snapshot."""
     newest = df.agg(F.max(version).alias(version))
-    return df.join(newest, version, "left_semi")
+    return df.join(F.broadcast(newest), version, "left_semi")  # one row
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -76,10 +77,15 @@ def completed_games(schedule: DataFrame) -> DataFrame:
     )
 
 
-def grouped_manifest(games: DataFrame, ids_per_page: int = IDS_PER_PAGE) -> DataFrame:
-    """(dt, page, game_ids): ids of each date as sorted lists of bounded length; ``page`` 0 alone is usual."""
+def grouped_manifest(
+    games: DataFrame, ids_per_page: int = IDS_PER_PAGE, sizes_from: DataFrame | None = None
+) -> DataFrame:
+    """(dt, page, game_ids): ids of each date as sorted lists of bounded length; ``page`` 0 alone is usual.
+
+    ``sizes_from`` may name a cheaper frame with at least as many rows per date (see ``ordered.paged``).
+    """
     return (
-        paged(games, ["dt"], [F.col("game_id")], ids_per_page)
+        paged(games, ["dt"], [F.col("game_id")], ids_per_page, sizes_from)
         .groupBy("dt", "page")
         .agg(F.array_sort(F.collect_list("game_id")).alias("game_ids"))
     )
@@ -92,18 +98,17 @@ def missing_games(wanted: DataFrame, landed: DataFrame) -> DataFrame:
 
 def pending_dates(bronze: DataFrame, boxscores: DataFrame, player_stats: DataFrame) -> DataFrame:
     """(dt, need_boxscores, need_players) for landed dates that a Silver table lacks."""
-    dates = bronze.select("dt").distinct()
-
-    def lacking(table: DataFrame, boxes: bool) -> DataFrame:
-        return dates.join(table.select("dt"), "dt", "left_anti").select(
-            "dt", F.lit(boxes).alias("need_boxscores"), F.lit(not boxes).alias("need_players")
-        )
-
+    flags = ("landed", "boxscores", "players")
+    seen = [
+        table.select("dt", *[F.lit(flag == own).alias(flag) for flag in flags])
+        for own, table in zip(flags, (bronze, boxscores, player_stats))
+    ]
     return (
-        lacking(boxscores, True)
-        .unionByName(lacking(player_stats, False))
+        reduce(DataFrame.unionByName, seen)
         .groupBy("dt")
-        .agg(F.max("need_boxscores").alias("need_boxscores"), F.max("need_players").alias("need_players"))
+        .agg(*[F.max(flag).alias(flag) for flag in flags])
+        .filter(F.col("landed") & ~(F.col("boxscores") & F.col("players")))
+        .select("dt", (~F.col("boxscores")).alias("need_boxscores"), (~F.col("players")).alias("need_players"))
     )
 
 
