@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from leaguelake import schemas
 from leaguelake.functions import derive
 from leaguelake.operators.quality import GateFailed, key_violations
-from leaguelake.session import scratch_path
+from leaguelake.session import held
 from leaguelake.sources.documents import read_table
 
 CLINCHING_WINS = 4  # fixed: wins that end a series
@@ -169,9 +169,7 @@ def upsert_partitions(
     because several steps read it; the merged partitions are staged as well, so no job reads the table it
     overwrites, and a rerun gives the same table.
     """
-    held = scratch_path(spark, "batch")
-    batch.write.parquet(held)
-    batch = spark.read.parquet(held)
+    batch = held(batch, "batch")
     if key_violations(batch, [key]).limit(1).count():
         raise GateFailed(f"batch repeats or lacks {key}")
     update = list(update) if update is not None else [c for c in batch.columns if c != key]
@@ -190,6 +188,5 @@ def upsert_partitions(
         if field.name not in table.columns:
             table = table.withColumn(field.name, F.lit(None).cast(field.dataType))
     touched = batch.select(partition).distinct()
-    staged = scratch_path(spark, "merge")
-    upsert(table.join(touched, partition, "left_semi"), batch, key, update, version).write.parquet(staged)
-    write_partitions(spark.read.parquet(staged), path, partition)
+    merged = upsert(table.join(touched, partition, "left_semi"), batch, key, update, version)
+    write_partitions(held(merged, "merge"), path, partition)

@@ -7,17 +7,20 @@ fixed length. The results are exact; small groups take the plain path.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from leaguelake.session import working_root
+from leaguelake.session import held
 
 # a driver-side list of large groups stays below this many keys; with more, every group is numbered
 MAX_LISTED_GROUPS = 10_000
 # groups beyond this many rows are cut into blocks for windows
 BLOCK_ROWS = 100_000
+# rows per slice of a range-partitioned sort
+SLICE_ROWS = 2_000_000
 
 
 def _matches(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -49,14 +52,16 @@ def split_large_groups(
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Exact 1-based row number within each group, with no task ever holding a whole group.
 
-    Rows are range-partitioned on (group, order) and written to a checkpoint, which fixes the slice each row is
-    in. A row's number is its place in its slice plus the rows the group has in earlier slices; those sums come
-    from one count per (slice, group).
+    ``order`` is to tell any two rows of a group apart. Rows are range-partitioned on (group, order) and written
+    out with the slice they fell into, which fixes it. A row's number is its place in its slice plus the rows
+    the group has in earlier slices; those sums come from one count per (slice, group). The number of slices
+    grows with the rows, so a slice fits in a task.
     """
-    working_root(df.sparkSession)
     group, order = list(group), list(order)
-    sliced = (
-        df.repartitionByRange(*group, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
+    rows = held(df, "rows")
+    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows.count() / SLICE_ROWS))
+    sliced = held(
+        rows.repartitionByRange(slices, *group, *order).withColumn("_slice", F.spark_partition_id()), "slices"
     )
     counts = sliced.groupBy("_slice", *group).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -249,12 +249,10 @@ def cancel_phantoms(spark, sf_dir):
 @query
 def patch_column(spark, sf_dir):
     keys = bridge.game_keys(spark, sf_dir)
-    number = F.col("game_no")
-    target = keys.select("game_id", F.when(number % 3 == 0, number * 10).alias("poll_message_id"))
-    patches = keys.filter(number % 5 == 0).select(
-        "game_id", F.when(number % 2 == 0, number + 1).alias("poll_message_id")
+    patches = keys.filter("priority = 5").select(
+        "game_id", F.when(F.col("game_status") == 1, F.col("game_no") + 1).alias("poll_message_id")
     )
-    return merge.patch_column(target, patches, "game_id", "poll_message_id")
+    return merge.patch_column(_open_polls(spark, sf_dir), patches, "game_id", "poll_message_id")
 
 
 # contracts
@@ -283,32 +281,39 @@ def contract_suite_gold(spark, sf_dir):
 
 @query
 def contract_suite(spark, sf_dir):
-    """All contracts over whole tables into which a violation of each kind was planted."""
-    number = F.col("game_no")
-    schedule = (
-        typed_games(spark, sf_dir)
-        .filter(number % 89 != 0)
-        .withColumn("game_type", F.when(number % 83 == 0, "exhibition").otherwise(F.col("game_type")))
+    """All contracts over whole tables with a planted violation of each kind. Rows are altered, none left out:
+    an altered key is missing on one side and unknown on the other."""
+    number, part = F.col("game_no"), F.col("part_id")
+    changed = lambda test, value, column: F.when(test, value).otherwise(F.col(column))
+    lost = lambda test: changed(test, F.concat(F.lit("X"), F.col("game_id")), "game_id")
+    schedule = typed_games(spark, sf_dir).withColumns(
+        {"game_id": lost(number % 89 == 0), "game_type": changed(number % 83 == 0, "exhibition", "game_type")}
     )
-    boxes = (
-        _gold_boxscores(spark, sf_dir)
-        .filter(number % 79 != 0)
-        .withColumn("home_score", F.when(number % 73 == 0, -F.col("home_score")).otherwise(F.col("home_score")))
-        .withColumn("winner", F.when(number % 71 == 0, "away").otherwise(F.col("winner")))
+    boxes = _gold_boxscores(spark, sf_dir).withColumns(
+        {
+            "game_id": lost(number % 79 == 0),
+            "home_score": changed(number % 73 == 0, -F.col("home_score"), "home_score"),
+            "winner": changed(number % 71 == 0, "away", "winner"),
+        }
     )
     ids = typed_games(spark, sf_dir).select("game_no", "game_id")
-    part = F.col("part_id")
     facts = (
         bridge.lines(spark, sf_dir)
         .filter("played = '1'")
-        .filter(number % 67 != 0)
         .join(ids, "game_no")
-        .withColumn("side", F.when((number + F.col("reb")) % 61 == 0, "bench").otherwise(F.col("side")))
-        .withColumn("fg_pct", F.when(part % 59 == 0, 1.5).otherwise(F.col("fg_pct")))
-        .withColumn("pts", F.when(part % 53 == 0, -F.col("pts")).otherwise(F.col("pts")))
-        .withColumn("fgm", F.when(part % 47 == 0, F.col("fga") + 1).otherwise(F.col("fgm")))
+        .withColumns(
+            {
+                "game_id": lost(number % 67 == 0),
+                "side": changed((number + F.col("reb")) % 61 == 0, "bench", "side"),
+                "fg_pct": changed(part % 59 == 0, 1.5, "fg_pct"),
+                "pts": changed(part % 53 == 0, -F.col("pts"), "pts"),
+                "fgm": changed(part % 47 == 0, F.col("fga") + 1, "fgm"),
+            }
+        )
+    )
+    players = bridge.player_names(spark, sf_dir).withColumn(
+        "player_id", changed(F.col("player_id") % 43 == 0, -1 - F.col("player_id"), "player_id")
     )
-    players = bridge.player_names(spark, sf_dir).filter(F.col("player_id") % 43 != 0)
     return quality.contract_suite(schedule, boxes, facts, players)
 
 

@@ -71,9 +71,11 @@ def build_silver_games(spark: SparkSession, lake: Lake, only_pending: bool = Tru
     boxes = flatten.silver_boxscores(for_boxes, ["dt"])
     if not boxes.isEmpty():
         quality.enforce(boxes, quality.boxscore_gates(), by=["dt"])
+        merge.assert_schema(boxes.drop("dt"), schemas.SILVER_BOXSCORES)
         merge.write_partitions(boxes, lake.silver("boxscores"))
     players = flatten.silver_player_stats(for_players, ["dt"])
     if quality.enforce(players, quality.player_gates()):
+        merge.assert_schema(players.drop("dt"), schemas.SILVER_PLAYER_STATS)
         merge.write_partitions(players, lake.silver("player_stats"))
 
 

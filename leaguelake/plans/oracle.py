@@ -17,7 +17,7 @@ CTES = {
     CAST(o_orderdate AS DATE) AS dt,
     o_orderdate + to_hours(CAST(o_orderkey % 24 AS BIGINT)) AS ts,
     CAST(CASE o_orderstatus WHEN 'F' THEN 3 WHEN 'P' THEN 2 WHEN 'O' THEN 1 END AS INTEGER) AS status,
-    CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority
+    CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority, o_totalprice < 5000 AS called_off
   FROM orders)""",
     "typed": f"""typed AS (SELECT *, {GAME_TYPE} AS game_type FROM keys)""",
     "teams": """teams AS (
@@ -91,7 +91,7 @@ CTES = {
     "first_day": """first_day AS (SELECT *, DATE '2026-01-01' AS snapshot FROM keys)""",
     "second_day": """second_day AS (
   SELECT * REPLACE (CAST(CASE WHEN status = 2 THEN 3 ELSE status END AS INTEGER) AS status), DATE '2026-01-02' AS snapshot
-  FROM keys WHERE k % 97 <> 0)""",
+  FROM keys WHERE NOT called_off)""",
     "newest": """newest AS (
   SELECT f.* REPLACE (COALESCE(s.status, f.status) AS status, COALESCE(s.snapshot, f.snapshot) AS snapshot)
   FROM first_day f LEFT JOIN second_day s ON f.k = s.k)""",
@@ -258,11 +258,12 @@ SELECT game_id, player_id, CAST(COUNT(*) AS BIGINT) AS n_rows FROM stats GROUP B
 , judged AS (
   SELECT s.game_id, s.k % 50 = 0 AS was,
     s.game_type = 'playoff' AND n.status <> 3
-      AND (s.k % 97 = 0 OR s.home_series_wins >= 4 OR s.away_series_wins >= 4) AS hit
+      AND (n.called_off OR s.home_series_wins >= 4 OR s.away_series_wins >= 4) AS hit
   FROM schedule s JOIN newest n ON s.k = n.k)
 SELECT game_id, was OR COALESCE(hit, FALSE) AS is_cancelled, NOT was AND COALESCE(hit, FALSE) AS newly_cancelled FROM judged"""),
     "patch_column": _with("keys", """
-SELECT game_id, CASE WHEN k % 5 = 0 THEN CASE WHEN k % 2 = 0 THEN k + 1 END WHEN k % 3 = 0 THEN k * 10 END AS poll_message_id
+SELECT game_id, ts AS game_datetime_utc,
+  CASE WHEN priority = 5 THEN CASE WHEN status = 1 THEN k + 1 END WHEN k % 3 = 0 THEN k * 10 END AS poll_message_id
 FROM keys"""),
     "contract_suite_gold": _contracts(
         "SELECT game_id, game_type, status AS game_status FROM typed",
@@ -271,15 +272,17 @@ FROM keys"""),
         "SELECT s_suppkey AS player_id FROM supplier",
     ),
     "contract_suite": _contracts(
-        "SELECT game_id, status AS game_status, CASE WHEN k % 83 = 0 THEN 'exhibition' ELSE game_type END AS game_type "
-        "FROM typed WHERE k % 89 <> 0",
-        "SELECT * REPLACE (CASE WHEN k % 73 = 0 THEN -home_score ELSE home_score END AS home_score, "
-        "CASE WHEN k % 71 = 0 THEN 'away' ELSE winner END AS winner) FROM boxes WHERE k % 79 <> 0",
-        "SELECT * REPLACE (CASE WHEN (k + reb) % 61 = 0 THEN 'bench' ELSE side END AS side, "
+        "SELECT CASE WHEN k % 89 = 0 THEN 'X' || game_id ELSE game_id END AS game_id, status AS game_status, "
+        "CASE WHEN k % 83 = 0 THEN 'exhibition' ELSE game_type END AS game_type FROM typed",
+        "SELECT * REPLACE (CASE WHEN k % 79 = 0 THEN 'X' || game_id ELSE game_id END AS game_id, "
+        "CASE WHEN k % 73 = 0 THEN -home_score ELSE home_score END AS home_score, "
+        "CASE WHEN k % 71 = 0 THEN 'away' ELSE winner END AS winner) FROM boxes",
+        "SELECT * REPLACE (CASE WHEN k % 67 = 0 THEN 'X' || game_id ELSE game_id END AS game_id, "
+        "CASE WHEN (k + reb) % 61 = 0 THEN 'bench' ELSE side END AS side, "
         "CASE WHEN part_id % 59 = 0 THEN 1.5 ELSE fg_pct END AS fg_pct, "
         "CASE WHEN part_id % 53 = 0 THEN -pts ELSE pts END AS pts, "
-        "CASE WHEN part_id % 47 = 0 THEN fga + 1 ELSE fgm END AS fgm) FROM stats WHERE k % 67 <> 0",
-        "SELECT s_suppkey AS player_id FROM supplier WHERE s_suppkey % 43 <> 0",
+        "CASE WHEN part_id % 47 = 0 THEN fga + 1 ELSE fgm END AS fgm) FROM stats",
+        "SELECT CASE WHEN s_suppkey % 43 = 0 THEN -1 - s_suppkey ELSE s_suppkey END AS player_id FROM supplier",
     ),
     "results_digest": DIGEST,
     "results_digest_documents": DIGEST,

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,3 +52,13 @@ def working_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared working folder."""
     return os.path.join(working_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def held(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` from a table written once to the shared folder.
+
+    Later steps read the files: they neither repeat the work nor depend on executors that may be lost.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

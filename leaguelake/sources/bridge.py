@@ -18,6 +18,7 @@ from leaguelake.operators.flatten import derive_boxscore, derive_schedule
 from leaguelake.operators.ordered import number_rows, split_large_groups
 
 TEAMS = 25
+CALLED_OFF_BELOW = 5000.0  # orders below this price are games the second snapshot no longer lists
 GAMES_PER_DOCUMENT = 64
 LINES_PER_DOCUMENT = 512
 FIRST_SNAPSHOT = dt.date(2026, 1, 1)
@@ -52,6 +53,7 @@ def game_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         _status(F.col("o_orderstatus")).alias("game_status"),
         F.col("o_custkey"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+        (F.col("o_totalprice") < CALLED_OFF_BELOW).alias("called_off"),
     )
 
 
@@ -103,12 +105,12 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshots(games: DataFrame) -> DataFrame:
-    """Two daily snapshots of the games in one pass: the second drops every 97th game and finishes those
-    that were under way."""
+    """Two daily snapshots of the games in one pass: the second no longer lists games that were called off and
+    finishes those that were under way."""
     both = games.withColumn("day_no", F.explode(F.array(F.lit(0), F.lit(1))))
     second = F.col("day_no") == 1
     return (
-        both.filter(~second | (F.col("game_no") % 97 != 0))
+        both.filter(~second | ~F.col("called_off"))
         .withColumn("game_status", F.when(second & (F.col("game_status") == 2), 3).otherwise(F.col("game_status")))
         .withColumn("snapshot", F.date_add(F.lit(FIRST_SNAPSHOT), F.col("day_no")))
         .drop("day_no")

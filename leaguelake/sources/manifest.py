@@ -131,3 +131,10 @@ def ingest_audit(wanted: DataFrame, landed: DataFrame, run_start: dt.datetime) -
         )
         .withColumn("none_landed", (F.col("wanted") > 0) & (F.col("landed") + F.col("skipped") == 0))
     )
+
+
+def require_landed(audit: DataFrame) -> None:
+    """Raise when games of some date were wanted and none of them landed."""
+    empty = audit.filter(F.col("none_landed") & F.col("dt").isNotNull()).select("dt").orderBy("dt").limit(20).collect()
+    if empty:
+        raise ValueError("no box score landed for " + ", ".join(str(r["dt"]) for r in empty))

@@ -82,6 +82,9 @@ def test_ingest_audit(spark):
     assert pairs(out, "dt", "wanted", "landed", "skipped", "failed", "none_landed") == [
         ("d1", 3, 1, 1, 1, False), ("d2", 1, 0, 0, 1, True), (None, 4, 1, 1, 2, False),
     ]
+    with pytest.raises(ValueError, match="d2"):
+        manifest.require_landed(out)
+    manifest.require_landed(manifest.ingest_audit(wanted.filter("dt = 'd1'"), landed, start))
 
 
 def candidates(spark, sizes):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from leaguelake import schemas
 from leaguelake.operators import delivery, flatten, merge, quality
-from leaguelake.plans import medallion
+from leaguelake.plans import medallion, messages
 from leaguelake.sources import documents
 from leaguelake.streaming import incremental
 
@@ -197,3 +197,23 @@ def test_closing_polls(spark):
     assert rows(at(50), "game_id", "is_due", "minutes_left") == [("a", True, None), ("c", False, 60.0)]
     cleared = merge.patch_column(games, delivery.closed_poll_patch(at(50)), "game_id", "poll_message_id")
     assert rows(cleared, "game_id", "poll_message_id") == [("a", None), ("b", None), ("c", 6)]
+
+
+def test_messages_go_out_once(spark, tmp_path):
+    land_all(tmp_path)
+    lake = medallion.Lake(str(tmp_path))
+    medallion.refresh(spark, lake)
+    day = dt.date(2026, 1, 1)
+    assert messages.results_to_send(spark, lake, "Resultados", day=dt.date(2020, 1, 1)).isEmpty()
+    assert [r.n_games for r in messages.results_to_send(spark, lake, "Resultados", day=day).collect()] == [4]
+    assert messages.results_to_send(spark, lake, "Resultados", day=day).isEmpty()
+    polls = messages.polls_to_send(spark, lake)
+    assert [r.game_id for r in polls.collect()] == [f"002250000{i}" for i in range(1, 5)]
+    assert messages.polls_to_send(spark, lake).isEmpty()
+    sent = polls.select("game_id", F.lit(5).cast("bigint").alias("poll_message_id")).filter("game_id < '0022500003'")
+    messages.record_polls(spark, lake, sent)
+    assert messages.close_polls(spark, lake, dt.datetime(2026, 1, 2, 0, 49)).isEmpty()
+    closed = messages.close_polls(spark, lake, dt.datetime(2026, 1, 2, 0, 50))
+    assert rows(closed, "game_id", "poll_message_id") == [("0022500001", 5), ("0022500002", 5)]
+    left = spark.read.parquet(lake.gold("schedule"))
+    assert left.filter("poll_message_id is not null").isEmpty() and left.count() == 6
