@@ -10,6 +10,13 @@ from pyspark.sql import Column, functions as F
 LOCAL_ZONE = "America/Sao_Paulo"
 
 
+def utc_literal(moment: dt.datetime) -> Column:
+    """A zone-free UTC literal; a moment without zone is read as UTC, whatever the session zone."""
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(moment.isoformat(" ")).cast("timestamp_ntz")
+
+
 def local_time(instant: Column, zone: str = LOCAL_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), instant)
 
@@ -33,7 +40,7 @@ def on_local_date(instant: Column, day: dt.date, zone: str = LOCAL_ZONE) -> Colu
     """Exact local-date test, with a plain range in front of it that reaches the Parquet scan."""
     low, high = utc_bounds(day, zone)
     return (
-        (instant >= F.lit(low).cast("timestamp_ntz"))
-        & (instant < F.lit(high).cast("timestamp_ntz"))
+        (instant >= utc_literal(low))
+        & (instant < utc_literal(high))
         & (local_date(instant, zone) == F.lit(day))
     )

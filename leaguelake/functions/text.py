@@ -18,7 +18,8 @@ def poll_header(day: Column) -> Column:
 def poll_question(local: Column, broadcaster: Column) -> Column:
     named = F.length(F.coalesce(broadcaster, F.lit(""))) > 0
     return F.concat(
-        F.date_format(local, "HH'h'mm"), F.when(named, F.concat(F.lit(" — "), broadcaster)).otherwise("")
+        F.format_string("%02dh%02d", F.hour(local), F.minute(local)),
+        F.when(named, F.concat(F.lit(" — "), broadcaster)).otherwise(""),
     )
 
 
@@ -34,8 +35,12 @@ def poll_options(kind: Column, home_wins: Column, away_wins: Column) -> tuple[Co
 
 
 def result_line(winner: Column) -> Column:
-    mark = lambda side: F.when(winner == side, WINNER_MARK).otherwise("")
-    score = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("-"))
+    def mark(side: str) -> Column:
+        return F.when(winner == side, WINNER_MARK).otherwise("")
+
+    def score(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit("-"))
+
     return F.concat(
         F.col("away_team_name"), mark("away"), F.lit(" *"), score("away_score"), F.lit("*  x  *"),
         score("home_score"), F.lit("* "), F.col("home_team_name"), mark("home"),

@@ -41,7 +41,7 @@ def player_form(player_facts: DataFrame, schedule: DataFrame, games: int = FORM_
         "delta_pts": lambda w: F.col("pts") - F.lag("pts").over(w),
     }
     order = [F.col("game_datetime_utc"), F.col("game_id")]
-    return over_preceding(lines, ["player_id"], order, columns, reach=games - 1).select(
+    return over_preceding(lines, ["player_id"], order, columns, reach=games - 1, sizes_from=player_facts).select(
         "player_id", "game_id", "game_datetime_utc", "pts", *columns
     )
 
@@ -73,9 +73,16 @@ def position_distribution(player_facts: DataFrame, players: DataFrame) -> DataFr
         .groupBy("position", "pts", "mins")
         .agg(F.sum("n").alias("n"))
     )
-    quartile = lambda p: F.percentile("pts", F.lit(p), F.col("n"))
-    present = lambda name: F.sum(F.when(F.col(name).isNotNull(), F.col("n")))
-    weighted = lambda name: F.sum(F.col(name) * F.col("n")) / present(name)
+
+    def quartile(p: float) -> Column:
+        return F.percentile("pts", F.lit(p), F.col("n"))
+
+    def present(name: str) -> Column:
+        return F.sum(F.when(F.col(name).isNotNull(), F.col("n")))
+
+    def weighted(name: str) -> Column:
+        return F.sum(F.col(name) * F.col("n")) / present(name)
+
     return histogram.groupBy("position").agg(
         F.sum("n").alias("n_lines"),
         F.coalesce(present("mins"), F.lit(0)).alias("n_timed"),

@@ -89,7 +89,7 @@ def due_polls(schedule: DataFrame, zone: str = localtime.LOCAL_ZONE, day: dt.dat
 
 def polls_to_close(schedule: DataFrame, now: dt.datetime) -> DataFrame:
     """(game_id, poll_message_id, close_at, is_due, minutes_left) of every open poll at the UTC time ``now``."""
-    moment = F.lit(now).cast("timestamp_ntz")
+    moment = localtime.utc_literal(now)
     close_at = F.col("game_datetime_utc") - F.make_dt_interval(mins=F.lit(CLOSE_BEFORE_MINUTES))
     return (
         schedule.filter(F.col("poll_message_id").isNotNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from leaguelake import schemas
 from leaguelake.functions import derive
@@ -77,7 +77,10 @@ def silver_boxscores(documents: DataFrame, carry: Sequence[str] = ()) -> DataFra
 
 def player_entries(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """One row per listed player of either side, from a single pass over the documents."""
-    side = lambda name, team: F.struct(F.lit(name).alias("side"), F.col(f"game.{team}").alias("team"))
+
+    def side(name: str, team: str) -> Column:
+        return F.struct(F.lit(name).alias("side"), F.col(f"game.{team}").alias("team"))
+
     sides = documents.select(
         *carry,
         F.col("game.gameId").alias("game_id"),
@@ -96,10 +99,10 @@ def player_entries(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame
 
 def silver_player_stats(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Lines of players who played, in the fixed Silver layout."""
-    statistic = lambda name, field: F.col(f"player.statistics.{field}")
+
     typed = {}
     for name, field in schemas.STATISTIC_FIELDS.items():
-        raw = statistic(name, field)
+        raw = F.col(f"player.statistics.{field}")
         if name == "minutes":
             typed[name] = raw
         elif name in schemas.PERCENTAGES:

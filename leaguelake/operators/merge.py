@@ -49,7 +49,7 @@ def player_facts(player_stats: DataFrame) -> DataFrame:
     )
     statistics = [c for c in ("starter", *schemas.STATISTIC_FIELDS) if c in facts.columns]
     order = [F.desc("dt"), F.desc("side"), *[F.col(c).asc_nulls_first() for c in statistics]]
-    return keep_first(facts, ["game_id", "player_id"], order)
+    return keep_first(facts, ["player_id", "game_id"], order)
 
 
 def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:

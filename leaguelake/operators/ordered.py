@@ -59,7 +59,8 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], na
     """
     group, order = list(group), list(order)
     rows = held(df, "rows")
-    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows.count() / SLICE_ROWS))
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(usual, math.ceil(rows.count() / SLICE_ROWS))
     sliced = held(
         rows.repartitionByRange(slices, *group, *order).withColumn("_slice", F.spark_partition_id()), "slices"
     )
@@ -109,20 +110,21 @@ def over_preceding(
     columns: dict[str, Callable[[WindowSpec], Column]],
     reach: int,
     limit: int | None = None,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Window columns that look back at most ``reach`` rows, for groups of any size.
 
     ``columns`` maps a name to a function of the ordered window. Groups beyond ``limit`` rows (BLOCK_ROWS when
-    not given) are numbered and cut into blocks of ``limit`` rows; each block also gets the last ``reach`` rows of the block before it, so
-    every row sees exactly the rows a single window would show it.
+    not given) are numbered and cut into blocks of ``limit`` rows; each block also gets the last ``reach`` rows
+    of the block before it, so every row sees exactly the rows a single window would show it.
     """
+    limit = max(BLOCK_ROWS if limit is None else limit, reach)
 
     def apply(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order)
         return frame.withColumns({name: build(window) for name, build in columns.items()})
 
-    limit = BLOCK_ROWS if limit is None else limit
-    small, large = split_large_groups(df, group, limit)
+    small, large = split_large_groups(df, group, limit, sizes_from)
     out = [*df.columns, *columns]
     parts = []
     if small is not None:

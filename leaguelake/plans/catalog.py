@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
 from leaguelake.functions import derive, localtime
 from leaguelake.operators import analytics, delivery, flatten, merge, quality
-from leaguelake.session import scratch_path
+from leaguelake.session import held, scratch_path
 from leaguelake.sources import bridge, documents, manifest
 from leaguelake.streaming import incremental
 
@@ -40,6 +40,11 @@ def gold_facts(spark: SparkSession, sf_dir: str, team_columns: bool = False) ->
     return merge.player_facts(bridge.silver_player_stats(spark, sf_dir, names=False, team_columns=team_columns))
 
 
+def stored_facts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Columns of the same facts as a stored table, for queries that read them more than once."""
+    return held(gold_facts(spark, sf_dir).select("game_id", "player_id", *columns), "facts")
+
+
 def gold_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.players_dimension(bridge.silver_player_stats(spark, sf_dir, team_columns=False))
 
@@ -170,13 +175,13 @@ def parameterised_read(spark, sf_dir):
     text = """
         SELECT :day AS run_date, game_id, game_type, game_status
         FROM {schedule}
-        WHERE game_datetime_utc >= :low AND game_datetime_utc < :high
+        WHERE game_datetime_utc >= CAST(:low AS TIMESTAMP_NTZ) AND game_datetime_utc < CAST(:high AS TIMESTAMP_NTZ)
           AND to_date(convert_timezone('UTC', :zone, game_datetime_utc)) = :day
           AND game_type NOT IN ('preseason') AND (game_status >= 1 OR game_status IS NULL)
     """
     reads = []
     for day in READ_DAYS:
-        low, high = localtime.utc_bounds(day)
+        low, high = (moment.isoformat(" ") for moment in localtime.utc_bounds(day))
         args = {"day": day, "zone": localtime.LOCAL_ZONE, "low": low, "high": high}
         reads.append(documents.read_sql(spark, text, args, schedule=schedule))
     return reads[0].unionByName(reads[1])
@@ -274,7 +279,9 @@ def contract_suite_gold(spark, sf_dir):
     return quality.contract_suite(
         typed_games(spark, sf_dir),
         _gold_boxscores(spark, sf_dir),
-        gold_facts(spark, sf_dir),
+        stored_facts(
+            spark, sf_dir, "side", "pts", "fgm", "fga", "tpm", "tpa", "ftm", "fta", "fg_pct", "tp_pct", "ft_pct"
+        ),
         bridge.player_names(spark, sf_dir),
     )
 
@@ -284,8 +291,13 @@ def contract_suite(spark, sf_dir):
     """All contracts over whole tables with a planted violation of each kind. Rows are altered, none left out:
     an altered key is missing on one side and unknown on the other."""
     number, part = F.col("game_no"), F.col("part_id")
-    changed = lambda test, value, column: F.when(test, value).otherwise(F.col(column))
-    lost = lambda test: changed(test, F.concat(F.lit("X"), F.col("game_id")), "game_id")
+
+    def changed(test: Column, value: object, column: str) -> Column:
+        return F.when(test, value).otherwise(F.col(column))
+
+    def lost(test: Column) -> Column:
+        return changed(test, F.concat(F.lit("X"), F.col("game_id")), "game_id")
+
     schedule = typed_games(spark, sf_dir).withColumns(
         {"game_id": lost(number % 89 == 0), "game_type": changed(number % 83 == 0, "exhibition", "game_type")}
     )
@@ -373,11 +385,13 @@ def outbox(spark, sf_dir):
     games = bridge.game_keys(spark, sf_dir).select(
         localtime.local_date(F.col("game_datetime_utc")).alias("sent_date"), "game_status"
     )
-    per_channel = lambda polls, results: (
-        games.filter(F.col("game_status").isin(polls)).select("sent_date", F.lit("polls").alias("channel"))
-        .unionByName(games.filter(F.col("game_status").isin(results)).select("sent_date", F.lit("results").alias("channel")))
-    )
-    return merge.reserve_once(per_channel([1, 2, 3], [3]), per_channel([1], [2]), ["sent_date", "channel"])
+
+    def dates(channel: str, *statuses: int) -> DataFrame:
+        return games.filter(F.col("game_status").isin(*statuses)).select("sent_date", F.lit(channel).alias("channel"))
+
+    wanted = dates("polls", 1, 2, 3).unionByName(dates("results", 3))
+    ledger = dates("polls", 1).unionByName(dates("results", 2))
+    return merge.reserve_once(wanted, ledger, ["sent_date", "channel"])
 
 
 # analytics
@@ -390,7 +404,7 @@ def leaders(spark, sf_dir):
 
 @query
 def player_form(spark, sf_dir):
-    return analytics.player_form(gold_facts(spark, sf_dir), bridge.game_keys(spark, sf_dir))
+    return analytics.player_form(stored_facts(spark, sf_dir, "pts"), bridge.game_keys(spark, sf_dir))
 
 
 @query
@@ -412,7 +426,9 @@ def plus_minus_context(spark, sf_dir):
 
 @query
 def advanced_metrics(spark, sf_dir):
-    return analytics.advanced_metrics(gold_facts(spark, sf_dir))
+    return analytics.advanced_metrics(
+        stored_facts(spark, sf_dir, "side", "pts", "fga", "fta", "tov", "minutes")
+    )
 
 
 # streaming

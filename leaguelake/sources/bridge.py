@@ -72,9 +72,10 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Games with both teams, game code, series label and broadcaster names."""
     sides = teams(spark, sf_dir)
-    side = lambda name: F.broadcast(
-        sides.select(*[F.col(c).alias(f"{name}_{c}") for c in sides.columns])
-    )
+
+    def side(name: str) -> DataFrame:
+        return F.broadcast(sides.select(*[F.col(c).alias(f"{name}_{c}") for c in sides.columns]))
+
     customers = load(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("home_id")
     )
@@ -120,8 +121,13 @@ def snapshots(games: DataFrame) -> DataFrame:
 def _broadcasters(display: Column, shape: Column) -> Column:
     """JSON text in the feed's varying shapes: list of objects, list of texts, text, empty list."""
     entry = F.to_json(F.struct(display.alias("broadcasterDisplay")))
-    as_text = lambda raw: F.concat(F.lit('"'), F.replace(raw, F.lit('"'), F.lit('\\"')), F.lit('"'))
-    listed = lambda raw: F.concat(F.lit("["), raw, F.lit("]"))
+
+    def as_text(raw: Column) -> Column:
+        return F.concat(F.lit('"'), F.replace(raw, F.lit('"'), F.lit('\\"')), F.lit('"'))
+
+    def listed(raw: Column) -> Column:
+        return F.concat(F.lit("["), raw, F.lit("]"))
+
     raw = (
         F.when(shape % 4 == 0, listed(entry))
         .when(shape % 4 == 1, listed(as_text(entry)))
@@ -137,13 +143,15 @@ def schedule_documents(games: DataFrame, *carry: str) -> DataFrame:
     Game numbers are unique, so a document is bounded; both groupings share one shuffle.
     """
     key = F.col("game_no")
-    team = lambda side: F.struct(
-        F.col(f"{side}_name").alias("teamName"), F.col(f"{side}_city").alias("teamCity")
-    )
+
+    def team(side: str) -> Column:
+        return F.struct(F.col(f"{side}_name").alias("teamName"), F.col(f"{side}_city").alias("teamCity"))
+
+    start = F.col("game_datetime_utc").cast("string")
     plain = F.to_json(
         F.struct(
             F.col("game_id").alias("gameId"),
-            F.date_format("game_datetime_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("gameDateTimeUTC"),
+            F.concat(F.translate(start, " ", "T"), F.lit("Z")).alias("gameDateTimeUTC"),
             F.col("game_status").alias("gameStatus"),
             F.col("game_code").alias("gameCode"),
             F.col("series_text").alias("seriesText"),
@@ -159,7 +167,10 @@ def schedule_documents(games: DataFrame, *carry: str) -> DataFrame:
         _broadcasters(F.col("brazil_broadcaster"), key + 1),
         F.lit("}}"),
     )
-    joined = lambda column: F.array_join(F.collect_list(column), ",")
+
+    def joined(column: str) -> Column:
+        return F.array_join(F.collect_list(column), ",")
+
     days = (
         games.withColumn("block", F.floor(key / GAMES_PER_DOCUMENT))
         .repartition(*carry, "block")
@@ -170,7 +181,11 @@ def schedule_documents(games: DataFrame, *carry: str) -> DataFrame:
             game.alias("game"),
         )
         .groupBy(*carry, "block", "label")
-        .agg(F.concat(F.lit('{"gameDate":"'), F.col("label"), F.lit('","games":['), joined("game"), F.lit("]}")).alias("day"))
+        .agg(
+            F.concat(
+                F.lit('{"gameDate":"'), F.col("label"), F.lit('","games":['), joined("game"), F.lit("]}")
+            ).alias("day")
+        )
     )
     return days.groupBy(*carry, "block").agg(
         F.concat(F.lit('{"leagueSchedule":{"gameDates":['), joined("day"), F.lit("]}}")).alias("doc")
@@ -239,7 +254,10 @@ def with_player_names(lines: DataFrame, spark: SparkSession, sf_dir: str) -> Dat
 
 def scores(lines: DataFrame) -> DataFrame:
     """(game_no, home_score, away_score); a side without lines has no score."""
-    side = lambda name: F.sum(F.when(F.col("side") == name, F.col("pts"))).cast("int")
+
+    def side(name: str) -> Column:
+        return F.sum(F.when(F.col("side") == name, F.col("pts"))).cast("int")
+
     return lines.groupBy("game_no").agg(side("home").alias("home_score"), side("away").alias("away_score"))
 
 
@@ -273,7 +291,11 @@ def silver_player_stats(
     if not team_columns:
         columns = [c for c in columns if not c.startswith("team_")]
         return played.join(game_keys(spark, sf_dir), "game_no").select("dt", *columns)
-    team = lambda column: F.when(F.col("side") == "home", F.col(f"home_{column}")).otherwise(F.col(f"away_{column}"))
+
+    def team(column: str) -> Column:
+        at_home = F.col("side") == "home"
+        return F.when(at_home, F.col(f"home_{column}")).otherwise(F.col(f"away_{column}"))
+
     return (
         played.join(games(spark, sf_dir), "game_no")
         .withColumns(
@@ -322,7 +344,10 @@ def _boxscore_documents(listed: DataFrame, heads: DataFrame, spread: list[str])
             F.struct(*[F.col(c).alias(f) for c, f in schemas.STATISTIC_FIELDS.items()]).alias("statistics"),
         )
     )
-    players = lambda side: F.array_join(F.collect_list(F.when(F.col("side") == side, F.col("player"))), ",")
+
+    def players(side: str) -> Column:
+        return F.array_join(F.collect_list(F.when(F.col("side") == side, F.col("player"))), ",")
+
     grouped = (
         listed.repartition(*spread)
         .withColumn("player", player)
@@ -353,5 +378,5 @@ def landed_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("l_orderkey").alias("game_no"))
         .agg(F.min("l_shipdate").alias("landed_at"))
     )
-    path = F.concat(F.lit("/boxscores/"), F.col("dt").cast("string"), F.lit("/boxscore_"), F.col("game_id"), F.lit(".json"))
+    path = F.format_string("/boxscores/%s/boxscore_%s.json", F.col("dt").cast("string"), F.col("game_id"))
     return game_keys(spark, sf_dir).join(shipped, "game_no").select("dt", path.alias("path"), "landed_at")

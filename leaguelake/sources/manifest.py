@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from leaguelake.functions import derive
+from leaguelake.functions import derive, localtime
 from leaguelake.operators.flatten import schedule_games
 from leaguelake.operators.ordered import paged
 
@@ -118,7 +118,7 @@ def ingest_audit(wanted: DataFrame, landed: DataFrame, run_start: dt.datetime) -
     ``landed`` holds one row per game with ``landed_at``; games already there when the run began are skipped,
     games that came since are landed, the others failed.
     """
-    start = F.lit(run_start).cast("timestamp_ntz")
+    start = localtime.utc_literal(run_start)
     at = F.col("landed_at")
     return (
         wanted.join(landed.select("game_id", "landed_at"), "game_id", "left")
@@ -135,6 +135,7 @@ def ingest_audit(wanted: DataFrame, landed: DataFrame, run_start: dt.datetime) -
 
 def require_landed(audit: DataFrame) -> None:
     """Raise when games of some date were wanted and none of them landed."""
-    empty = audit.filter(F.col("none_landed") & F.col("dt").isNotNull()).select("dt").orderBy("dt").limit(20).collect()
+    dates = audit.filter(F.col("none_landed") & F.col("dt").isNotNull()).select("dt")
+    empty = dates.orderBy("dt").limit(20).collect()
     if empty:
         raise ValueError("no box score landed for " + ", ".join(str(r["dt"]) for r in empty))

@@ -195,6 +195,8 @@ def test_closing_polls(spark):
     at = lambda minute: delivery.polls_to_close(games, dt.datetime(2026, 1, 1, 19, minute))
     assert rows(at(49), "game_id", "is_due", "minutes_left") == [("a", False, 1.0), ("c", False, 61.0)]
     assert rows(at(50), "game_id", "is_due", "minutes_left") == [("a", True, None), ("c", False, 60.0)]
+    aware = dt.datetime(2026, 1, 1, 16, 50, tzinfo=dt.timezone(dt.timedelta(hours=-3)))
+    assert rows(delivery.polls_to_close(games, aware).filter("is_due"), "game_id") == [("a",)]
     cleared = merge.patch_column(games, delivery.closed_poll_patch(at(50)), "game_id", "poll_message_id")
     assert rows(cleared, "game_id", "poll_message_id") == [("a", None), ("b", None), ("c", 6)]
 
