@@ -21,6 +21,13 @@ def local_time(instant: Column, zone: str = LOCAL_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), instant)
 
 
+def seconds_between(start: Column, end: Column) -> Column:
+    """Seconds from one zone-free timestamp to a later one; clock changes of the session zone play no part."""
+    gap = end - start
+    days, hours, minutes, seconds = (F.extract(F.lit(part), gap) for part in ("DAY", "HOUR", "MINUTE", "SECOND"))
+    return ((days.cast("bigint") * 24 + hours) * 60 + minutes) * 60 + seconds.cast("double")
+
+
 def local_date(instant: Column, zone: str = LOCAL_ZONE) -> Column:
     return F.to_date(local_time(instant, zone))
 

@@ -100,7 +100,7 @@ def polls_to_close(schedule: DataFrame, now: dt.datetime) -> DataFrame:
             "close_at",
             (moment >= F.col("close_at")).alias("is_due"),
             F.when(
-                moment < F.col("close_at"), F.timestamp_diff("SECOND", moment, F.col("close_at")) / 60
+                moment < F.col("close_at"), localtime.seconds_between(moment, F.col("close_at")) / 60
             ).alias("minutes_left"),
         )
     )

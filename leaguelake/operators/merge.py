@@ -28,15 +28,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFram
 
 
 def players_dimension(player_stats: DataFrame) -> DataFrame:
-    """One row per player: newest date, home line before away line, then game id."""
-    columns = ["player_id", "player_name", "position"]
+    """One row per player with the date it comes from: newest date, home line before away line, then game id."""
+    columns = ["player_id", "player_name", "position", "dt"]
     order = [
         F.desc("dt"), F.desc("side"), F.col("game_id"),
         F.col("player_name").asc_nulls_first(), F.col("position").asc_nulls_first(),
     ]
-    return keep_first(player_stats.select(*columns, "dt", "side", "game_id"), ["player_id"], order).select(
-        *columns
-    )
+    return keep_first(player_stats.select(*columns, "side", "game_id"), ["player_id"], order).select(*columns)
 
 
 def player_facts(player_stats: DataFrame) -> DataFrame:
@@ -163,11 +161,12 @@ def upsert_partitions(
     partition: str = "dt",
     version: str | None = None,
 ) -> None:
-    """Keyed merge into a stored table, rewriting only the partitions the batch holds.
+    """Keyed merge into a stored table, rewriting only the partitions that hold keys of the batch.
 
-    A key keeps its partition for life: a batch that would move one is refused. The batch is written out once
-    because several steps read it; the merged partitions are staged as well, so no job reads the table it
-    overwrites, and a rerun gives the same table.
+    A key that comes with another partition value moves there. A move that would leave a partition empty is
+    refused, since such a partition would not be rewritten. The batch is written out once because several steps
+    read it; the merged partitions are staged as well, so no job reads the table it overwrites, and a rerun
+    gives the same table.
     """
     batch = held(batch, "batch")
     if key_violations(batch, [key]).limit(1).count():
@@ -177,16 +176,13 @@ def upsert_partitions(
     if table is None:
         write_partitions(batch, path, partition)
         return
-    moved = table.select(key, partition).alias("t").join(
-        batch.select(key, partition).alias("b"),
-        (F.col(f"t.{key}") == F.col(f"b.{key}")) & (F.col(f"t.{partition}") != F.col(f"b.{partition}")),
-        "left_semi",
+    table = add_missing(
+        table, {field.name: (field.dataType.simpleString(), None) for field in batch.schema.fields}
     )
-    if moved.limit(1).count():
-        raise GateFailed(f"batch moves a {key} to another {partition}")
-    for field in batch.schema.fields:
-        if field.name not in table.columns:
-            table = table.withColumn(field.name, F.lit(None).cast(field.dataType))
-    touched = batch.select(partition).distinct()
-    merged = upsert(table.join(touched, partition, "left_semi"), batch, key, update, version)
-    write_partitions(held(merged, "merge"), path, partition)
+    stored = table.select(key, partition).join(batch.select(key), key, "left_semi").select(partition)
+    touched = stored.unionByName(batch.select(partition)).distinct()
+    merged = held(upsert(table.join(touched, partition, "left_semi"), batch, key, update, version), "merge")
+    emptied = stored.distinct().join(merged.select(partition).distinct(), partition, "left_anti")
+    if emptied.limit(1).count():
+        raise GateFailed(f"batch would empty a {partition} of the table")
+    write_partitions(merged, path, partition)

@@ -192,7 +192,7 @@ def parameterised_read(spark, sf_dir):
 
 @query
 def dim_players(spark, sf_dir):
-    return gold_players(spark, sf_dir)
+    return gold_players(spark, sf_dir).drop("dt")
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from dataclasses import dataclass
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
 from leaguelake.operators import flatten, merge, quality
+from leaguelake.session import held
 from leaguelake.sources import documents, manifest
 
 PLAYER_BUCKETS = 64
@@ -28,9 +30,8 @@ class Lake:
     def bronze_schedule(self) -> str:
         return self.path("bronze", "schedule", "*", "*.json")
 
-    @property
-    def bronze_boxscores(self) -> str:
-        return self.path("bronze", "boxscores", "*", "*.json")
+    def bronze_boxscores(self, day: str = "*") -> str:
+        return self.path("bronze", "boxscores", day, "*.json")
 
     def silver(self, table: str) -> str:
         return self.path("silver", table)
@@ -39,20 +40,21 @@ class Lake:
         return self.path("gold", table)
 
 
-def _pending(spark: SparkSession, lake: Lake, landed: DataFrame) -> DataFrame:
-    """Landed dates that a box score or player table lacks, with a flag per table."""
+def pending(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Landed dates that the box score or player table lacks, with a flag per table."""
 
     def dates(table: str) -> DataFrame:
         stored = documents.read_table(spark, lake.silver(table))
         return stored.select("dt") if stored is not None else merge.empty_table(spark, schemas.DATES)
 
+    landed = documents.landed_files(spark, lake.bronze_boxscores())
     return manifest.pending_dates(landed, dates("boxscores"), dates("player_stats"))
 
 
 def build_silver_schedule(spark: SparkSession, lake: Lake) -> None:
-    """Every schedule snapshot, one partition per snapshot date, gated by date."""
+    """Every schedule snapshot, one partition per snapshot date, gated by date. The files are parsed once."""
     landed = documents.read_documents(spark, lake.bronze_schedule, schemas.SCHEDULE_DOCUMENT, lake.multi_line)
-    games = flatten.schedule_games(landed, ["dt"])
+    games = flatten.schedule_games(held(landed, "schedules"), ["dt"])
     quality.enforce(
         games.select("dt", F.col("game.gameId").alias("game_id")), quality.schedule_gates(), by=["dt"]
     )
@@ -60,41 +62,56 @@ def build_silver_schedule(spark: SparkSession, lake: Lake) -> None:
     merge.write_partitions(silver, lake.silver("schedule"))
 
 
-def build_silver_games(spark: SparkSession, lake: Lake, only_pending: bool = True) -> None:
-    """Box scores and player lines of the pending dates (or of all)."""
-    landed = documents.read_documents(spark, lake.bronze_boxscores, schemas.BOXSCORE_DOCUMENT, lake.multi_line)
-    for_boxes = for_players = landed
-    if only_pending:
-        pending = _pending(spark, lake, landed)
-        for_boxes = landed.join(pending.filter("need_boxscores").select("dt"), "dt", "left_semi")
-        for_players = landed.join(pending.filter("need_players").select("dt"), "dt", "left_semi")
-    boxes = flatten.silver_boxscores(for_boxes, ["dt"])
-    if not boxes.isEmpty():
+def build_silver_games(spark: SparkSession, lake: Lake) -> None:
+    """Box scores and player lines of the pending dates. Only their files are read, and each is parsed once."""
+    # at most one row per calendar day
+    todo = pending(spark, lake).orderBy("dt").collect()
+    if not todo:
+        return
+    paths = [lake.bronze_boxscores(str(row["dt"])) for row in todo]
+    landed = held(
+        documents.read_documents(spark, paths, schemas.BOXSCORE_DOCUMENT, lake.multi_line), "boxscores"
+    )
+
+    def of_dates(flag: str) -> DataFrame:
+        return landed.filter(F.col("dt").isin([row["dt"] for row in todo if row[flag]]))
+
+    if any(row["need_boxscores"] for row in todo):
+        boxes = flatten.silver_boxscores(of_dates("need_boxscores"), ["dt"])
+        quality.enforce(boxes, quality.boxscore_gates())
         quality.enforce(boxes, quality.boxscore_gates(), by=["dt"])
         merge.assert_schema(boxes.drop("dt"), schemas.SILVER_BOXSCORES)
         merge.write_partitions(boxes, lake.silver("boxscores"))
-    players = flatten.silver_player_stats(for_players, ["dt"])
+    players = flatten.silver_player_stats(of_dates("need_players"), ["dt"])
     if quality.enforce(players, quality.player_gates()):
         merge.assert_schema(players.drop("dt"), schemas.SILVER_PLAYER_STATS)
         merge.write_partitions(players, lake.silver("player_stats"))
 
 
-def load_gold(spark: SparkSession, lake: Lake) -> None:
-    """Merge all Silver dates into the star schema; the newest date of a key wins."""
-    schedule = documents.read_table(spark, lake.silver("schedule"))
+def load_gold(spark: SparkSession, lake: Lake, since: dt.date | None = None) -> None:
+    """Merge Silver into the star schema; the newest date of a key wins.
+
+    Without ``since`` all dates are replayed. With it only dates from then on are read, and rows older than the
+    stored ones change nothing.
+    """
+
+    def silver(table: str) -> DataFrame | None:
+        stored = documents.read_table(spark, lake.silver(table))
+        return stored if stored is None or since is None else stored.filter(F.col("dt") >= F.lit(since))
+
+    schedule, boxes, lines = silver("schedule"), silver("boxscores"), silver("player_stats")
     if schedule is not None:
         _load_schedule(spark, lake, schedule.withColumnRenamed("dt", "snapshot"))
-    boxes = documents.read_table(spark, lake.silver("boxscores"))
     if boxes is not None:
         newest = merge.latest_per_key(boxes, ["game_id"], "dt")
-        merge.upsert_partitions(spark, lake.gold("boxscores"), newest, "game_id")
-    lines = documents.read_table(spark, lake.silver("player_stats"))
+        merge.upsert_partitions(spark, lake.gold("boxscores"), newest, "game_id", version="dt")
     if lines is not None:
-        players = merge.players_dimension(lines).withColumn(
-            "bucket", F.pmod(F.col("player_id"), F.lit(PLAYER_BUCKETS)).cast("int")
+        bucket = F.pmod(F.col("player_id"), F.lit(PLAYER_BUCKETS)).cast("int")
+        players = merge.players_dimension(lines).withColumn("bucket", bucket)
+        merge.upsert_partitions(
+            spark, lake.gold("players"), players, "player_id", partition="bucket", version="dt"
         )
-        merge.upsert_partitions(spark, lake.gold("players"), players, "player_id", partition="bucket")
-        merge.upsert_partitions(spark, lake.gold("player_stats"), merge.player_facts(lines), "pk")
+        merge.upsert_partitions(spark, lake.gold("player_stats"), merge.player_facts(lines), "pk", version="dt")
 
 
 def _load_schedule(spark: SparkSession, lake: Lake, snapshots: DataFrame) -> None:
@@ -118,9 +135,9 @@ def check_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     return quality.contract_suite(*tables)
 
 
-def refresh(spark: SparkSession, lake: Lake) -> DataFrame:
-    """The whole way for whatever has landed; returns the contract report."""
+def refresh(spark: SparkSession, lake: Lake, since: dt.date | None = None) -> DataFrame:
+    """The whole way for whatever has landed; returns the contract report. ``since`` as in ``load_gold``."""
     build_silver_schedule(spark, lake)
     build_silver_games(spark, lake)
-    load_gold(spark, lake)
+    load_gold(spark, lake, since)
     return check_gold(spark, lake)

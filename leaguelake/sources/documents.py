@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 # landed files lie at <root>/<yyyy-MM-dd>/<file>.json
@@ -31,11 +31,20 @@ def read_documents(
     )
 
 
-def path_date(path):
+def landed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, dt, landed_at) of the files at ``paths``, from the listing alone: no file is opened."""
+    return spark.read.format("binaryFile").load(paths).select(
+        "path", path_date(F.col("path")).alias("dt"), F.col("modificationTime").alias("landed_at")
+    )
+
+
+def path_date(path: Column) -> Column:
+    """Landing date in a file path."""
     return F.regexp_extract(path, DATE_IN_PATH, 1).try_cast("date")
 
 
-def path_game_id(path):
+def path_game_id(path: Column) -> Column:
+    """Game id in the name of a box score file."""
     return F.nullif(F.regexp_extract(path, GAME_ID_IN_PATH, 1), F.lit(""))
 
 

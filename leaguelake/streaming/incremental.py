@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
 from leaguelake.operators import flatten, merge, quality
+from leaguelake.session import held
 from leaguelake.sources.documents import path_date
 
 
@@ -50,7 +51,7 @@ def follow_boxscores(
     )
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        session = batch.sparkSession
+        session, batch = batch.sparkSession, held(batch, "documents")
         boxes = merge.keep_first(
             flatten.silver_boxscores(batch, ["dt"]), ["game_id"], [F.desc("dt"), F.desc_nulls_last("game_status")]
         )

@@ -78,13 +78,30 @@ def test_refresh_again_keeps_operational_columns(spark, lake):
     assert after.count() == 6
 
 
-def test_only_pending_dates_are_processed(spark, lake, tmp_path):
-    landed = documents.read_documents(spark, lake.bronze_boxscores, schemas.BOXSCORE_DOCUMENT)
-    assert medallion._pending(spark, lake, landed).isEmpty()
-    fresh = medallion.Lake(str(tmp_path))
-    assert rows(medallion._pending(spark, fresh, landed), "dt", "need_boxscores", "need_players") == [
-        (dt.date(2026, 1, 1), True, True)
+def test_only_pending_dates_are_processed(spark, tmp_path):
+    land_all(tmp_path)
+    lake = medallion.Lake(str(tmp_path))
+    first, second = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    assert rows(medallion.pending(spark, lake), "dt", "need_boxscores", "need_players") == [(first, True, True)]
+    medallion.refresh(spark, lake)
+    assert medallion.pending(spark, lake).isEmpty()
+    land(tmp_path / "bronze/boxscores/2026-01-02/boxscore_0022500004.json", boxscore("0022500004", home_score=120))
+    land(tmp_path / "bronze/boxscores/2026-01-02/boxscore_0022500001.json", boxscore("0022500001", home=(1, 3)))
+    assert rows(medallion.pending(spark, lake), "dt") == [(second,)]
+    medallion.refresh(spark, lake, since=second)
+    gold = spark.read.parquet(lake.gold("boxscores"))
+    assert rows(gold.filter("dt = '2026-01-02'"), "game_id", "home_score") == [
+        ("0022500001", 101), ("0022500004", 120),
     ]
+    assert gold.count() == 4
+
+
+def test_dates_without_players_stay_pending(spark, tmp_path):
+    land(tmp_path / "bronze/boxscores/2026-01-01/boxscore_0022500001.json", boxscore("0022500001", home=(), away=()))
+    lake = medallion.Lake(str(tmp_path))
+    medallion.build_silver_games(spark, lake)
+    assert spark.read.parquet(lake.silver("boxscores")).count() == 1
+    assert rows(medallion.pending(spark, lake), "need_boxscores", "need_players") == [(False, True)]
 
 
 def test_bad_schedule_stops_before_the_write(spark, tmp_path):
@@ -132,7 +149,7 @@ def test_played_flag_of_any_type(spark, tmp_path):
 
 
 def test_boxscore_documents_are_scanned_once_for_both_sides(spark, lake):
-    docs = documents.read_documents(spark, lake.bronze_boxscores, schemas.BOXSCORE_DOCUMENT)
+    docs = documents.read_documents(spark, lake.bronze_boxscores(), schemas.BOXSCORE_DOCUMENT)
     plan = flatten.silver_player_stats(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan json") == 1
 

@@ -161,14 +161,23 @@ def test_upsert_partitions(spark):
         assert rows(table, "k", "v", "extra") == [("a", 5, "n"), ("b", 2, None), ("c", 3, "n")]
 
 
-def test_upsert_partitions_refuses_repeated_keys_and_moves(spark):
-    path = scratch_path(spark, "t")
-    kind = "k string, v int, part string"
+def test_upsert_partitions_refuses_repeated_keys(spark):
+    batch = spark.createDataFrame([("a", 1, "p"), ("a", 2, "p")], "k string, v int, part string")
     with pytest.raises(quality.GateFailed):
-        merge.upsert_partitions(spark, path, spark.createDataFrame([("a", 1, "p"), ("a", 2, "p")], kind), "k", partition="part")
-    merge.upsert_partitions(spark, path, spark.createDataFrame([("a", 1, "p")], kind), "k", partition="part")
+        merge.upsert_partitions(spark, scratch_path(spark, "t"), batch, "k", partition="part")
+
+
+def test_upsert_partitions_moves_keys(spark):
+    path, kind = scratch_path(spark, "t"), "k string, v int, part string"
+
+    def load(*values):
+        merge.upsert_partitions(spark, path, spark.createDataFrame(list(values), kind), "k", partition="part")
+
+    load(("a", 1, "p"), ("b", 2, "p"), ("c", 3, "q"))
+    load(("a", 5, "q"))
+    assert rows(spark.read.parquet(path), "k", "v", "part") == [("a", 5, "q"), ("b", 2, "p"), ("c", 3, "q")]
     with pytest.raises(quality.GateFailed):
-        merge.upsert_partitions(spark, path, spark.createDataFrame([("a", 1, "q")], kind), "k", partition="part")
+        load(("b", 9, "q"))
 
 
 def test_assert_schema(spark):
