@@ -26,8 +26,8 @@ class Gate:
     policy: str = "fail"
 
 
-def _any_rows() -> Column:
-    return F.count(F.lit(1)) > 0
+def not_empty(table: str, policy: str = "fail") -> Gate:
+    return Gate(f"{table}_not_empty", F.count(F.lit(1)) > 0, policy)
 
 
 def schedule_gates() -> list[Gate]:
@@ -42,13 +42,13 @@ def schedule_gates() -> list[Gate]:
 
 def boxscore_gates() -> list[Gate]:
     return [
-        Gate("boxscores_not_empty", _any_rows()),
+        not_empty("boxscores"),
         Gate("boxscore_scores", F.count_if((F.col("away_score") < 0) | (F.col("home_score") < 0)) == 0),
     ]
 
 
 def player_gates() -> list[Gate]:
-    return [Gate("player_lines_not_empty", _any_rows(), policy="skip")]
+    return [not_empty("player_lines", policy="skip")]
 
 
 def gate_report(df: DataFrame, gates: list[Gate], by: Sequence[str] = ()) -> DataFrame:

@@ -78,7 +78,7 @@ def build_silver_games(spark: SparkSession, lake: Lake) -> None:
 
     if any(row["need_boxscores"] for row in todo):
         boxes = flatten.silver_boxscores(of_dates("need_boxscores"), ["dt"])
-        quality.enforce(boxes, quality.boxscore_gates())
+        quality.enforce(boxes, [quality.not_empty("boxscores")])
         quality.enforce(boxes, quality.boxscore_gates(), by=["dt"])
         merge.assert_schema(boxes.drop("dt"), schemas.SILVER_BOXSCORES)
         merge.write_partitions(boxes, lake.silver("boxscores"))
