@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leaguelake.llm import line_dedup, quality_rules
+from leaguelake.llm import line_dedup, quality_rules, simhash_dedup, template_decontamination
 from leaguelake.llm.common import table
+from leaguelake.llm.packing import pack
 from leaguelake.session import scratch_path
 
 
@@ -25,9 +26,30 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.filter(~emptied).select(*[changed[c].alias(c) if c in changed else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each component of similar fingerprints."""
+    return simhash_dedup.first_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return template_decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bucket, batch and place of every document that is left."""
+    return pack(docs)
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality), ("line dedup", lines)]
-# a Kneser-Ney model, connected components and bucket boundaries have no SQL form; tested against brute force
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("packing", packing),
+]
+# a smoothed model, connected components and chosen bucket boundaries have no SQL form; tested against brute force
 ORACLE_SQL: str | None = None
 
 

@@ -54,10 +54,3 @@ def starts_of(counts: Sequence[int]) -> np.ndarray:
     np.cumsum(counts, out=out[1:])
     return out
 
-
-def log_grid(value: int, detail: int) -> int:
-    """The least grid value not below ``value``; the grid has ``detail`` steps for each doubling."""
-    if value <= detail:
-        return int(value)
-    step = 1 << max(0, (int(value) - 1).bit_length() - 1 - (detail.bit_length() - 1))
-    return -(-int(value) // step) * step

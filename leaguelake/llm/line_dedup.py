@@ -42,19 +42,18 @@ def _tokens(line: str) -> Column:
     return F.split(masked, r"\s+")
 
 
+def _long_enough(min_tokens: int) -> Column:
+    return F.col("line").rlike(r"\S(?:\s+\S+){%d}" % (min_tokens - 1))
+
+
 def templates(lines: DataFrame, min_tokens: int, leading: int, min_constant: float) -> DataFrame:
-    """(line_hash, template) of different lines; lines below ``min_tokens`` tokens are left out."""
-    parsed = (
-        lines.select("line", _tokens("line").alias("tokens"))
-        .filter(F.size("tokens") >= min_tokens)
-        .select(
-            F.xxhash64("line").alias("line_hash"),
-            F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading)).alias("leaf"),
-            "tokens",
-        )
-    )
+    """(line_hash, template) of the different lines in leaves with several of them."""
+    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading))
+    # the leaf goes along from the start, so a line is parsed before the shuffle and again only in a crowded leaf
+    parsed = lines.filter(_long_enough(min_tokens)).withColumn("tokens", _tokens("line")).select("line", leaf.alias("leaf")).distinct()
     crowded = parsed.groupBy("leaf").agg(F.count(F.lit(1)).alias("lines")).filter("lines > 1").select("leaf")
-    alike = held(parsed.join(crowded, "leaf", "left_semi"), "alike")
+    alike = held(parsed.join(crowded.hint("shuffle_hash"), "leaf", "left_semi"), "alike")
+    alike = alike.select(F.xxhash64("line").alias("line_hash"), "leaf", _tokens("line").alias("tokens"))
     consensus = (
         alike.select("leaf", F.posexplode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("at", "token"))
         .groupBy("leaf", "at", "token")
@@ -92,23 +91,24 @@ def dropped_lines(
     lines = _lines(keyed)
     named = held(templates(lines.select("line").distinct(), min_tokens, leading, min_constant), "templates")
     # a line of a crowded leaf goes by its template, any other by itself
-    long_enough = F.size(F.split("line", r"\s+", min_tokens + 1)) >= min_tokens
     spots = held(
-        lines.filter(long_enough).select("key", "order_id", "place", F.xxhash64("line").alias("line_hash")).distinct()
+        lines.filter(_long_enough(min_tokens))
+        .select("key", "order_id", "place", F.xxhash64("line").alias("line_hash"))
         .join(named, "line_hash", "left")
         .select("key", "order_id", "place", F.coalesce("template", "line_hash").alias("template")),
         "spots",
     )
     first = F.struct(F.col("order_id").isNull().alias("no_id"), "order_id", "key", "place")
-    recurring = (
+    recurring = held(
         spots.groupBy("template", "key", "order_id").agg(F.min("place").alias("place"))
         .groupBy("template")
         .agg(F.count(F.lit(1)).alias("docs"), F.min(first).alias("first"))
         .filter(F.col("docs") >= min_docs)
-        .select("template", F.col("first.key").alias("first_key"), F.col("first.place").alias("first_place"))
+        .select("template", F.col("first.key").alias("first_key"), F.col("first.place").alias("first_place")),
+        "recurring",
     )
     lost = spots.join(recurring, "template").filter(~((F.col("key") == F.col("first_key")) & (F.col("place") == F.col("first_place"))))
-    return lost.groupBy("key").agg(F.collect_set("place").alias("places"))
+    return held(lost.groupBy("key").agg(F.collect_set("place").alias("places")), "lost")
 
 
 def line_dedup(docs: DataFrame, **limits: float) -> DataFrame:
@@ -118,7 +118,7 @@ def line_dedup(docs: DataFrame, **limits: float) -> DataFrame:
     """
     lost = dropped_lines(docs, **limits)
     rows = docs.select(F.struct("*").alias("row"), document_key().alias("key"))
-    joined = rows.join(lost, "key", "left")
+    joined = rows.join(lost.hint("shuffle_hash"), "key", "left")
     text = F.col("row.text").cast("string")
     left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("places", i)), "\n")
     return joined.select(

@@ -6,21 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leaguelake.llm import line_dedup, quality_rules
+from leaguelake.llm import line_dedup, packing, quality_rules, simhash_dedup, template_decontamination, token_files
 from leaguelake.llm.common import table
 
 
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = template_decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("key")
+
+
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return out.select(F.col("row.doc_id").alias("doc_id"), "text", "lines_dropped")
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_output(table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op6_line_dedup": op6_line_dedup,
-    "op10_quality_rules": op10_quality_rules,
+    query.__name__: query
+    for query in (
+        op1_template_decontamination,
+        op3_simhash_near_dedup,
+        op6_line_dedup,
+        op7_token_output,
+        op8_packing,
+        op10_quality_rules,
+    )
 }
 SQL: dict[str, str] = {}
