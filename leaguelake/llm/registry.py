@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leaguelake.llm import line_dedup, packing, quality_rules, simhash_dedup, template_decontamination, token_files
+from leaguelake.llm import (
+    edit_counts, html_density, license_scan, line_dedup, packing, pii_pseudonyms, quality_rules, simhash_dedup, template_decontamination, token_files,
+)
 from leaguelake.llm.common import table
 
 
@@ -15,10 +17,22 @@ def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("key")
 
 
+def op2_html_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_counts.cleaned_counts(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return out.select(F.col("row.doc_id").alias("doc_id"), "text", "lines_dropped")
@@ -32,6 +46,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_pseudonyms.pseudonymised(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -40,10 +58,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_template_decontamination,
+        op2_html_text_density,
         op3_simhash_near_dedup,
+        op4_license_scan,
+        op5_token_counts,
         op6_line_dedup,
         op7_token_output,
         op8_packing,
+        op9_pii_pseudonyms,
         op10_quality_rules,
     )
 }

@@ -93,13 +93,13 @@ class Encoder:
             if "<|" not in text and not _MARKS.search(text):
                 lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
                 cut.append((i, _END.sub(r" \g<0>", lowered).replace("\n", " ").split(" ")))
-        missing = [w for w in set(chain.from_iterable(words for _, words in cut)) if w not in self.words]
-        new = self._encode_words(missing)
+        here = set(chain.from_iterable(words for _, words in cut))
+        new = self._encode_words([w for w in here if w not in self.words])
         look = self.words
         if len(look) + len(new) <= MAX_WORDS:
             look.update(new)
         else:
-            look = look | new
+            look = new | {w: look[w] for w in here if w not in new}
         for i, words in cut:
             out[i] = b"".join(map(look.__getitem__, words))
         whole = [i for i, ids in enumerate(out) if ids is None]
