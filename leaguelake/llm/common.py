@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # characters handled at a time inside a task; a longer text is handled alone
@@ -40,12 +41,24 @@ def slices(lengths: Sequence[int], limit: int = SLICE_CHARS) -> Iterator[tuple[i
 
 
 def batches_of(rows: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple[pa.RecordBatch, list[list]]]:
-    """Small pieces of Arrow batches with the named columns as Python lists, by the size of the last column."""
+    """Small pieces of Arrow batches with the named columns as Python lists, by the size of the last column.
+
+    ``row.text`` names a field of a struct column. Memory goes back to the system with every batch, since a worker
+    outlives its task.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+
+    def column(batch: pa.RecordBatch, name: str) -> pa.Array:
+        first, *field = name.split(".")
+        found = batch.column(batch.schema.get_field_index(first))
+        return pa.compute.struct_field(found, field) if field else found
+
     for batch in rows:
-        sizes = pa.compute.binary_length(batch.column(batch.schema.get_field_index(columns[-1])))
-        for start, stop in slices([n or 0 for n in sizes.to_pylist()]):
+        sizes = pa.compute.binary_length(column(batch, columns[-1])).to_pylist()
+        for start, stop in slices([n or 0 for n in sizes]):
             piece = batch.slice(start, stop - start)
-            yield piece, [piece.column(piece.schema.get_field_index(c)).to_pylist() for c in columns]
+            yield piece, [column(piece, c).to_pylist() for c in columns]
+        del batch
 
 
 def starts_of(counts: Sequence[int]) -> np.ndarray:

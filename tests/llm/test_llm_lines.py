@@ -1,0 +1,69 @@
+from leaguelake.llm import line_dedup as d
+
+
+def dedup(docs, **kw):
+    return {r["row"]["doc_id"]: (r["text"], r["lines_dropped"]) for r in d.line_dedup(docs, **kw).collect()}
+
+
+def test_recurring_templates_keep_their_first_line(documents):
+    docs = documents(
+        [
+            (3, "own words of the third document here\nposted by user 31 on 2021-03-04\nthe end"),
+            (1, "posted by user 17 on 2020-11-30\nfirst text that nobody else has written\nthe end"),
+            (2, "posted by user 99 on 2019-01-01\nsecond text that is not shared at all"),
+        ]
+    )
+    assert dedup(docs) == {
+        1: ("posted by user 17 on 2020-11-30\nfirst text that nobody else has written\nthe end", 0),
+        2: ("second text that is not shared at all", 1),
+        3: ("own words of the third document here\nthe end", 1),
+    }
+
+
+def test_variable_words_without_digits_are_fields(documents):
+    line = "this notice was kindly sent to {} by the office of records today"
+    docs = documents([(i, line.format(name)) for i, name in enumerate(("anna", "bert", "carla", "dirk"))] + [(9, "this notice was made of wholly other words that do not agree")])
+    got = dedup(docs)
+    assert [got[i][1] for i in range(4)] == [0, 1, 1, 1] and got[9][1] == 0
+
+
+def test_lines_within_one_document_stay(documents):
+    text = "again and again the same line\nagain and again the same line"
+    assert dedup(documents([(1, text), (1, text), (2, "other words are in this one")])) == {1: (text, 0), 2: ("other words are in this one", 0)}
+
+
+def test_numbers_alone_are_no_template(documents):
+    docs = documents([(1, "10 20 30 40 50"), (2, "11 21 31 41 51"), (3, "11 21 31 41 51")])
+    assert [dedup(docs)[i][1] for i in (1, 2, 3)] == [0, 0, 1]
+
+
+def test_defined_cases(documents):
+    long = " ".join(f"word{chr(97 + i % 26)}" for i in range(30_000))
+    docs = documents([(1, None), (2, ""), (None, "a line that two of them have"), (4, "a line that two of them have"), (5, long), (6, long), (7, "a\n\n b")], clashing=True)
+    out = d.line_dedup(docs).collect()
+    got = {r["row"]["doc_id"]: (r["text"], r["lines_dropped"]) for r in out}
+    assert len(out) == 7 and set(out[0]["row"].asDict()) == set(docs.columns)
+    assert got[1] == (None, 0) and got[2] == ("", 0) and got[7] == ("a\n\n b", 0)
+    assert got[4][1] == 0 and got[None] == ("", 1)
+    assert got[5] == (long, 0) and got[6] == ("", 1)
+    assert d.line_dedup(documents([])).count() == 0
+
+
+def test_exact_repeats_against_brute_force(sample):
+    """With no wildcard left to agree, a line recurs exactly if another document has it, digits aside."""
+    import re
+
+    rows = sorted((r["doc_id"], r["text"]) for r in sample.collect())
+    shape = lambda line: tuple("<*>" if re.search("[0-9]", t) else t for t in line.split())
+    seen, expected = {}, {}
+    for doc, text in rows:
+        kept = []
+        for place, line in enumerate(text.split("\n")):
+            tokens = shape(line.strip(" "))
+            constant = sum(t != "<*>" for t in tokens[d.LEADING :])
+            key = tokens if constant >= len(tokens) - d.LEADING else line.strip(" ")
+            if len(tokens) < d.MIN_TOKENS or seen.setdefault(key, doc) == doc:
+                kept.append(place)
+        expected[doc] = len(text.split("\n")) - len(kept)
+    got = {doc: n for doc, (_, n) in dedup(sample, min_constant=1.0).items()}
+    assert got == expected and sum(got.values())

@@ -1,0 +1,157 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from leaguelake.llm import edit_counts as e, packing as p, token_files as f, tokens as t
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_str(t.tokenizer_json())
+
+
+TEXTS = [
+    "", "One, two. Three!!! ***", "İstanbul ΑΣ ΣΑΣ. Å H̱ é", "<|startoftext|> <|STARTOFTEXT|>", "a\tb\x1cc d  e\n\nf", "it's 12,345.67 o'clock...", "日本語 文字", "x" * 5000,
+]
+
+
+def test_words_have_the_ids_of_the_whole_text(tokenizer, sample):
+    texts = TEXTS + [r["text"] for r in sample.collect()]
+    encoder = t.Encoder(t.tokenizer_json())
+    assert encoder.by_word
+    whole = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [np.frombuffer(ids, encoder.dtype).tolist() for ids in encoder.encode(texts)] == whole
+    encoder.words.clear()
+    full, t.MAX_WORDS = t.MAX_WORDS, 10
+    try:
+        assert [np.frombuffer(ids, encoder.dtype).tolist() for ids in encoder.encode(texts)] == whole
+    finally:
+        t.MAX_WORDS = full
+
+
+@pytest.mark.parametrize("bits", [1, 8])
+@pytest.mark.parametrize("dtype", ["<u2", "<u4"])
+@pytest.mark.parametrize("n", [0, 1, 7, 64, 1000])
+def test_shards_round_trip(bits, dtype, n):
+    rng = np.random.default_rng(n)
+    docs = [rng.integers(0, 60_000, size).astype(dtype) for size in rng.integers(0, 50, 12)] + [rng.integers(0, 60_000, n).astype(dtype)]
+    ids = [None, *range(len(docs) - 1)]
+    shard = f.Shard(f.write_shard(ids, [d.tobytes() for d in docs], np.dtype(dtype), bits, block=64))
+    flat = np.concatenate(docs)
+    assert np.array_equal(shard.ids(), flat) and shard.lengths.tolist() == [len(d) for d in docs]
+    assert [None if null else int(i) for i, null in zip(shard.doc_ids, shard.is_null)] == ids
+    for a, b in ((0, 1), (3, 70), (64, 128), (100, 10**6), (5, 5)):
+        assert np.array_equal(shard.ids(a, b), flat[a:b])
+
+
+def test_output_against_the_tokenizer(tokenizer, documents, sample, monkeypatch):
+    rows = [(i, x) for i, x in enumerate(TEXTS, 10_000)] + [(9_999, None), (None, "no id"), (9_998, "twice"), (9_998, "twice")] + [(r["doc_id"], r["text"]) for r in sample.collect()]
+    rows.sort(key=lambda r: (r[0] is not None, r[0]))
+    expected, start = [], 0
+    for doc, text in rows:
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        expected.append((doc, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    got = f.token_output(documents(rows, clashing=True)).orderBy("start").collect()
+    assert [tuple(r) for r in got] == expected
+    assert f.token_output(documents([])).count() == 0
+
+
+def padding(lengths, bounds):
+    return sum(min(b for b in bounds if b >= n) - n for n in lengths)
+
+
+def test_bounds_are_optimal():
+    from itertools import combinations
+
+    rng = random.Random(4)
+    for _ in range(30):
+        lengths = [rng.randrange(1, 40) for _ in range(rng.randrange(1, 25))]
+        values = sorted(set(lengths))
+        for k in (1, 2, 3):
+            bounds = p.optimal_bounds(values, [lengths.count(v) for v in values], k)
+            best = min(padding(lengths, (*c, values[-1])) for c in combinations(values[:-1], min(k, len(values)) - 1))
+            assert len(bounds) <= k and padding(lengths, bounds) == best
+    assert p.optimal_bounds([], [], 4) == []
+
+
+def test_grid(spark):
+    rows = spark.range(1, 5000).select("id", p.on_grid(F.col("id")).alias("g")).collect()
+    assert all(r["g"] == r["id"] for r in rows if r["id"] <= 256)
+    assert all(r["id"] <= r["g"] <= r["id"] * (1 + 1 / 128) + 1 for r in rows)
+    assert len({r["g"] for r in rows}) < 1000
+
+
+def test_packing(tokenizer, documents, sample):
+    rows = [(9_001, None), (9_002, ""), (9_003, "twice the same"), (9_003, "twice the same"), (9_004, "long words " * 30_000)] + [(r["doc_id"], r["text"]) for r in sample.collect()]
+    got = p.pack(documents(rows, clashing=True), buckets=4, budget=4096).collect()
+    lengths = sorted((d, len(tokenizer.encode(x or "", add_special_tokens=False).ids) + 1) for d, x in rows)
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in got) == lengths
+    batches = {}
+    for r in got:
+        assert r["padding"] == r["bucket_tokens"] - r["n_tokens"] >= 0
+        batches.setdefault((r["bucket"], r["bucket_tokens"], r["batch"]), []).append(r["place"])
+    last = {}
+    for (bucket, bound, batch), places in batches.items():
+        size = max(1, 4096 // bound)
+        assert sorted(places) == list(range(len(places))) and len(places) <= size
+        last[bucket] = max(last.get(bucket, (0, 0)), (batch, 0))
+    assert all(len(v) == max(1, 4096 // k[1]) for k, v in batches.items() if k[2] < last[k[0]][0])
+    grid = sorted({r["bucket_tokens"] for r in got})
+    assert len(grid) <= 4 and p.pack(documents([])).count() == 0
+
+
+def test_edits_keep_counts_exact():
+    counter = e.PieceCounter(*e.tokenizer_ranks())
+    rng = random.Random(3)
+    parts = ["a", "b", " ", "  ", "\n", "'s", "'", "12", "!", "é", "word", "  \n ", " the", ".", "\t", "x'll"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 5, 40, 400])))
+        tree = e.CountTree(counter, text)
+        for _ in range(4):
+            a = rng.randint(0, len(text) + 1)
+            b, new = a + rng.choice([0, 1, 3, 30]), "".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 3, 8])))
+            text = text[:a] + new + text[b:]
+            tree.edit(a, b, new)
+            pieces = counter.pattern.findall(text)
+            assert tree.text() == text and tree.arrays()[0] == list(map(len, pieces))
+            assert tree.n_tokens == len(counter.encoding.encode_ordinary(text))
+
+
+def test_edits_touch_little():
+    counter = e.PieceCounter(*e.tokenizer_ranks())
+    tree = e.CountTree(counter, "some words of text and more. " * 5000)
+    tree.edit(70_000, 70_004, "other")
+    assert tree.encoded < 10
+
+
+def test_stored_trees(spark, documents):
+    docs = documents([(1, "one two three four"), (2, None), (3, ""), (None, "no id here"), (1, "one two three four")], clashing=True)
+    stored = e.trees(docs)
+    edits = F.expr("CASE WHEN doc_id = 2 THEN NULL ELSE array(named_struct('start', 4L, 'end', 7L, 'text', 'TWO and'), named_struct('start', 99L, 'end', 99L, 'text', '!')) END")
+    out = e.edited(stored.withColumn("edits", edits.cast(e.EDITS))).collect()
+    encoding = e.PieceCounter(*e.tokenizer_ranks()).encoding
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == sorted(
+        [(1, "one TWO and three four!"), (1, "one TWO and three four!"), (2, None), (3, "TWO and!"), (None, "no iTWO andhere!")], key=str
+    )
+    assert all(r["n_tokens"] == len(encoding.encode_ordinary(r["text"] or "")) == sum(r["tokens"]) for r in out)
+
+
+def test_cleaning_against_full_encoding(documents, sample):
+    rows = [(r["doc_id"], r["text"]) for r in sample.collect()] + [(9_001, None), (9_002, "a@b.cd\na@b.cd\n\nx a@b.cd"), (9_003, "l\n" * 500)]
+    encoding = e.PieceCounter(*e.tokenizer_ranks()).encoding
+    got = {r["doc_id"]: r for r in e.cleaned_counts(documents(rows)).collect()}
+    for doc, text in rows:
+        text = clean = text or ""
+        edits = e.cleaning_edits(text)
+        for a, b, new in edits:
+            clean = clean[:a] + new + clean[b:]
+        r = got[doc]
+        assert (r["n_tokens_before"], r["n_edits"], r["n_tokens"]) == (len(encoding.encode_ordinary(text)), len(edits), len(encoding.encode_ordinary(clean)))
+    assert e.cleaned_counts(documents([])).count() == 0
