@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from leaguelake.llm.common import batches_of
+from leaguelake.llm.common import batches_of, mapped
 from leaguelake.llm.tokens import process_state
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -229,7 +229,7 @@ def _mapped(docs: DataFrame, columns: list, tokenizer: str | None, names: tuple[
         for _, lists in batches_of(rows, *names):
             yield _table(arrow, [row(counter, *values) for values in zip(*lists)])
 
-    return docs.select(*columns).mapInArrow(run, schema)
+    return mapped(docs.select(*columns), run, schema)
 
 
 def _text() -> list:

@@ -27,7 +27,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from leaguelake.llm.common import batches_of
+from leaguelake.llm.common import batches_of, mapped
 
 # element classes of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -296,4 +296,4 @@ def extract(pages: DataFrame) -> DataFrame:
     columns = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     )
-    return columns.mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
+    return mapped(columns, _extract, "page_id bigint, url string, text string, n_chars bigint")

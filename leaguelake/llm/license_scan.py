@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from leaguelake.llm.common import batches_of
+from leaguelake.llm.common import batches_of, mapped
 
 EDIT_SPAN = 12
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")  # fixed by the contract, over UTF-8
@@ -151,4 +151,4 @@ def _scan_rows(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan(docs: DataFrame) -> DataFrame:
     """Words, base places, labels, score and the spans of notices of every document."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    return texts.mapInArrow(_scan_rows, COLUMNS)
+    return mapped(texts, _scan_rows, COLUMNS)

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leaguelake.llm.common import batches_of
+from leaguelake.llm.common import batches_of, mapped
 from leaguelake.llm.tokens import Encoder, tokenizer_json
 from leaguelake.operators.ordered import number_rows
 from leaguelake.session import held
@@ -46,7 +46,7 @@ def token_lengths(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """(doc_id, tie, n_tokens); ``tie`` is a hash of the text."""
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer_json(tokenizer))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_count_rows(sent), "doc_id bigint, tie bigint, n_tokens bigint")
+    return mapped(rows, _count_rows(sent), "doc_id bigint, tie bigint, n_tokens bigint")
 
 
 def on_grid(length: Column) -> Column:

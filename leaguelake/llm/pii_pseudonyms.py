@@ -34,7 +34,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from leaguelake.llm.common import batches_of
+from leaguelake.llm.common import batches_of, mapped
 
 ROUNDS = 10
 # for tests and examples; a corpus needs a secret of its own
@@ -248,4 +248,4 @@ def pseudonymised(docs: DataFrame, key: bytes = EXAMPLE_KEY, back: bool = False)
     """doc_id, text with pseudonyms, and the number of replacements of each kind; ``back`` restores the values."""
     schema = ", ".join(["doc_id bigint", "text string", *[f"{c} bigint" for c in COUNTS]])
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_replace_rows(key, back), schema)
+    return mapped(rows, _replace_rows(key, back), schema)

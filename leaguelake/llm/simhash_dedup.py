@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from leaguelake.llm.common import batches_of, document_key
+from leaguelake.llm.common import batches_of, document_key, mapped
 from leaguelake.llm.components import components
 from leaguelake.session import held
 
@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, row: Column, size: int = SHINGLE) -> DataFrame
     """(row, fingerprint) of every document; ``row`` is a struct of what is to be carried along."""
     texts = docs.select(row.alias("row"), F.col("text").cast("string").cast("binary").alias("text"))
     schema = StructType([texts.schema["row"], StructField("fingerprint", LongType())])
-    return texts.mapInArrow(_fingerprint_rows(size), schema)
+    return mapped(texts, _fingerprint_rows(size), schema)
 
 
 def planes_of(values: np.ndarray) -> np.ndarray:
@@ -244,7 +244,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
     )
     dealt = units.select(unit.alias("unit"), "fingerprint").repartition("unit").sortWithinPartitions("unit", "fingerprint")
-    return dealt.mapInArrow(_stars(radius), "u bigint, v bigint")
+    return mapped(dealt, _stars(radius), "u bigint, v bigint")
 
 
 def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:

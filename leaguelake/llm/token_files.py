@@ -29,7 +29,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from leaguelake.llm.common import batches_of, starts_of
+from leaguelake.llm.common import batches_of, mapped, starts_of
 from leaguelake.llm.tokens import Encoder, tokenizer_json
 from leaguelake.session import scratch_path
 
@@ -153,7 +153,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         .repartitionByRange("doc_id", "tie")
         .sortWithinPartitions("doc_id", "tie")
     )
-    ordered.select("doc_id", "text").mapInArrow(_encode_rows(sent, end_id, bits), SHARD_COLUMNS).write.parquet(path)
+    mapped(ordered.select("doc_id", "text"), _encode_rows(sent, end_id, bits), SHARD_COLUMNS).write.parquet(path)
 
 
 def _decode_rows(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +185,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     placed = shards.select("part", "seq", "shard").join(
         starts.select("part", "seq", (F.col("within") + F.col("offset")).cast("bigint").alias("start")), ["part", "seq"]
     )
-    return placed.select("start", "shard").mapInArrow(_decode_rows, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return mapped(placed.select("start", "shard"), _decode_rows, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def token_output(docs: DataFrame, tokenizer: str | None = None, bits: int = 1) -> DataFrame:
