@@ -41,9 +41,12 @@ def result_line(winner: Column) -> Column:
     def score(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit("-"))
 
+    def team(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit("-"))
+
     return F.concat(
-        F.col("away_team_name"), mark("away"), F.lit(" *"), score("away_score"), F.lit("*  x  *"),
-        score("home_score"), F.lit("* "), F.col("home_team_name"), mark("home"),
+        team("away_team_name"), mark("away"), F.lit(" *"), score("away_score"), F.lit("*  x  *"),
+        score("home_score"), F.lit("* "), team("home_team_name"), mark("home"),
     )
 
 

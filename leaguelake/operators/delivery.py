@@ -7,9 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from leaguelake.functions import localtime, text
-from leaguelake.operators.ordered import paged
 
-RESULTS_PER_PAGE = 200
 CLOSE_BEFORE_MINUTES = 10  # fixed: polls close this long before the game
 
 
@@ -28,41 +26,29 @@ def final_results(
     )
 
 
-def results_digest(
-    schedule: DataFrame,
-    boxscores: DataFrame,
-    title: str,
-    zone: str = localtime.LOCAL_ZONE,
-    day: dt.date | None = None,
-    page_size: int = RESULTS_PER_PAGE,
-    sizes_from: DataFrame | None = None,
+def result_lines(
+    schedule: DataFrame, boxscores: DataFrame, zone: str = localtime.LOCAL_ZONE, day: dt.date | None = None
 ) -> DataFrame:
-    """(local_date, page, n_games, body): the digest of each local date, games in time order.
-
-    A date with up to ``page_size`` results is one message (page 0). A larger date becomes several messages of
-    that length, so no task ever gathers a whole date. Dates are sized by the start times of ``sizes_from``,
-    by default of the schedule, which holds every game that can have a result.
-    """
+    """(local_date, game_datetime_utc, game_id, line): the digest lines of all local dates (or of one), one row each."""
     results = final_results(schedule, boxscores, zone, day)
-    order = [F.col("game_datetime_utc"), F.col("game_id")]
-    starts = schedule if sizes_from is None else sizes_from
-    upper_bound = starts.select(localtime.local_date(F.col("game_datetime_utc"), zone).alias("local_date"))
-    lines = paged(
-        results.select("local_date", "game_datetime_utc", "game_id", text.result_line(F.col("winner")).alias("line")),
-        ["local_date"],
-        order,
-        page_size,
-        sizes_from=upper_bound if day is None else None,
+    return results.select("local_date", "game_datetime_utc", "game_id", text.result_line(F.col("winner")).alias("line"))
+
+
+def results_message(
+    schedule: DataFrame, boxscores: DataFrame, title: str, day: dt.date, zone: str = localtime.LOCAL_ZONE
+) -> DataFrame:
+    """(local_date, n_games, body): the message of one local date, its lines in time order; no row without results."""
+    lines = F.array_sort(F.collect_list(F.struct("game_datetime_utc", "game_id", "line")))
+    body = F.concat_ws(
+        text.LINE_BREAK,
+        text.result_header(title, F.col("local_date")),
+        F.array_join(F.transform("lines", lambda entry: entry["line"]), text.LINE_BREAK),
     )
-    ordered_lines = F.array_sort(F.collect_list(F.struct("game_datetime_utc", "game_id", "line")))
-    return lines.groupBy("local_date", "page").agg(
-        F.count(F.lit(1)).alias("n_games"),
-        F.array_join(F.transform(ordered_lines, lambda entry: entry["line"]), text.LINE_BREAK).alias("lines"),
-    ).select(
-        "local_date",
-        "page",
-        "n_games",
-        F.concat_ws(text.LINE_BREAK, text.result_header(title, F.col("local_date")), F.col("lines")).alias("body"),
+    return (
+        result_lines(schedule, boxscores, zone, day)
+        .groupBy("local_date")
+        .agg(F.count(F.lit(1)).alias("n_games"), lines.alias("lines"))
+        .select("local_date", "n_games", body.alias("body"))
     )
 
 

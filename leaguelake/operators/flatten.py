@@ -123,12 +123,3 @@ def silver_player_stats(documents: DataFrame, carry: Sequence[str] = ()) -> Data
         derive.as_int(F.col("player.starter")).alias("starter"),
         *[column.alias(name) for name, column in typed.items()],
     )
-
-
-def malformed_schedule_values(games: DataFrame) -> DataFrame:
-    """One row: how many present statuses and start times could not be typed."""
-    status, start = F.col("game.gameStatus"), F.col("game.gameDateTimeUTC")
-    return games.agg(
-        F.count_if(status.isNotNull() & derive.as_int(status).isNull()).alias("bad_status"),
-        F.count_if(start.isNotNull() & derive.utc_instant(start).isNull()).alias("bad_start"),
-    )

@@ -1,17 +1,14 @@
-"""Idempotent table maintenance: keyed merges, patches, reservations and partition writes."""
+"""Idempotent table maintenance as frames: keyed merges, patches, reservations. ``tables`` stores the results."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import AtomicType, StructType
 
 from leaguelake import schemas
 from leaguelake.functions import derive
-from leaguelake.operators.quality import GateFailed, key_violations
-from leaguelake.session import held
-from leaguelake.sources.documents import read_table
 
 CLINCHING_WINS = 4  # fixed: wins that end a series
 
@@ -22,9 +19,15 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def _total_order(df: DataFrame, *but: str) -> list[Column]:
+    """Columns that tell any two different rows apart, so that a choice among rows never depends on their order."""
+    return [F.col(f.name).asc_nulls_first() for f in df.schema.fields if isinstance(f.dataType, AtomicType) and f.name not in but]
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Newest row per key: the effect of replaying every snapshot in date order, in one pass."""
-    return keep_first(df, keys, [F.desc(version)])
+    """Newest row per key: the effect of replaying every snapshot in date order, in one pass. Of several rows of one
+    version the least by all their columns is taken."""
+    return keep_first(df, keys, [F.desc(version), *_total_order(df, *keys, version)])
 
 
 def players_dimension(player_stats: DataFrame) -> DataFrame:
@@ -45,7 +48,8 @@ def player_facts(player_stats: DataFrame) -> DataFrame:
             "pk": derive.surrogate_key(F.col("game_id"), F.col("player_id")),
         }
     )
-    statistics = [c for c in ("starter", *schemas.STATISTIC_FIELDS) if c in facts.columns]
+    teams = ("team_id", "team_city", "team_name")
+    statistics = [c for c in ("starter", *schemas.STATISTIC_FIELDS, *teams) if c in facts.columns]
     order = [F.desc("dt"), F.desc("side"), *[F.col(c).asc_nulls_first() for c in statistics]]
     return keep_first(facts, ["player_id", "game_id"], order)
 
@@ -93,31 +97,33 @@ def upsert(
 
 
 def cancel_phantoms(schedule: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Schedule with ``is_cancelled`` raised on playoff games that will not be played, plus ``newly_cancelled``.
+    """Schedule with ``is_cancelled`` worked out anew from the current snapshot, plus ``newly_cancelled``.
 
-    A game is one of those when it is unfinished and either gone from the current snapshot or in a series
-    that is already won. NULL status or NULL wins never cancel.
+    An unfinished playoff game is cancelled when it is gone from the snapshot or in a series that is already won, and
+    not cancelled otherwise, whatever its flag was: a game that is listed again comes back. Any other listed game
+    is not cancelled; one that is not listed keeps its flag. NULL status or NULL wins never cancel.
     """
-    current = snapshot.select("game_id", F.lit(True).alias("_listed"))
-    open_playoff = (
-        (F.col("game_type") == "playoff")
-        & (F.col("game_status") != derive.FINAL_STATUS)
-        & (F.col("is_cancelled") == F.lit(False))
-    )
-    gone = F.col("_listed").isNull()
+    current = snapshot.select("game_id").distinct().withColumn("_listed", F.lit(True))
+    listed = F.col("_listed").isNotNull()
+    open_playoff = F.coalesce((F.col("game_type") == "playoff") & (F.col("game_status") != derive.FINAL_STATUS), F.lit(False))
     clinched = (F.col("home_series_wins") >= CLINCHING_WINS) | (F.col("away_series_wins") >= CLINCHING_WINS)
-    newly = F.coalesce(open_playoff & (gone | F.coalesce(clinched, F.lit(False))), F.lit(False))
+    flag = (
+        F.when(open_playoff, ~listed | F.coalesce(clinched, F.lit(False)))
+        .when(listed, F.lit(False))
+        .otherwise(F.coalesce("is_cancelled", F.lit(False)))
+    )
     return (
         schedule.join(current, "game_id", "left")
-        .withColumn("newly_cancelled", newly)
-        .withColumn("is_cancelled", F.when(F.col("newly_cancelled"), F.lit(True)).otherwise(F.col("is_cancelled")))
-        .drop("_listed")
+        .withColumn("_flag", flag)
+        .withColumn("newly_cancelled", F.col("_flag") & ~F.coalesce("is_cancelled", F.lit(False)))
+        .withColumn("is_cancelled", F.col("_flag"))
+        .drop("_listed", "_flag")
     )
 
 
 def patch_column(target: DataFrame, patches: DataFrame, key: str, column: str) -> DataFrame:
-    """Set ``column`` on the patched keys; a NULL patch value clears it. Patches hold one row per key."""
-    patch = patches.select(F.col(key), F.col(column).alias("_value"), F.lit(True).alias("_patched"))
+    """Set ``column`` on the patched keys; a NULL patch value clears it. Of several patches for a key the greatest counts."""
+    patch = patches.groupBy(key).agg(F.max(column).alias("_value"), F.lit(True).alias("_patched"))
     return (
         target.join(patch, key, "left")
         .withColumn(column, F.when(F.col("_patched"), F.col("_value")).otherwise(F.col(column)))
@@ -136,53 +142,3 @@ def assert_schema(df: DataFrame, schema: StructType) -> None:
     expected = [(f.name, f.dataType) for f in schema.fields]
     if found != expected:
         raise ValueError(f"schema differs: expected {expected}, found {found}")
-
-
-def write_partitions(df: DataFrame, path: str, partition: str = "dt") -> None:
-    """Replace exactly the partitions present in ``df``; the others stay.
-
-    Rows of one partition go to as many files as AQE finds fitting, so a large partition is not one task.
-    """
-    (
-        df.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
-def upsert_partitions(
-    spark: SparkSession,
-    path: str,
-    batch: DataFrame,
-    key: str,
-    update: Sequence[str] | None = None,
-    partition: str = "dt",
-    version: str | None = None,
-) -> None:
-    """Keyed merge into a stored table, rewriting only the partitions that hold keys of the batch.
-
-    A key that comes with another partition value moves there. A move that would leave a partition empty is
-    refused, since such a partition would not be rewritten. The batch is written out once because several steps
-    read it; the merged partitions are staged as well, so no job reads the table it overwrites, and a rerun
-    gives the same table.
-    """
-    batch = held(batch, "batch")
-    if key_violations(batch, [key]).limit(1).count():
-        raise GateFailed(f"batch repeats or lacks {key}")
-    update = list(update) if update is not None else [c for c in batch.columns if c != key]
-    table = read_table(spark, path)
-    if table is None:
-        write_partitions(batch, path, partition)
-        return
-    table = add_missing(
-        table, {field.name: (field.dataType.simpleString(), None) for field in batch.schema.fields}
-    )
-    stored = table.select(key, partition).join(batch.select(key), key, "left_semi").select(partition)
-    touched = stored.unionByName(batch.select(partition)).distinct()
-    merged = held(upsert(table.join(touched, partition, "left_semi"), batch, key, update, version), "merge")
-    emptied = stored.distinct().join(merged.select(partition).distinct(), partition, "left_anti")
-    if emptied.limit(1).count():
-        raise GateFailed(f"batch would empty a {partition} of the table")
-    write_partitions(merged, path, partition)

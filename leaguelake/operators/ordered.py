@@ -83,26 +83,6 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], na
     )
 
 
-def paged(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[Column],
-    page_size: int,
-    sizes_from: DataFrame | None = None,
-) -> DataFrame:
-    """Add ``page`` (from 0) so that each (group, page) holds at most ``page_size`` rows, in order."""
-    small, large = split_large_groups(df, group, page_size, sizes_from)
-    parts = []
-    if small is not None:
-        parts.append(small.withColumn("page", F.lit(0).cast("bigint")))
-    if large is not None:
-        numbered = number_rows(large, group, order, "_rn")
-        parts.append(
-            numbered.withColumn("page", F.floor((F.col("_rn") - 1) / page_size).cast("bigint")).drop("_rn")
-        )
-    return reduce(DataFrame.unionByName, parts)
-
-
 def over_preceding(
     df: DataFrame,
     group: Sequence[str],

@@ -66,13 +66,58 @@ def gate_report(df: DataFrame, gates: list[Gate], by: Sequence[str] = ()) -> Dat
 def enforce(df: DataFrame, gates: list[Gate], by: Sequence[str] = ()) -> bool:
     """True when the write may go on, False when it is to be skipped; raises GateFailed otherwise.
 
-    With ``by``, every group must pass; the error names the first failures.
+    With ``by``, every group must pass; the error says for each gate how many groups fail and which is the first.
     """
-    failures = gate_report(df, gates, by).filter(~F.col("passed")).orderBy("policy", "gate", *by).limit(20).collect()
-    stopping = [r for r in failures if r["policy"] == "fail"]
+    failed = gate_report(df, gates, by).filter(~F.col("passed"))
+    first = F.min(F.struct(*by)) if by else F.lit(None)
+    found = failed.groupBy("policy", "gate").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).orderBy("gate").collect()
+    stopping = [r for r in found if r["policy"] == "fail"]
     if stopping:
-        raise GateFailed("; ".join(" ".join([r["gate"], *[f"{c}={r[c]}" for c in by]]) for r in stopping))
-    return not failures
+        where = lambda r: " ".join(f" {c}={r['first'][c]}" for c in by) + (f" and {r['n'] - 1} more" if r["n"] > 1 else "")
+        raise GateFailed("; ".join(r["gate"] + where(r) for r in stopping))
+    return not found
+
+
+def _typed(raw: Column, typed: Column) -> Column:
+    """Number of present values that could not be typed."""
+    return F.count_if(raw.isNotNull() & (raw != "") & typed.isNull())
+
+
+def snapshot_gates(min_games: int) -> list[Gate]:
+    """For the landed snapshot dates left-joined to their games (``one`` marks a game), so an empty snapshot is seen."""
+    bronze, silver = F.count("one"), F.count("game_id")
+    return [
+        Gate("schedule_not_empty", silver > 0),
+        Gate("schedule_complete", silver >= min_games),
+        Gate("schedule_loss", F.when(bronze > 0, (bronze - silver) / bronze <= MAX_LOSS).otherwise(False)),
+        Gate("schedule_ids_unique", F.countDistinct("game_id") == silver),
+    ]
+
+
+def landed_boxscore_gates() -> list[Gate]:
+    """For the landed dates left-joined to their box scores."""
+    negative = (F.col("away_score") < 0) | (F.col("home_score") < 0)
+    return [Gate("boxscores_not_empty", F.count("game_id") > 0), Gate("boxscore_scores", F.count_if(negative) == 0)]
+
+
+def document_gates() -> list[Gate]:
+    """For documents held with their ``_corrupt_record``."""
+    return [Gate("documents_readable", F.count("_corrupt_record") == 0)]
+
+
+def schedule_value_gates() -> list[Gate]:
+    """For ``schedule_games`` rows."""
+    status, start = F.col("game.gameStatus"), F.col("game.gameDateTimeUTC")
+    return [
+        Gate("schedule_status_typed", _typed(status, derive.as_int(status)) == 0),
+        Gate("schedule_start_typed", _typed(start, derive.utc_instant(start)) == 0),
+    ]
+
+
+def boxscore_value_gates() -> list[Gate]:
+    """For box score documents."""
+    whole = [F.col("game.gameStatus"), F.col("game.homeTeam.score"), F.col("game.awayTeam.score")]
+    return [Gate("boxscore_numbers_typed", sum((_typed(c, derive.as_int(c)) for c in whole), F.lit(0)) == 0)]
 
 
 # contract name -> kind

@@ -1,0 +1,145 @@
+"""Stored tables that are replaced block by block, each commit in directories of its own.
+
+A table is a folder with one directory per commit (``v00000007/_block=<name>/*.parquet``) and a log (``_log``). A log entry names, for
+each block of rows, the commit that holds it. A commit writes its blocks into new directories first and then adds its log
+entry; readers follow the newest entry. So a commit that dies half way leaves the table as it was, and readers of
+the entry before it still find their files. Directories that neither of the last two entries names are deleted.
+
+Blocks are dates or hash blocks of a key, so a row's block never changes, and their number is bounded by the
+calendar or by BLOCKS. One writer at a time is assumed.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from leaguelake.operators.merge import add_missing, upsert
+from leaguelake.operators.quality import GateFailed, key_violations
+from leaguelake.session import held_at, file_system, release
+
+BLOCKS = 64
+BLOCK = "_block"
+
+
+def _entries(spark: SparkSession, path: str) -> list[str]:
+    files, root = file_system(spark, f"{path}/_log")
+    if not files.exists(root):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(root) if s.getPath().getName().endswith(".json"))
+
+
+def _entry(spark: SparkSession, path: str, name: str) -> dict:
+    files, where = file_system(spark, f"{path}/_log/{name}")
+    stream = files.open(where)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def state(spark: SparkSession, path: str) -> dict | None:
+    """Newest log entry: ``blocks`` (name to commit) and ``schema``; None if nothing was committed."""
+    entries = _entries(spark, path)
+    return _entry(spark, path, entries[-1]) if entries else None
+
+
+def read(spark: SparkSession, path: str, blocks: Iterable[str] | None = None) -> DataFrame | None:
+    """Rows of the table, or of the named blocks alone; None if nothing was committed."""
+    current = state(spark, path)
+    if current is None:
+        return None
+    schema = StructType.fromJson(json.loads(current["schema"]))
+    wanted = current["blocks"] if blocks is None else {b: current["blocks"][b] for b in blocks if b in current["blocks"]}
+    if not wanted:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/{commit}/{BLOCK}={block}" for block, commit in sorted(wanted.items())])
+
+
+def commit(spark: SparkSession, path: str, df: DataFrame, block: Column, emptied: Iterable[str] = ()) -> None:
+    """Replace the blocks that ``df`` holds rows of, and drop those named in ``emptied``; the others stay.
+
+    Rows of a block go to as many files as AQE finds fitting, so a large block is not one task.
+    """
+    entries = _entries(spark, path)
+    before = _entry(spark, path, entries[-1]) if entries else {"blocks": {}}
+    files, root = file_system(spark, path)
+    taken = [s.getPath().getName() for s in files.listStatus(root)] if files.exists(root) else []
+    used = [name[1:] for name in taken if name[:1] == "v"] + [name.removesuffix(".json") for name in entries]
+    number = max((int(n) for n in used if n.isdigit()), default=0) + 1
+    name = f"v{number:08d}"
+    rows = df.withColumn(BLOCK, block.cast("string"))
+    rows.hint("rebalance", BLOCK).write.partitionBy(BLOCK).parquet(f"{path}/{name}")
+    written = [s.getPath().getName() for s in files.listStatus(file_system(spark, f"{path}/{name}")[1])]
+    new = {w.removeprefix(f"{BLOCK}="): name for w in written if w.startswith(f"{BLOCK}=")}
+    blocks = {b: c for b, c in before["blocks"].items() if b not in set(emptied)} | new
+    _add_entry(spark, path, number, {"blocks": blocks, "schema": df.schema.json()})
+    _clean(spark, path, {*before["blocks"].values(), *blocks.values()})
+
+
+def _add_entry(spark: SparkSession, path: str, number: int, entry: dict) -> None:
+    files, draft = file_system(spark, f"{path}/_log/{number:08d}.draft")
+    stream = files.create(draft, True)
+    stream.write(bytearray(json.dumps(entry), "utf-8"))
+    stream.close()
+    if not files.rename(draft, file_system(spark, f"{path}/_log/{number:08d}.json")[1]):
+        raise OSError(f"log entry {number} of {path} exists")
+
+
+def _clean(spark: SparkSession, path: str, kept: set[str]) -> None:
+    files, root = file_system(spark, path)
+    for status in files.listStatus(root):
+        name = status.getPath().getName()
+        if name[:1] == "v" and name not in kept:
+            files.delete(status.getPath(), True)
+
+
+def replace(spark: SparkSession, path: str, df: DataFrame, by: str = "dt") -> None:
+    """Replace exactly the blocks present in ``df``, one for each value of the column ``by``."""
+    commit(spark, path, df, F.col(by))
+
+
+def _block_of(key: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks))
+
+
+def merge(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    key: str,
+    version: str | None,
+    update: Sequence[str] | None = None,
+    defaults: Mapping[str, tuple[str, object]] | None = None,
+    blocks: int = BLOCKS,
+) -> None:
+    """Keyed merge of a batch with one row per key, reading and writing only the blocks of its keys.
+
+    With ``version`` a row older than the stored one changes nothing, so batches may come in any order; None is
+    for patches, which always apply. Columns that the table lacks are added; where ``defaults`` gives one a value, rows
+    already stored get it too. A rerun gives the same table.
+    """
+    batch, place = held_at(batch, "batch")
+    repeated = key_violations(batch, [key]).count()
+    if repeated:
+        raise GateFailed(f"batch repeats or lacks {key} ({repeated} values)")
+    update = list(update) if update is not None else [c for c in batch.columns if c != key]
+    block = _block_of(key, blocks)
+    current = state(spark, path)
+    if current is None:
+        merged = add_missing(batch, defaults or {})
+    else:
+        stored = read(spark, path)
+        added = [c for c in [*batch.columns, *(defaults or {})] if c not in stored.columns]
+        if any((defaults or {}).get(c, (None, None))[1] is not None for c in added):
+            touched = list(current["blocks"])
+        else:
+            touched = [r["b"] for r in batch.select(block.cast("string").alias("b")).distinct().collect()]  # at most ``blocks``
+        kinds = {f.name: (f.dataType.simpleString(), None) for f in batch.schema.fields if f.name != key}
+        target = add_missing(add_missing(read(spark, path, touched), defaults or {}), kinds)
+        merged = upsert(target, batch, key, update, version)
+    commit(spark, path, merged, block)
+    release(spark, place)

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from leaguelake import schemas
 from leaguelake.functions import derive, localtime
-from leaguelake.operators import analytics, delivery, flatten, merge, quality
+from leaguelake.operators import analytics, delivery, flatten, merge, quality, tables
+from leaguelake.plans import medallion
 from leaguelake.session import held, scratch_path
 from leaguelake.sources import bridge, documents, manifest
 from leaguelake.streaming import incremental
@@ -32,8 +35,12 @@ def parsed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.parse_documents(raw, schemas.SCHEDULE_DOCUMENT)
 
 
-def parsed_boxscores(spark: SparkSession, sf_dir: str, schema=schemas.BOXSCORE_DOCUMENT) -> DataFrame:
-    return documents.parse_documents(bridge.boxscore_documents(spark, sf_dir), schema)
+def parsed_boxscores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.parse_documents(bridge.boxscore_documents(spark, sf_dir), schemas.BOXSCORE_DOCUMENT)
+
+
+def parsed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.parse_documents(bridge.boxscore_headers(spark, sf_dir), schemas.BOXSCORE_HEADER)
 
 
 def gold_facts(spark: SparkSession, sf_dir: str, team_columns: bool = False) -> DataFrame:
@@ -91,8 +98,7 @@ def series_wins(spark, sf_dir):
 
 @query
 def boxscore_silver(spark, sf_dir):
-    heads = parsed_boxscores(spark, sf_dir, schemas.BOXSCORE_HEADER).filter("part = 0")
-    return flatten.silver_boxscores(heads)
+    return flatten.silver_boxscores(parsed_headers(spark, sf_dir))
 
 
 @query
@@ -110,9 +116,7 @@ def wanted_manifest(spark, sf_dir):
 
 @query
 def completed_manifest(spark, sf_dir):
-    games = manifest.completed_games(parsed_schedule(spark, sf_dir))
-    lists = manifest.grouped_manifest(games, sizes_from=bridge.game_keys(spark, sf_dir))
-    return lists.select("dt", "page", F.array_join("game_ids", ",").alias("game_ids"))
+    return manifest.completed_games(parsed_schedule(spark, sf_dir))
 
 
 def _completed(spark, sf_dir):
@@ -159,14 +163,24 @@ def latest_snapshot(spark, sf_dir):
 
 @query
 def silver_gates(spark, sf_dir):
-    ids = flatten.schedule_games(parsed_schedule(spark, sf_dir)).select(F.col("game.gameId").alias("game_id"))
+    """All gates over the tables as they are, and over the same rows with planted faults."""
+    games = flatten.schedule_games(parsed_schedule(spark, sf_dir))
+    number = F.substring("game_id", 4, 20).cast("bigint")
+    ids = games.select(F.col("game.gameId").alias("game_id"))
+    lost = ids.withColumn("game_id", F.when(number % 4 == 0, None).when(number % 97 == 0, "0021").otherwise(F.col("game_id")))
+    broken_time = F.when(F.col("game.gameStatus") == "2", "soon").otherwise(F.col("game.gameDateTimeUTC"))
+    untyped = games.withColumn("game", F.col("game").withField("gameDateTimeUTC", broken_time))
     boxes = bridge.scores(bridge.lines(spark, sf_dir))
+    negative = boxes.withColumn("home_score", F.when(F.col("game_no") % 89 == 0, -F.col("home_score")).otherwise(F.col("home_score")))
     lines = bridge.lines(spark, sf_dir).filter("played = '1'")
-    return (
-        quality.gate_report(ids, quality.schedule_gates())
-        .unionByName(quality.gate_report(boxes, quality.boxscore_gates()))
-        .unionByName(quality.gate_report(lines, quality.player_gates()))
-    )
+    checks = [
+        ("given", ids, quality.schedule_gates()), ("planted", lost, quality.schedule_gates()),
+        ("given", games, quality.schedule_value_gates()), ("planted", untyped, quality.schedule_value_gates()),
+        ("given", boxes, quality.boxscore_gates()), ("planted", negative, quality.boxscore_gates()),
+        ("given", lines, quality.player_gates()), ("planted", lines.filter("pts < 0"), quality.player_gates()),
+    ]
+    reports = [quality.gate_report(df, gates).select(F.lit(case).alias("rows"), "*") for case, df, gates in checks]
+    return reduce(DataFrame.unionByName, reports)
 
 
 @query
@@ -230,10 +244,89 @@ def partition_overwrite(spark, sf_dir):
     both = bridge.snapshots(bridge.game_keys(spark, sf_dir)).select(
         month.alias("month"), "game_id", "game_status", "snapshot"
     )
-    merge.write_partitions(both.filter(F.col("snapshot") == F.lit(bridge.FIRST_SNAPSHOT)), path, "month")
+    tables.replace(spark, path, both.filter(F.col("snapshot") == F.lit(bridge.FIRST_SNAPSHOT)), "month")
     later = both.filter((F.col("snapshot") == F.lit(bridge.SECOND_SNAPSHOT)) & (F.col("month") >= "1998-01-01"))
-    merge.write_partitions(later, path, "month")
-    return spark.read.parquet(path)
+    tables.replace(spark, path, later, "month")
+    return tables.read(spark, path)
+
+
+@query
+def table_upsert(spark, sf_dir):
+    """A stored table takes the second snapshot, then the older first one with its games under another date, then a
+    patch with a new column: older rows change nothing, keys may move, and the default reaches stored rows."""
+    path = scratch_path(spark, "upsert")
+    both = bridge.snapshots(bridge.game_keys(spark, sf_dir)).select("game_no", "game_id", "dt", "game_status", "snapshot")
+
+    def of(day) -> DataFrame:
+        return both.filter(F.col("snapshot") == F.lit(day)).drop("game_no")
+
+    tables.merge(spark, path, of(bridge.SECOND_SNAPSHOT), "game_id", "snapshot")
+    tables.merge(spark, path, of(bridge.FIRST_SNAPSHOT).withColumn("dt", F.date_add("dt", 1)), "game_id", "snapshot")
+    moved = both.filter((F.col("snapshot") == F.lit(bridge.SECOND_SNAPSHOT)) & (F.col("game_no") % 10 == 0))
+    moved = moved.select("game_id", F.date_add("dt", 30).alias("dt"), F.date_add("snapshot", 1).alias("snapshot"))
+    tables.merge(spark, path, moved, "game_id", "snapshot", ["dt", "snapshot"], {"is_cancelled": ("boolean", False)})
+    return tables.read(spark, path)
+
+
+@query
+def cancel_replay(spark, sf_dir):
+    """Cancellations after a snapshot without some games, and after the next one that lists them again."""
+    path = scratch_path(spark, "cancel")
+    games = bridge.snapshots(bridge.games(spark, sf_dir))
+    days = [bridge.FIRST_SNAPSHOT, bridge.SECOND_SNAPSHOT]
+    snapshots = [bridge.silver_schedule(games.filter(F.col("snapshot") == F.lit(day)), "snapshot") for day in days]
+    snapshots.append(snapshots[0].withColumn("snapshot", F.date_add("snapshot", 2)))
+    steps = []
+    for step, snapshot in enumerate(snapshots):
+        medallion.load_schedule(spark, path, snapshot)
+        medallion.cancel(spark, path, snapshot)
+        steps.append(held(tables.read(spark, path).select(F.lit(step + 1).alias("step"), "game_id", "is_cancelled"), "step"))
+    return steps[0].unionByName(steps[1]).unionByName(steps[2])
+
+
+# files
+
+
+def _landed_schedule(spark, sf_dir) -> str:
+    """Both schedule snapshots as files below a folder of their date, one document to a line."""
+    landing = scratch_path(spark, "landing")
+    both = bridge.snapshots(bridge.games(spark, sf_dir))
+    for snapshot in (bridge.FIRST_SNAPSHOT, bridge.SECOND_SNAPSHOT):
+        bridge.schedule_documents(both.filter(F.col("snapshot") == F.lit(snapshot))).write.text(f"{landing}/{snapshot}")
+    return landing
+
+
+@query
+def file_scan_schedule(spark, sf_dir):
+    folders = documents.date_folders(spark, _landed_schedule(spark, sf_dir))
+    rows = documents.read_documents(spark, folders, schemas.SCHEDULE_DOCUMENT, multi_line=False)
+    return flatten.silver_schedule(rows, ["dt"]).withColumnRenamed("dt", "snapshot")
+
+
+def _landed_boxscores(spark, sf_dir) -> str:
+    landing = scratch_path(spark, "landing")
+    bridge.boxscore_documents(spark, sf_dir).select("doc").write.text(f"{landing}/{bridge.FIRST_SNAPSHOT}")
+    return landing
+
+
+@query
+def file_scan_boxscores(spark, sf_dir):
+    folders = documents.date_folders(spark, _landed_boxscores(spark, sf_dir))
+    rows = documents.read_documents(spark, folders, schemas.BOXSCORE_DOCUMENT, multi_line=False)
+    return flatten.silver_player_stats(rows, ["dt"]).withColumnRenamed("dt", "landed")
+
+
+@query
+def table_roundtrip(spark, sf_dir):
+    """A table created from its schema, written with the schema checked, and read back for a date it has and one it lacks."""
+    path = scratch_path(spark, "roundtrip")
+    games = bridge.games(spark, sf_dir)
+    tables.replace(spark, path, merge.empty_table(spark, StructType([*schemas.SILVER_SCHEDULE.fields, StructField("dt", DateType())])))
+    silver = bridge.silver_schedule(games, "dt")
+    merge.assert_schema(silver.drop("dt"), schemas.SILVER_SCHEDULE)
+    tables.replace(spark, path, silver)
+    present, absent = (documents.read_partition(spark, path, day, schemas.SILVER_SCHEDULE) for day in READ_DAYS)
+    return present.unionByName(absent)
 
 
 @query
@@ -333,18 +426,24 @@ def contract_suite(spark, sf_dir):
 
 
 def digest_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested documents to the result digest of every local date."""
+    """Nested documents to the result lines of every local date."""
     schedule = flatten.silver_schedule(parsed_schedule(spark, sf_dir))
-    heads = parsed_boxscores(spark, sf_dir, schemas.BOXSCORE_HEADER).filter("part = 0")
-    return delivery.results_digest(
-        schedule, flatten.silver_boxscores(heads), TITLE, sizes_from=bridge.game_keys(spark, sf_dir)
-    )
+    return delivery.result_lines(schedule, flatten.silver_boxscores(parsed_headers(spark, sf_dir)))
 
 
 @query
 def results_digest(spark, sf_dir):
     boxes = bridge.silver_boxscores(spark, sf_dir, bridge.games(spark, sf_dir))
-    return delivery.results_digest(bridge.game_keys(spark, sf_dir), boxes, TITLE)
+    return delivery.result_lines(bridge.game_keys(spark, sf_dir), boxes)
+
+
+@query
+def results_message(spark, sf_dir):
+    """The messages of two local dates, one with results and one without."""
+    schedule = bridge.game_keys(spark, sf_dir)
+    boxes = bridge.silver_boxscores(spark, sf_dir, bridge.games(spark, sf_dir))
+    first, second = (delivery.results_message(schedule, boxes, TITLE, day) for day in READ_DAYS)
+    return first.unionByName(second)
 
 
 @query
@@ -414,7 +513,9 @@ def team_efficiency(spark, sf_dir):
 
 @query
 def position_distribution(spark, sf_dir):
-    return analytics.position_distribution(gold_facts(spark, sf_dir), gold_players(spark, sf_dir))
+    # facts and dimension come from one held table of lines
+    lines = held(bridge.silver_player_stats(spark, sf_dir, team_columns=False), "lines")
+    return analytics.position_distribution(merge.player_facts(lines), merge.players_dimension(lines))
 
 
 @query
@@ -443,4 +544,18 @@ def incremental_silver(spark, sf_dir):
         raw = bridge.schedule_documents(both.filter(F.col("snapshot") == F.lit(snapshot)))
         raw.write.text(f"{landing}/{snapshot}")
         incremental.follow_schedule(spark, landing, table, progress, multi_line=False)
-    return spark.read.parquet(table)
+    return tables.read(spark, table)
+
+
+@query
+def incremental_boxscores(spark, sf_dir):
+    """Box scores land twice, the corrected later day first; the earlier day must not bring the old scores back."""
+    names = ("landing", "boxscores", "players", "progress")
+    landing, boxes, players, progress = (scratch_path(spark, n) for n in names)
+    raw = bridge.boxscore_headers(spark, sf_dir).select("doc")
+    corrected = F.regexp_replace("doc", '"score":(\\d+)', '"score":1$1')
+    raw.select(corrected).write.text(f"{landing}/{bridge.SECOND_SNAPSHOT}")
+    incremental.follow_boxscores(spark, landing, boxes, players, progress, multi_line=False)
+    raw.write.text(f"{landing}/{bridge.FIRST_SNAPSHOT}")
+    incremental.follow_boxscores(spark, landing, boxes, players, progress, multi_line=False)
+    return tables.read(spark, boxes).select("game_id", "home_score", "away_score", "winner", "dt")

@@ -9,29 +9,26 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
-from leaguelake.operators import flatten, merge, quality
-from leaguelake.session import held
+from leaguelake.functions import derive
+from leaguelake.operators import flatten, merge, quality, tables
+from leaguelake.session import held_at, release
 from leaguelake.sources import documents, manifest
 
-PLAYER_BUCKETS = 64
-
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the landed files and the tables lie. ``multi_line`` False: one document per line."""
+    """Where the landed files and the tables lie. ``multi_line`` False: one document per line. ``min_games``: a
+    schedule snapshot with fewer games counts as truncated."""
 
     root: str
     multi_line: bool = True
+    min_games: int = manifest.MIN_GAMES
 
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
 
-    @property
-    def bronze_schedule(self) -> str:
-        return self.path("bronze", "schedule", "*", "*.json")
-
-    def bronze_boxscores(self, day: str = "*") -> str:
-        return self.path("bronze", "boxscores", day, "*.json")
+    def bronze(self, kind: str) -> str:
+        return self.path("bronze", kind)
 
     def silver(self, table: str) -> str:
         return self.path("silver", table)
@@ -40,104 +37,144 @@ class Lake:
         return self.path("gold", table)
 
 
-def pending(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Landed dates that the box score or player table lacks, with a flag per table."""
+def landed(spark: SparkSession, lake: Lake, kind: str, since: dt.date | None = None) -> DataFrame:
+    """(path, dt, landed_at) of the files in the date folders from ``since`` on."""
+    folders = documents.date_folders(spark, lake.bronze(kind), since)
+    if not folders:
+        return merge.empty_table(spark, schemas.INGESTED)
+    return documents.landed_files(spark, folders)
 
-    def dates(table: str) -> DataFrame:
-        stored = documents.read_table(spark, lake.silver(table))
-        return stored.select("dt") if stored is not None else merge.empty_table(spark, schemas.DATES)
 
-    landed = documents.landed_files(spark, lake.bronze_boxscores())
-    return manifest.pending_dates(landed, dates("boxscores"), dates("player_stats"))
+def pending(spark: SparkSession, lake: Lake, kind: str, since: dt.date | None = None) -> DataFrame:
+    """Landed files that Silver has not taken in, or that have changed since."""
+    files = landed(spark, lake, kind, since)
+    taken = tables.read(spark, lake.silver(f"{kind}_ingested"))
+    return files if taken is None else files.join(taken, ["path", "landed_at"], "left_anti")
 
 
-def build_silver_schedule(spark: SparkSession, lake: Lake) -> None:
-    """Every schedule snapshot, one partition per snapshot date, gated by date. The files are parsed once."""
-    landed = documents.read_documents(spark, lake.bronze_schedule, schemas.SCHEDULE_DOCUMENT, lake.multi_line)
-    games = flatten.schedule_games(held(landed, "schedules"), ["dt"])
-    quality.enforce(
-        games.select("dt", F.col("game.gameId").alias("game_id")), quality.schedule_gates(), by=["dt"]
-    )
-    silver = flatten.derive_schedule(flatten.project_schedule(games, ["dt"]), ["dt"])
-    merge.write_partitions(silver, lake.silver("schedule"))
+def _record(spark: SparkSession, lake: Lake, kind: str, files: DataFrame) -> None:
+    tables.replace(spark, lake.silver(f"{kind}_ingested"), files.select(*schemas.INGESTED.fieldNames()))
 
 
-def build_silver_games(spark: SparkSession, lake: Lake) -> None:
-    """Box scores and player lines of the pending dates. Only their files are read, and each is parsed once."""
+def _documents(spark: SparkSession, lake: Lake, kind: str, schema, since: dt.date | None):
+    """Documents of all dates with new or changed files, those files, and where both are held; None if there are none.
+
+    A date is read whole, so a late file joins the others of its date. Each file is parsed once.
+    """
     # at most one row per calendar day
-    todo = pending(spark, lake).orderBy("dt").collect()
-    if not todo:
+    days = [r["dt"] for r in pending(spark, lake, kind, since).select("dt").distinct().orderBy("dt").collect() if r["dt"]]
+    if not days:
+        return None
+    folders = [f"{lake.bronze(kind)}/{day}" for day in days]
+    files, files_at = held_at(documents.landed_files(spark, folders), "files")
+    rows, rows_at = held_at(documents.read_documents(spark, folders, schema, lake.multi_line), "documents")
+    quality.enforce(rows, quality.document_gates(), by=["dt"])
+    return rows, files, (files_at, rows_at)
+
+
+def build_silver_schedule(spark: SparkSession, lake: Lake, since: dt.date | None = None) -> None:
+    """New or changed schedule snapshots, one block per snapshot date, gated by date before anything is written."""
+    found = _documents(spark, lake, "schedule", schemas.SCHEDULE_DOCUMENT, since)
+    if found is None:
         return
-    paths = [lake.bronze_boxscores(str(row["dt"])) for row in todo]
-    landed = held(
-        documents.read_documents(spark, paths, schemas.BOXSCORE_DOCUMENT, lake.multi_line), "boxscores"
-    )
+    rows, files, held = found
+    games = flatten.schedule_games(rows, ["dt"])
+    # a snapshot without any game has no rows of its own, so dates come from the documents
+    listed = rows.select("dt").distinct().join(games.select("dt", F.col("game.gameId").alias("game_id"), F.lit(1).alias("one")), "dt", "left")
+    quality.enforce(listed, quality.snapshot_gates(lake.min_games), by=["dt"])
+    quality.enforce(games, quality.schedule_value_gates(), by=["dt"])
+    silver = flatten.derive_schedule(flatten.project_schedule(games, ["dt"]), ["dt"])
+    merge.assert_schema(silver.drop("dt"), schemas.SILVER_SCHEDULE)
+    tables.replace(spark, lake.silver("schedule"), silver)
+    _record(spark, lake, "schedule", files)
+    release(spark, *held)
 
-    def of_dates(flag: str) -> DataFrame:
-        return landed.filter(F.col("dt").isin([row["dt"] for row in todo if row[flag]]))
 
-    if any(row["need_boxscores"] for row in todo):
-        boxes = flatten.silver_boxscores(of_dates("need_boxscores"), ["dt"])
-        quality.enforce(boxes, [quality.not_empty("boxscores")])
-        quality.enforce(boxes, quality.boxscore_gates(), by=["dt"])
-        merge.assert_schema(boxes.drop("dt"), schemas.SILVER_BOXSCORES)
-        merge.write_partitions(boxes, lake.silver("boxscores"))
-    players = flatten.silver_player_stats(of_dates("need_players"), ["dt"])
+def build_silver_games(spark: SparkSession, lake: Lake, since: dt.date | None = None) -> None:
+    """Box scores and player lines of the dates with new or changed files."""
+    found = _documents(spark, lake, "boxscores", schemas.BOXSCORE_DOCUMENT, since)
+    if found is None:
+        return
+    rows, files, held = found
+    boxes = flatten.silver_boxscores(rows, ["dt"])
+    quality.enforce(rows, quality.boxscore_value_gates(), by=["dt"])
+    quality.enforce(rows.select("dt").distinct().join(boxes, "dt", "left"), quality.landed_boxscore_gates(), by=["dt"])
+    merge.assert_schema(boxes.drop("dt"), schemas.SILVER_BOXSCORES)
+    players = flatten.silver_player_stats(rows, ["dt"])
+    merge.assert_schema(players.drop("dt"), schemas.SILVER_PLAYER_STATS)
     if quality.enforce(players, quality.player_gates()):
-        merge.assert_schema(players.drop("dt"), schemas.SILVER_PLAYER_STATS)
-        merge.write_partitions(players, lake.silver("player_stats"))
+        tables.replace(spark, lake.silver("player_stats"), players)
+    tables.replace(spark, lake.silver("boxscores"), boxes)
+    _record(spark, lake, "boxscores", files)
+    release(spark, *held)
+
+
+def ingest_report(spark: SparkSession, lake: Lake, run_start: dt.datetime) -> DataFrame:
+    """Audit of the newest schedule's finished games against all landed box scores; raises when a date got none."""
+    newest = documents.latest_snapshot(tables.read(spark, lake.silver("schedule")))
+    day = F.to_date("game_datetime_utc")
+    wanted = newest.filter(F.col("game_status") == derive.FINAL_STATUS).select(day.alias("dt"), "game_id")
+    files = landed(spark, lake, "boxscores").select(
+        documents.path_game_id(F.col("path")).alias("game_id"), F.to_utc_timestamp("landed_at", "UTC").cast("timestamp_ntz").alias("landed_at")
+    )
+    audit = manifest.ingest_audit(wanted, files.groupBy("game_id").agg(F.max("landed_at").alias("landed_at")), run_start)
+    manifest.require_landed(audit)
+    return audit
 
 
 def load_gold(spark: SparkSession, lake: Lake, since: dt.date | None = None) -> None:
     """Merge Silver into the star schema; the newest date of a key wins.
 
-    Without ``since`` all dates are replayed. With it only dates from then on are read, and rows older than the
-    stored ones change nothing.
+    Without ``since`` all dates are replayed. With it only the Silver blocks from then on are read, and rows older than
+    the stored ones change nothing. Cancellations always follow the newest snapshot of all.
     """
 
     def silver(table: str) -> DataFrame | None:
-        stored = documents.read_table(spark, lake.silver(table))
-        return stored if stored is None or since is None else stored.filter(F.col("dt") >= F.lit(since))
+        current = tables.state(spark, lake.silver(table))
+        if current is None:
+            return None
+        blocks = [b for b in current["blocks"] if since is None or b >= since.isoformat()]
+        return tables.read(spark, lake.silver(table), blocks)
 
     schedule, boxes, lines = silver("schedule"), silver("boxscores"), silver("player_stats")
     if schedule is not None:
-        _load_schedule(spark, lake, schedule.withColumnRenamed("dt", "snapshot"))
+        load_schedule(spark, lake.gold("schedule"), schedule.withColumnRenamed("dt", "snapshot"))
+        newest = max(tables.state(spark, lake.silver("schedule"))["blocks"])
+        cancel(spark, lake.gold("schedule"), tables.read(spark, lake.silver("schedule"), [newest]))
     if boxes is not None:
-        newest = merge.latest_per_key(boxes, ["game_id"], "dt")
-        merge.upsert_partitions(spark, lake.gold("boxscores"), newest, "game_id", version="dt")
+        tables.merge(spark, lake.gold("boxscores"), merge.latest_per_key(boxes, ["game_id"], "dt"), "game_id", version="dt")
     if lines is not None:
-        bucket = F.pmod(F.col("player_id"), F.lit(PLAYER_BUCKETS)).cast("int")
-        players = merge.players_dimension(lines).withColumn("bucket", bucket)
-        merge.upsert_partitions(
-            spark, lake.gold("players"), players, "player_id", partition="bucket", version="dt"
-        )
-        merge.upsert_partitions(spark, lake.gold("player_stats"), merge.player_facts(lines), "pk", version="dt")
+        tables.merge(spark, lake.gold("players"), merge.players_dimension(lines), "player_id", version="dt")
+        tables.merge(spark, lake.gold("player_stats"), merge.player_facts(lines), "pk", version="dt")
 
 
-def _load_schedule(spark: SparkSession, lake: Lake, snapshots: DataFrame) -> None:
-    path = lake.gold("schedule")
+def load_schedule(spark: SparkSession, path: str, snapshots: DataFrame) -> None:
+    """Merge schedule snapshots (Silver columns and ``snapshot``) into the Gold schedule; operational columns stay."""
     newest = merge.latest_per_key(snapshots, ["game_id"], "snapshot")
     columns = [*schemas.SILVER_SCHEDULE.fieldNames(), "snapshot"]
-    batch = merge.add_missing(newest.select(*columns), schemas.GOLD_SCHEDULE_EXTRAS)
     update = [c for c in columns if c != "game_id"]
-    merge.upsert_partitions(spark, path, batch, "game_id", update, partition="game_type", version="snapshot")
-    current = documents.latest_snapshot(snapshots, "snapshot")
-    cancelled = merge.cancel_phantoms(spark.read.parquet(path), current).filter("newly_cancelled")
-    merge.upsert_partitions(
-        spark, path, cancelled.select("game_id", "game_type", "is_cancelled"), "game_id", ["is_cancelled"],
-        partition="game_type",
-    )
+    tables.merge(spark, path, newest.select(*columns), "game_id", "snapshot", update, schemas.GOLD_SCHEDULE_EXTRAS)
+
+
+def cancel(spark: SparkSession, path: str, snapshot: DataFrame) -> None:
+    """Work the cancellations of the Gold schedule out anew from one snapshot; without rows in it nothing changes."""
+    if snapshot.isEmpty():
+        return
+    flags = merge.cancel_phantoms(tables.read(spark, path).withColumn("_was", F.col("is_cancelled")), snapshot)
+    changed = flags.filter(~F.col("_was").eqNullSafe(F.col("is_cancelled"))).select("game_id", "is_cancelled")
+    tables.merge(spark, path, changed, "game_id", None, ["is_cancelled"])
 
 
 def check_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     """Violation counts of every contract over the stored star schema."""
-    tables = [spark.read.parquet(lake.gold(t)) for t in ("schedule", "boxscores", "player_stats", "players")]
-    return quality.contract_suite(*tables)
+    stored = [tables.read(spark, lake.gold(t)) for t in ("schedule", "boxscores", "player_stats", "players")]
+    return quality.contract_suite(*stored)
 
 
 def refresh(spark: SparkSession, lake: Lake, since: dt.date | None = None) -> DataFrame:
-    """The whole way for whatever has landed; returns the contract report. ``since`` as in ``load_gold``."""
-    build_silver_schedule(spark, lake)
-    build_silver_games(spark, lake)
+    """The whole way for whatever has landed; returns the contract report. ``since`` limits all steps to dates from
+    then on."""
+    build_silver_schedule(spark, lake, since)
+    build_silver_games(spark, lake, since)
     load_gold(spark, lake, since)
     return check_gold(spark, lake)

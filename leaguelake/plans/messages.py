@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
 from leaguelake.functions import localtime
-from leaguelake.operators import delivery, merge
+from leaguelake.operators import delivery, merge, tables
 from leaguelake.plans.medallion import Lake
 from leaguelake.session import held
 from leaguelake.sources.documents import read_table
@@ -36,35 +36,31 @@ def _unsent(spark: SparkSession, lake: Lake, messages: DataFrame, channel: str)
 
 
 def results_to_send(
-    spark: SparkSession, lake: Lake, title: str, day: dt.date | None = None, zone: str = localtime.LOCAL_ZONE
+    spark: SparkSession, lake: Lake, title: str, day: dt.date, zone: str = localtime.LOCAL_ZONE
 ) -> DataFrame:
-    """Digests of local dates (or of one) not sent before; their dates are reserved."""
-    schedule, boxes = spark.read.parquet(lake.gold("schedule")), spark.read.parquet(lake.gold("boxscores"))
-    digest = held(delivery.results_digest(schedule, boxes, title, zone, day), "digest")
+    """The digest of the run's local date if it was not sent before; the date is reserved."""
+    schedule, boxes = read_table(spark, lake.gold("schedule")), read_table(spark, lake.gold("boxscores"))
+    digest = held(delivery.results_message(schedule, boxes, title, day, zone), "digest")
     return _unsent(spark, lake, digest, "results")
 
 
-def polls_to_send(
-    spark: SparkSession, lake: Lake, day: dt.date | None = None, zone: str = localtime.LOCAL_ZONE
-) -> DataFrame:
-    """Polls of local dates (or of one) not sent before; their dates are reserved."""
-    polls = held(delivery.due_polls(spark.read.parquet(lake.gold("schedule")), zone, day), "polls")
+def polls_to_send(spark: SparkSession, lake: Lake, day: dt.date, zone: str = localtime.LOCAL_ZONE) -> DataFrame:
+    """Polls of the run's local date if they were not sent before; the date is reserved."""
+    polls = held(delivery.due_polls(read_table(spark, lake.gold("schedule")), zone, day), "polls")
     return _unsent(spark, lake, polls, "polls").orderBy("game_datetime_utc", "game_id")
 
 
 def record_polls(spark: SparkSession, lake: Lake, patches: DataFrame) -> None:
-    """Store (game_id, poll_message_id) on the schedule; a NULL id clears it."""
-    schedule = spark.read.parquet(lake.gold("schedule")).select("game_id", "game_type")
-    merge.upsert_partitions(
-        spark, lake.gold("schedule"), patches.join(schedule, "game_id"), "game_id", ["poll_message_id"],
-        partition="game_type",
-    )
+    """Store (game_id, poll_message_id) on the schedule; a NULL id clears it. Ids of unknown games are left out."""
+    known = patches.join(read_table(spark, lake.gold("schedule")).select("game_id"), "game_id", "left_semi")
+    latest = known.groupBy("game_id").agg(F.max("poll_message_id").alias("poll_message_id"))
+    tables.merge(spark, lake.gold("schedule"), latest, "game_id", None, ["poll_message_id"])
 
 
 def close_polls(spark: SparkSession, lake: Lake, now: dt.datetime) -> DataFrame:
     """Polls that are due at ``now``; their ids are cleared from the schedule."""
     due = held(
-        delivery.polls_to_close(spark.read.parquet(lake.gold("schedule")), now).filter("is_due"), "closing"
+        delivery.polls_to_close(read_table(spark, lake.gold("schedule")), now).filter("is_due"), "closing"
     )
     record_polls(spark, lake, delivery.closed_poll_patch(due))
     return due

@@ -23,7 +23,7 @@ CTES = {
     "teams": """teams AS (
   SELECT n_nationkey AS id, n_name AS name, r_name AS city,
     'T' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code
-  FROM nation JOIN region ON n_regionkey = r_regionkey)""",
+  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey)""",
     "games": """games AS (
   SELECT t.*, h.id AS home_id, h.name AS home_name, h.city AS home_city, h.code AS home_code,
     a.id AS away_id, a.name AS away_name, a.city AS away_city, a.code AS away_code,
@@ -31,9 +31,9 @@ CTES = {
     CASE WHEN (t.k + 1) % 4 <> 3 THEN a.city END AS brazil_broadcaster,
     CASE t.k % 6 WHEN 0 THEN h.code || ' leads 3-1' WHEN 1 THEN a.code || ' wins 4-2' WHEN 2 THEN 'Series tied 2-2'
       WHEN 3 THEN '' WHEN 5 THEN h.code || ' vs ' || a.code END AS series_text
-  FROM typed t JOIN customer c ON t.o_custkey = c.c_custkey
-  JOIN teams h ON h.id = c.c_nationkey
-  JOIN teams a ON a.id = (c.c_nationkey + 1 + t.k % 24) % 25)""",
+  FROM typed t LEFT JOIN customer c ON t.o_custkey = c.c_custkey
+  LEFT JOIN teams h ON h.id = c.c_nationkey
+  LEFT JOIN teams a ON a.id = (c.c_nationkey + 1 + t.k % 24) % 25)""",
     "parsed": r"""parsed AS (
   SELECT *, TRY_CAST(regexp_extract(series_text, '(\d+)-(\d+)', 1) AS INTEGER) AS a,
     TRY_CAST(regexp_extract(series_text, '(\d+)-(\d+)', 2) AS INTEGER) AS b,
@@ -135,60 +135,62 @@ TEAM_COLUMNS = """CAST(CASE s.side WHEN 'home' THEN g.home_id ELSE g.away_id END
     CASE s.side WHEN 'home' THEN g.home_city ELSE g.away_city END AS team_city,
     CASE s.side WHEN 'home' THEN g.home_name ELSE g.away_name END AS team_name"""
 
-# the digest by local date in pages of 200 results
-DIGEST = _with("games scores", f"""
+# the flag that a snapshot gives; NULL where it says nothing
+CANCELLED = """CASE WHEN s.game_type = 'playoff' AND {status} <> 3
+    THEN {gone} OR COALESCE(s.home_series_wins >= 4, FALSE) OR COALESCE(s.away_series_wins >= 4, FALSE)
+    WHEN NOT {gone} THEN FALSE END"""
+
+RESULTS = f"""
 , results AS (
-  SELECT CAST({local('ts')} AS DATE) AS local_date, ts, game_id,
-    away_name || CASE WHEN away_score > home_score THEN ' ✅' ELSE '' END || ' *'
+  SELECT CAST({local('ts')} AS DATE) AS local_date, ts AS game_datetime_utc, game_id,
+    COALESCE(away_name, '-') || CASE WHEN away_score > home_score THEN ' ✅' ELSE '' END || ' *'
       || COALESCE(CAST(away_score AS VARCHAR), '-') || '*  x  *' || COALESCE(CAST(home_score AS VARCHAR), '-') || '* '
-      || home_name || CASE WHEN home_score > away_score THEN ' ✅' ELSE '' END AS line
-  FROM games g JOIN scores s ON g.k = s.k WHERE status = 3),
-numbered AS (
-  SELECT *, (row_number() OVER (PARTITION BY local_date ORDER BY ts, game_id) - 1) // 200 AS page FROM results)
-SELECT local_date, CAST(page AS BIGINT) AS page, CAST(COUNT(*) AS BIGINT) AS n_games,
-  '🏀 *Resultados — ' || CAST(local_date AS VARCHAR) || '*' || chr(10) || chr(10)
-    || string_agg(line, chr(10) || chr(10) ORDER BY ts, game_id) AS body
-FROM numbered GROUP BY local_date, page""")
+      || COALESCE(home_name, '-') || CASE WHEN home_score > away_score THEN ' ✅' ELSE '' END AS line
+  FROM games g JOIN scores s ON g.k = s.k WHERE status = 3)"""
+DIGEST = _with("games scores", RESULTS + "\nSELECT * FROM results")
 
 
 def _contracts(schedule: str, boxes: str, facts: str, players: str) -> str:
-    def check(name, kind, body):
-        return (
-            f"SELECT '{name}' AS check_name, '{kind}' AS kind, CAST((SELECT COUNT(*) FROM {body}) AS BIGINT) AS violations"
-        )
+    """Counts of broken rules: every table is read once for its own rules, and once for each rule that needs another table."""
+
+    def outside(table: str, key: str, other: str, test: str = "TRUE") -> str:
+        return f"(SELECT COUNT(*) FROM {table} x WHERE ({test}) AND NOT EXISTS (FROM {other} y WHERE y.{key} = x.{key}))"
 
-    checks = [
-        ("boxscore_game_in_schedule", "referential", "cb b LEFT JOIN cs s ON b.game_id = s.game_id WHERE s.game_id IS NULL"),
-        ("player_stats_game_in_schedule", "referential", "cf p LEFT JOIN cs s ON p.game_id = s.game_id WHERE s.game_id IS NULL"),
-        ("player_stats_player_in_dim", "referential", "cf p LEFT JOIN cp d ON p.player_id = d.player_id WHERE d.player_id IS NULL"),
-        ("final_game_has_boxscore", "completeness",
-         "cs s LEFT JOIN cb b ON s.game_id = b.game_id WHERE s.game_status = 3 AND b.game_id IS NULL"),
-        ("final_game_has_player_stats", "completeness",
-         "cb b LEFT JOIN cf p ON b.game_id = p.game_id WHERE b.is_final AND p.game_id IS NULL"),
-        ("game_has_two_sides", "cardinality",
-         "(SELECT game_id FROM cf GROUP BY game_id HAVING COUNT(DISTINCT side) <> 2)"),
-        ("scores_not_negative", "row", "cb WHERE home_score < 0 OR away_score < 0"),
-        ("final_scores_plausible", "joined row",
-         "cb b JOIN cs s ON b.game_id = s.game_id WHERE b.is_final AND s.game_type IN ('regular', 'playoff', 'play-in') "
-         "AND (b.home_score < 60 OR b.away_score < 60)"),
-        ("winner_domain", "domain", "cb WHERE winner NOT IN ('home', 'away') AND winner IS NOT NULL"),
-        ("game_type_domain", "domain", "cs WHERE game_type NOT IN ('regular', 'playoff', 'play-in', 'preseason')"),
-        ("side_domain", "domain", "cf WHERE side NOT IN ('home', 'away')"),
-        ("percentages_in_range", "range",
-         "cf WHERE fg_pct < 0 OR fg_pct > 1 OR tp_pct < 0 OR tp_pct > 1 OR ft_pct < 0 OR ft_pct > 1"),
-        ("points_not_negative", "range", "cf WHERE pts < 0"),
-        ("winner_matches_score", "cross-column",
-         "cb WHERE is_final AND ((home_score > away_score AND winner <> 'home') OR (away_score > home_score AND winner <> 'away'))"),
-        ("player_stats_key_unique", "key",
-         "(SELECT game_id, player_id FROM cf GROUP BY game_id, player_id HAVING COUNT(*) > 1)"),
-        ("made_within_attempted", "cross-column", "cf WHERE fgm > fga OR tpm > tpa OR ftm > fta"),
-    ]
+    shares = " OR ".join(f"{c} NOT BETWEEN 0 AND 1" for c in ("fg_pct", "tp_pct", "ft_pct"))
+    made = " OR ".join(f"{a}m > {a}a" for a in ("fg", "tp", "ft"))
+    better = "CASE sign(home_score - away_score) WHEN 1 THEN 'home' WHEN -1 THEN 'away' END"
+    rules = {
+        "boxscore_game_in_schedule": ("referential", outside("boxed", "game_id", "listed")),
+        "player_stats_game_in_schedule": ("referential", outside("stat_lines", "game_id", "listed")),
+        "player_stats_player_in_dim": ("referential", outside("stat_lines", "player_id", "known")),
+        "final_game_has_boxscore": ("completeness", outside("listed", "game_id", "boxed", "game_status = 3")),
+        "final_game_has_player_stats": ("completeness", outside("boxed", "game_id", "stat_lines", "is_final")),
+        "game_has_two_sides": ("cardinality", "(SELECT COUNT(*) FILTER (sides <> 2) FROM by_game)"),
+        "scores_not_negative": ("row", "(SELECT COUNT(*) FILTER (least(home_score, away_score) < 0) FROM boxed)"),
+        "final_scores_plausible": (
+            "joined row",
+            "(SELECT COUNT(*) FROM boxed WHERE is_final AND least(home_score, away_score) < 60 AND game_id IN "
+            "(SELECT game_id FROM listed WHERE list_contains(['regular', 'playoff', 'play-in'], game_type)))",
+        ),
+        "winner_domain": ("domain", "(SELECT COUNT(winner) FILTER (NOT list_contains(['home', 'away'], winner)) FROM boxed)"),
+        "game_type_domain": (
+            "domain",
+            "(SELECT COUNT(game_type) FILTER (NOT list_contains(['regular', 'playoff', 'play-in', 'preseason'], game_type)) FROM listed)",
+        ),
+        "side_domain": ("domain", "(SELECT COUNT(side) FILTER (NOT list_contains(['home', 'away'], side)) FROM stat_lines)"),
+        "percentages_in_range": ("range", f"(SELECT COUNT(*) FILTER ({shares}) FROM stat_lines)"),
+        "points_not_negative": ("range", "(SELECT COUNT(*) FILTER (sign(pts) = -1) FROM stat_lines)"),
+        "winner_matches_score": ("cross-column", f"(SELECT COUNT(*) FILTER (is_final AND winner <> {better}) FROM boxed)"),
+        "player_stats_key_unique": ("key", "(SELECT COUNT(*) FILTER (copies > 1) FROM by_line)"),
+        "made_within_attempted": ("cross-column", f"(SELECT COUNT(*) FILTER ({made}) FROM stat_lines)"),
+    }
+    rows = ",\n".join(f"('{name}', '{kind}', {count})" for name, (kind, count) in rules.items())
     return _with("facts boxes", f""",
-cs AS ({schedule}),
-cb AS ({boxes}),
-cf AS ({facts}),
-cp AS ({players})
-""" + "\nUNION ALL\n".join(check(*c) for c in checks))
+listed AS ({schedule}), boxed AS ({boxes}), stat_lines AS ({facts}), known AS ({players}),
+by_game AS (SELECT game_id, COUNT(DISTINCT side) AS sides FROM stat_lines GROUP BY game_id),
+by_line AS (SELECT COUNT(*) AS copies FROM stat_lines GROUP BY game_id, player_id)
+SELECT rule AS check_name, kind, CAST(broken AS BIGINT) AS violations
+FROM (VALUES {rows}) AS counted(rule, kind, broken)""")
 
 
 SQL = {
@@ -208,10 +210,7 @@ SELECT s.game_id, {TEAM_COLUMNS}, s.side, s.player_id, s_name AS player_name, p_
 FROM stats s JOIN games g ON s.k = g.k
 LEFT JOIN supplier ON s.player_id = s_suppkey LEFT JOIN part ON s.part_id = p_partkey"""),
     "wanted_manifest": _with("keys", "SELECT dt, game_id FROM keys"),
-    "completed_manifest": _with("finished", """
-SELECT dt, CAST(page AS BIGINT) AS page, string_agg(game_id, ',' ORDER BY game_id) AS game_ids
-FROM (SELECT *, (row_number() OVER (PARTITION BY dt ORDER BY game_id) - 1) // 1000 AS page FROM finished)
-GROUP BY dt, page"""),
+    "completed_manifest": _with("finished", "SELECT dt, game_id FROM finished"),
     "missing_games": _with("finished landed", """
 SELECT dt, game_id FROM finished f WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.k = f.k)"""),
     "pending_dates": _with("keys", """
@@ -231,12 +230,24 @@ SELECT source, priority, total_games, total_games >= 3000 AS accepted,
   COALESCE(priority = (SELECT MIN(priority) FROM totals WHERE total_games >= 3000), FALSE) AS chosen FROM totals"""),
     "latest_snapshot": _with("second_day", "SELECT snapshot, game_id, status AS game_status FROM second_day"),
     "silver_gates": _with("typed scores", """
-SELECT 'schedule_not_empty' AS gate, 'fail' AS policy, COUNT(*) > 0 AS passed FROM typed
-UNION ALL SELECT 'schedule_loss', 'fail', (COUNT(*) - COUNT(game_id)) <= 0.2 * COUNT(*) FROM typed
-UNION ALL SELECT 'schedule_ids_unique', 'fail', COUNT(DISTINCT game_id) = COUNT(game_id) FROM typed
-UNION ALL SELECT 'boxscores_not_empty', 'fail', COUNT(*) > 0 FROM scores
-UNION ALL SELECT 'boxscore_scores', 'fail', COUNT(*) FILTER (home_score < 0 OR away_score < 0) = 0 FROM scores
-UNION ALL SELECT 'player_lines_not_empty', 'skip', COUNT(*) FILTER (played) > 0 FROM lines"""),
+, ids AS (
+  SELECT 'given' AS rows, game_id FROM typed UNION ALL
+  SELECT 'planted', CASE WHEN k % 4 = 0 THEN NULL WHEN k % 97 = 0 THEN '0021' ELSE game_id END FROM typed),
+starts AS (SELECT 'given' AS rows, FALSE AS bad FROM typed UNION ALL SELECT 'planted', status = 2 FROM typed),
+marks AS (
+  SELECT 'given' AS rows, least(home_score, away_score) AS low FROM scores UNION ALL
+  SELECT 'planted', least(CASE WHEN k % 89 = 0 THEN -home_score ELSE home_score END, away_score) FROM scores),
+counted AS (
+  SELECT rows, COUNT(*) AS n, COUNT(game_id) AS kept, COUNT(DISTINCT game_id) AS ids FROM ids GROUP BY rows)
+SELECT rows, 'schedule_not_empty' AS gate, 'fail' AS policy, kept > 0 AS passed FROM counted
+UNION ALL SELECT rows, 'schedule_loss', 'fail', (n - kept) <= 0.2 * n FROM counted
+UNION ALL SELECT rows, 'schedule_ids_unique', 'fail', ids = kept FROM counted
+UNION ALL SELECT rows, 'schedule_status_typed', 'fail', TRUE FROM counted
+UNION ALL SELECT rows, 'schedule_start_typed', 'fail', NOT bool_or(bad) FROM starts GROUP BY rows
+UNION ALL SELECT rows, 'boxscores_not_empty', 'fail', COUNT(*) > 0 FROM marks GROUP BY rows
+UNION ALL SELECT rows, 'boxscore_scores', 'fail', COUNT(*) FILTER (low < 0) = 0 FROM marks GROUP BY rows
+UNION ALL SELECT 'given', 'player_lines_not_empty', 'skip', COUNT(*) FILTER (played) > 0 FROM lines
+UNION ALL SELECT 'planted', 'player_lines_not_empty', 'skip', FALSE"""),
     "parameterised_read": _with("typed", f"""
 SELECT CAST({local('ts')} AS DATE) AS run_date, game_id, game_type, status AS game_status FROM typed
 WHERE CAST({local('ts')} AS DATE) IN (DATE '1997-03-15', DATE '2050-01-01') AND game_type <> 'preseason'"""),
@@ -256,13 +267,43 @@ UNION ALL
 SELECT CAST(date_trunc('month', dt) AS DATE), game_id, status, snapshot FROM second_day WHERE dt >= DATE '1998-01-01'"""),
     "pk_violations": _with("stats", """
 SELECT game_id, player_id, CAST(COUNT(*) AS BIGINT) AS n_rows FROM stats GROUP BY game_id, player_id HAVING COUNT(*) > 1"""),
-    "cancel_phantoms": _with("newest schedule", """
-, judged AS (
-  SELECT s.game_id, s.k % 50 = 0 AS was,
-    s.game_type = 'playoff' AND n.status <> 3
-      AND (n.called_off OR s.home_series_wins >= 4 OR s.away_series_wins >= 4) AS hit
-  FROM schedule s JOIN newest n ON s.k = n.k)
-SELECT game_id, was OR COALESCE(hit, FALSE) AS is_cancelled, NOT was AND COALESCE(hit, FALSE) AS newly_cancelled FROM judged"""),
+    "cancel_phantoms": _with("newest schedule", f"""
+, judged AS (SELECT s.game_id, s.k % 50 = 0 AS was, {CANCELLED.format(status='n.status', gone='n.called_off')} AS flag
+  FROM schedule s JOIN newest n ON s.k = n.k),
+settled AS (SELECT game_id, was, COALESCE(flag, was) AS flag FROM judged)
+SELECT game_id, flag AS is_cancelled, flag AND NOT was AS newly_cancelled FROM settled"""),
+    "cancel_replay": _with("newest schedule", f"""
+SELECT 1 AS step, game_id, COALESCE({CANCELLED.format(status='s.game_status', gone='FALSE')}, FALSE) AS is_cancelled FROM schedule s
+UNION ALL
+SELECT 2, s.game_id, COALESCE({CANCELLED.format(status='n.status', gone='n.called_off')}, FALSE)
+FROM schedule s JOIN newest n ON s.k = n.k
+UNION ALL
+SELECT 3, game_id, COALESCE({CANCELLED.format(status='s.game_status', gone='FALSE')}, FALSE) FROM schedule s"""),
+    "table_upsert": _with("first_day second_day", """
+SELECT f.game_id, CAST(CASE WHEN s.k IS NULL THEN f.dt + 1 WHEN s.k % 10 = 0 THEN s.dt + 30 ELSE s.dt END AS DATE) AS dt,
+  COALESCE(s.status, f.status) AS game_status,
+  CAST(CASE WHEN s.k IS NULL THEN f.snapshot WHEN s.k % 10 = 0 THEN s.snapshot + 1 ELSE s.snapshot END AS DATE) AS snapshot,
+  FALSE AS is_cancelled
+FROM first_day f LEFT JOIN second_day s ON f.k = s.k"""),
+    "file_scan_schedule": _with("schedule second_day", f"""
+SELECT {SCHEDULE_COLUMNS}, DATE '2026-01-01' AS snapshot FROM schedule
+UNION ALL
+SELECT s.* EXCLUDE (k, dt) REPLACE (n.status AS game_status), DATE '2026-01-02'
+FROM schedule s JOIN second_day n ON s.k = n.k"""),
+    "file_scan_boxscores": _with("games stats", f"""
+SELECT s.game_id, {TEAM_COLUMNS}, s.side, s.player_id, s_name AS player_name, p_type AS position, s.starter, {STAT_COLUMNS},
+  DATE '2026-01-01' AS landed
+FROM stats s JOIN games g ON s.k = g.k
+LEFT JOIN supplier ON s.player_id = s_suppkey LEFT JOIN part ON s.part_id = p_partkey"""),
+    "table_roundtrip": _with("schedule", f"""
+SELECT {SCHEDULE_COLUMNS} FROM schedule WHERE dt IN (DATE '1997-03-15', DATE '2050-01-01')"""),
+    "incremental_boxscores": _with("typed scores", """
+, corrected AS (
+  SELECT game_id, CAST('1' || home_score AS INTEGER) AS home_score, CAST('1' || away_score AS INTEGER) AS away_score
+  FROM typed t JOIN scores s ON t.k = s.k)
+SELECT *, CASE WHEN away_score > home_score THEN 'away' WHEN home_score > away_score THEN 'home' ELSE 'data_anomaly' END AS winner,
+  DATE '2026-01-02' AS dt
+FROM corrected"""),
     "patch_column": _with("keys", """
 SELECT game_id, ts AS game_datetime_utc,
   CASE WHEN priority = 5 THEN CASE WHEN status = 1 THEN k + 1 END WHEN k % 3 = 0 THEN k * 10 END AS poll_message_id
@@ -288,6 +329,11 @@ FROM keys"""),
     ),
     "results_digest": DIGEST,
     "results_digest_documents": DIGEST,
+    "results_message": _with("games scores", RESULTS + """
+SELECT local_date, CAST(COUNT(*) AS BIGINT) AS n_games,
+  '🏀 *Resultados — ' || CAST(local_date AS VARCHAR) || '*' || chr(10) || chr(10)
+    || string_agg(line, chr(10) || chr(10) ORDER BY game_datetime_utc, game_id) AS body
+FROM results WHERE local_date IN (DATE '1997-03-15', DATE '2050-01-01') GROUP BY local_date"""),
     "due_polls": _with("schedule", f"""
 , due AS (SELECT *, {local('game_datetime_utc')} AS lt FROM schedule WHERE k % 3 <> 0)
 SELECT CAST(lt AS DATE) AS local_date, game_datetime_utc, game_id,

@@ -102,5 +102,5 @@ GOLD_SCHEDULE_EXTRAS = {
     "poll_message_id": ("bigint", None),
     "is_cancelled": ("boolean", False),
 }
-DATES = _struct(dt=DATE)
+INGESTED = T.StructType([T.StructField("path", T.StringType()), T.StructField("dt", T.DateType()), T.StructField("landed_at", T.TimestampType())])
 GOLD_LEDGER = _struct(sent_date=DATE, channel=TEXT)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,20 +31,16 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
 
 
 def working_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
 
-    A machine-local folder is chosen only for local mode, where driver and executors share one disk.
+    Where it is unset, a folder in the warehouse is set: the warehouse is shared as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(root)
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="leaguelake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if not root:
+        root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_leaguelake")
+        spark.conf.set("spark.checkpoint.dir", root)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
@@ -59,6 +54,24 @@ def held(df: DataFrame, name: str) -> DataFrame:
 
     Later steps read the files: they neither repeat the work nor depend on executors that may be lost.
     """
+    return held_at(df, name)[0]
+
+
+def held_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``held``, with the path, for callers that release it when all that reads it has run."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, whatever its scheme, and the path as that system has it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete held tables that nothing reads any more."""
+    for path in paths:
+        files, where = file_system(spark, path)
+        files.delete(where, True)

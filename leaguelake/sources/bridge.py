@@ -1,23 +1,21 @@
 """League-shaped data derived from the order tables, so every query works on the given tables.
 
 An order is a game, its line items are player lines. ``*_documents`` build the nested raw documents, the
-``silver_*`` functions give the same rows as typed tables (both routes are compared with SQL). Only the teams
-are broadcast by name; of the other lookups Spark broadcasts what its size statistics allow.
+``silver_*`` functions give the same rows as typed tables (both routes are compared with SQL). Lookups keep games
+and lines that find no match; Spark broadcasts what its size statistics allow.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
 from leaguelake.functions import derive
 from leaguelake.operators.flatten import derive_boxscore, derive_schedule
-from leaguelake.operators.ordered import number_rows, split_large_groups
 
-TEAMS = 25
+AWAY_TEAMS = 25  # the away team is drawn from this many
 CALLED_OFF_BELOW = 5000.0  # orders below this price are games the second snapshot no longer lists
 GAMES_PER_DOCUMENT = 64
 LINES_PER_DOCUMENT = 512
@@ -58,10 +56,9 @@ def game_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The teams, at most TEAMS rows: team ids are taken modulo that number. So they may be broadcast."""
-    nation = load(spark, sf_dir, "nation").filter(F.col("n_nationkey").between(0, TEAMS - 1))
-    region = load(spark, sf_dir, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    """All teams with their city."""
+    nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
         F.col("n_nationkey").alias("id"),
         F.col("n_name").alias("name"),
         F.col("r_name").alias("city"),
@@ -70,11 +67,11 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Games with both teams, game code, series label and broadcaster names."""
+    """Every game with both teams, game code, series label and broadcaster names; an unknown team has no name."""
     sides = teams(spark, sf_dir)
 
     def side(name: str) -> DataFrame:
-        return F.broadcast(sides.select(*[F.col(c).alias(f"{name}_{c}") for c in sides.columns]))
+        return sides.select(*[F.col(c).alias(f"{name}_{c}") for c in sides.columns])
 
     customers = load(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("home_id")
@@ -82,10 +79,10 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("game_no")
     full = (
         game_keys(spark, sf_dir)
-        .join(customers, "o_custkey")
-        .withColumn("away_id", ((F.col("home_id") + 1 + key % (TEAMS - 1)) % TEAMS).cast("int"))
-        .join(side("home"), "home_id")
-        .join(side("away"), "away_id")
+        .join(customers, "o_custkey", "left")
+        .withColumn("away_id", ((F.col("home_id") + 1 + key % (AWAY_TEAMS - 1)) % AWAY_TEAMS).cast("int"))
+        .join(side("home"), "home_id", "left")
+        .join(side("away"), "away_id", "left")
     )
     home, away = F.col("home_code"), F.col("away_code")
     label = (
@@ -305,33 +302,42 @@ def silver_player_stats(
     )
 
 
+def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return games(spark, sf_dir).join(scores(lines(spark, sf_dir)), "game_no")
+
+
+def _boxscore_document(players: dict[str, Column]) -> Column:
+    """A document from the header columns and the JSON text of each side's players."""
+
+    def team(side: str) -> Column:
+        plain = F.to_json(
+            F.struct(
+                F.col(f"{side}_id").alias("teamId"), F.col(f"{side}_city").alias("teamCity"),
+                F.col(f"{side}_name").alias("teamName"), F.col(f"{side}_score").alias("score"),
+            )
+        )
+        opened = F.rtrim(plain, F.lit("}"))
+        comma = F.when(F.length(opened) > 1, ",").otherwise("")
+        return F.concat(opened, comma, F.lit('"players":['), players[side], F.lit("]}"))
+
+    return F.concat(
+        F.lit('{"game":{"gameId":"'), F.col("game_id"), F.lit('","gameStatus":'), F.coalesce(F.col("game_status").cast("string"), F.lit("null")),
+        F.lit(',"homeTeam":'), team("home"), F.lit(',"awayTeam":'), team("away"), F.lit("}}"),
+    )
+
+
+def boxscore_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One box score document (dt, doc) per game, without players; no player line is put into a list."""
+    none = F.lit("")
+    return _headers(spark, sf_dir).select("dt", _boxscore_document({"home": none, "away": none}).alias("doc"))
+
+
 def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Box score documents (dt, part, doc), one per game.
+    """Box score documents (dt, doc) with the players of at most LINES_PER_DOCUMENT neighbouring rows of a source file.
 
-    A game with more than LINES_PER_DOCUMENT lines spreads over several documents (``part`` counts from 0)
-    that repeat the header, so no task gathers all lines of one game.
+    The lines of a game thus come in one document for each stretch of a file that holds some, each with the game's header,
+    and no task gathers all lines of one game.
     """
-    base = lines(spark, sf_dir)
-    small, large = split_large_groups(
-        with_player_names(lines(spark, sf_dir, with_place=True), spark, sf_dir),
-        ["game_no"],
-        LINES_PER_DOCUMENT,
-        sizes_from=base,
-    )
-    heads = games(spark, sf_dir).join(scores(base), "game_no")
-    built = []
-    if small is not None:
-        built.append(_boxscore_documents(small.withColumn("part", F.lit(0).cast("bigint")), heads, ["game_no"]))
-    if large is not None:
-        order = [F.col("player_id"), F.col("row_file"), F.col("row_index")]
-        numbered = number_rows(large, ["game_no"], order, "place")
-        parts = numbered.withColumn("part", F.floor((F.col("place") - 1) / LINES_PER_DOCUMENT).cast("bigint"))
-        built.append(_boxscore_documents(parts, heads, ["game_no", "part"]))
-    return reduce(DataFrame.unionByName, built)
-
-
-def _boxscore_documents(listed: DataFrame, heads: DataFrame, spread: list[str]) -> DataFrame:
-    """Documents of bounded length. Lines move once, to the task that also writes their document."""
     idle = F.when(F.col("played") == "0", "INACTIVE")
     player = F.to_json(
         F.struct(
@@ -349,26 +355,13 @@ def _boxscore_documents(listed: DataFrame, heads: DataFrame, spread: list[str])
         return F.array_join(F.collect_list(F.when(F.col("side") == side, F.col("player"))), ",")
 
     grouped = (
-        listed.repartition(*spread)
-        .withColumn("player", player)
-        .groupBy("game_no", "part")
+        with_player_names(lines(spark, sf_dir, with_place=True), spark, sf_dir)
+        .withColumns({"stretch": F.expr(f"row_index div {LINES_PER_DOCUMENT}"), "player": player})
+        .groupBy("game_no", "row_file", "stretch")
         .agg(players("home").alias("home_players"), players("away").alias("away_players"))
     )
-
-    def team(side: str) -> Column:
-        plain = F.to_json(
-            F.struct(
-                F.col(f"{side}_id").alias("teamId"), F.col(f"{side}_city").alias("teamCity"),
-                F.col(f"{side}_name").alias("teamName"), F.col(f"{side}_score").alias("score"),
-            )
-        )
-        return F.concat(F.rtrim(plain, F.lit("}")), F.lit(',"players":['), F.col(f"{side}_players"), F.lit("]}"))
-
-    doc = F.concat(
-        F.lit('{"game":{"gameId":"'), F.col("game_id"), F.lit('","gameStatus":'), F.col("game_status"),
-        F.lit(',"homeTeam":'), team("home"), F.lit(',"awayTeam":'), team("away"), F.lit("}}"),
-    )
-    return grouped.join(heads, "game_no").select("dt", "part", doc.alias("doc"))
+    doc = _boxscore_document({side: F.col(f"{side}_players") for side in ("home", "away")})
+    return grouped.join(_headers(spark, sf_dir), "game_no").select("dt", doc.alias("doc"))
 
 
 def landed_games(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,27 +3,34 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from leaguelake.operators import tables
+from leaguelake.session import file_system
 
 # landed files lie at <root>/<yyyy-MM-dd>/<file>.json
 DATE_IN_PATH = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
 GAME_ID_IN_PATH = r"boxscore_([^/]+)\.json$"
 
 
+BROKEN = "_corrupt_record"
+
+
 def read_documents(
     spark: SparkSession, paths: str | list[str], schema: StructType, multi_line: bool = True
 ) -> DataFrame:
     """JSON documents with an explicit schema, plus ``path`` and the landing date ``dt`` taken from it.
 
     ``multi_line`` reads one document per file. Set it to False for files with one document per line, which
-    Spark can split.
+    Spark can split. A document that is not JSON of that form has NULL fields and its text in ``_corrupt_record``.
     """
     return (
-        spark.read.schema(schema)
+        spark.read.schema(StructType([*schema.fields, StructField(BROKEN, StringType())]))
         .option("multiLine", multi_line)
         .json(paths)
         .select("*", F.col("_metadata.file_path").alias("path"))
@@ -31,6 +38,15 @@ def read_documents(
     )
 
 
+def date_folders(spark: SparkSession, root: str, since: dt.date | None = None) -> list[str]:
+    """Folders <root>/<yyyy-MM-dd> from ``since`` on, by name alone: one listing, at most one entry per day."""
+    files, where = file_system(spark, root)
+    if not files.exists(where):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()]
+    return sorted(f"{root}/{n}" for n in names if re.fullmatch(r"\d{4}-\d{2}-\d{2}", n) and (since is None or n >= since.isoformat()))
+
+
 def landed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, dt, landed_at) of the files at ``paths``, from the listing alone: no file is opened."""
     return spark.read.format("binaryFile").load(paths).select(
@@ -55,9 +71,12 @@ def parse_documents(raw: DataFrame, schema: StructType, column: str = "doc") ->
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A stored Parquet table, or None when nothing was written at ``path`` yet."""
+    """A committed table (see ``operators.tables``) or a plain Parquet one, or None when nothing was written yet."""
+    committed = tables.read(spark, path)
+    if committed is not None:
+        return committed
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

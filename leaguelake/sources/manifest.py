@@ -9,10 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leaguelake.functions import derive, localtime
 from leaguelake.operators.flatten import schedule_games
-from leaguelake.operators.ordered import paged
 
 MIN_GAMES = 100  # fixed: a schedule source with fewer games counts as truncated
-IDS_PER_PAGE = 1000
 
 
 def games_in_document() -> Column:
@@ -77,20 +75,6 @@ def completed_games(schedule: DataFrame) -> DataFrame:
     )
 
 
-def grouped_manifest(
-    games: DataFrame, ids_per_page: int = IDS_PER_PAGE, sizes_from: DataFrame | None = None
-) -> DataFrame:
-    """(dt, page, game_ids): ids of each date as sorted lists of bounded length; ``page`` 0 alone is usual.
-
-    ``sizes_from`` may name a cheaper frame with at least as many rows per date (see ``ordered.paged``).
-    """
-    return (
-        paged(games, ["dt"], [F.col("game_id")], ids_per_page, sizes_from)
-        .groupBy("dt", "page")
-        .agg(F.array_sort(F.collect_list("game_id")).alias("game_ids"))
-    )
-
-
 def missing_games(wanted: DataFrame, landed: DataFrame) -> DataFrame:
     """Wanted games without a landed document. Completeness goes by game, not by date folder."""
     return wanted.join(landed.select("game_id"), "game_id", "left_anti").select("dt", "game_id")
@@ -135,7 +119,7 @@ def ingest_audit(wanted: DataFrame, landed: DataFrame, run_start: dt.datetime) -
 
 def require_landed(audit: DataFrame) -> None:
     """Raise when games of some date were wanted and none of them landed."""
-    dates = audit.filter(F.col("none_landed") & F.col("dt").isNotNull()).select("dt")
-    empty = dates.orderBy("dt").limit(20).collect()
-    if empty:
-        raise ValueError("no box score landed for " + ", ".join(str(r["dt"]) for r in empty))
+    dates = audit.filter(F.col("none_landed") & F.col("dt").isNotNull())
+    found = dates.agg(F.count(F.lit(1)).alias("n"), F.min("dt").alias("first"), F.max("dt").alias("last")).first()
+    if found["n"]:
+        raise ValueError(f"no box score landed for {found['n']} dates from {found['first']} to {found['last']}")

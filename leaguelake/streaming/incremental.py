@@ -1,12 +1,13 @@
-"""Bronze to Silver as documents land: new files only, safe to replay, late corrections by snapshot date."""
+"""Bronze to Silver as documents land: new files only, safe to replay, in any order of arrival."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
-from leaguelake.operators import flatten, merge, quality
-from leaguelake.session import held
+from leaguelake.functions import derive
+from leaguelake.operators import flatten, merge, quality, tables
+from leaguelake.session import held_at, release
 from leaguelake.sources.documents import path_date
 
 
@@ -32,9 +33,7 @@ def follow_schedule(
     )
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        merge.upsert_partitions(
-            batch.sparkSession, table, schedule_batch(batch), "game_id", partition="game_type", version="snapshot"
-        )
+        tables.merge(batch.sparkSession, table, schedule_batch(batch), "game_id", version="snapshot")
 
     _drain(documents, apply, checkpoint)
 
@@ -42,7 +41,11 @@ def follow_schedule(
 def follow_boxscores(
     spark: SparkSession, landing: str, boxscores: str, player_stats: str, checkpoint: str, multi_line: bool = True
 ) -> None:
-    """Flatten every box score file not seen before into both Silver tables, merged by key within its date."""
+    """Flatten every box score file not seen before into both Silver tables, merged by key.
+
+    The landing date is the version of a row, so a file of an earlier date never replaces a row of a later one. Player
+    lines keep the Silver layout; ``line_key`` is added, and Gold tables are derived from them as from any Silver lines.
+    """
     documents = (
         spark.readStream.schema(schemas.BOXSCORE_DOCUMENT)
         .option("multiLine", multi_line)
@@ -51,15 +54,15 @@ def follow_boxscores(
     )
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        session, batch = batch.sparkSession, held(batch, "documents")
-        boxes = merge.keep_first(
-            flatten.silver_boxscores(batch, ["dt"]), ["game_id"], [F.desc("dt"), F.desc_nulls_last("game_status")]
-        )
+        session, (batch, place) = batch.sparkSession, held_at(batch, "documents")
+        boxes = merge.latest_per_key(flatten.silver_boxscores(batch, ["dt"]), ["game_id"], "dt")
         quality.enforce(boxes, quality.boxscore_gates())
-        merge.upsert_partitions(session, boxscores, boxes, "game_id")
-        facts = merge.player_facts(flatten.silver_player_stats(batch, ["dt"]))
-        if quality.enforce(facts, quality.player_gates()):
-            merge.upsert_partitions(session, player_stats, facts, "pk")
+        tables.merge(session, boxscores, boxes, "game_id", version="dt")
+        lines = merge.latest_per_key(flatten.silver_player_stats(batch, ["dt"]), ["game_id", "player_id"], "dt")
+        if quality.enforce(lines, quality.player_gates()):
+            keyed = lines.withColumn("line_key", derive.surrogate_key(F.col("game_id"), F.col("player_id")))
+            tables.merge(session, player_stats, keyed, "line_key", version="dt")
+        release(session, place)
 
     _drain(documents, apply, checkpoint)
 

@@ -53,10 +53,6 @@ def test_completed_games(schedules):
     done = manifest.completed_games(documents.latest_snapshot(schedules))
     first, second = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
     assert pairs(done, "dt", "game_id") == [(first, "0022500001"), (first, "0022500009"), (second, "0022500003")]
-    lists = manifest.grouped_manifest(done, ids_per_page=1)
-    assert pairs(lists, "dt", "page", "game_ids") == [
-        (first, 0, ["0022500001"]), (first, 1, ["0022500009"]), (second, 0, ["0022500003"]),
-    ]
 
 
 def test_missing_games_go_by_game_id(spark, schedules):

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from leaguelake import schemas
 from leaguelake.operators import merge, quality
-from leaguelake.session import scratch_path
 
 
 def rows(df, *columns):
@@ -85,6 +84,19 @@ def test_patch_column_sets_and_clears(spark):
     assert rows(merge.patch_column(target, patch, "k", "v"), "k", "v") == [("a", None), ("b", 2), ("c", 3)]
 
 
+def test_repeated_patches_and_snapshot_rows_do_not_multiply(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    patch = spark.createDataFrame([("a", 5), ("a", 7), ("a", None)], "k string, v int")
+    assert rows(merge.patch_column(target, patch, "k", "v"), "k", "v") == [("a", 7), ("b", 2)]
+    games = spark.createDataFrame([schedule_row("g", 1)], "game_id string, game_type string, game_status int, home_series_wins int, away_series_wins int, is_cancelled boolean")
+    assert merge.cancel_phantoms(games, games.unionByName(games)).count() == 1
+
+
+def test_latest_per_key_is_a_total_order(spark):
+    df = spark.createDataFrame([("a", 1, i) for i in (5, 3, 9, 4)], "k string, dt int, v int")
+    assert {merge.latest_per_key(df.orderBy(order), ["k"], "dt").first().v for order in ("v", F.desc("v"))} == {3}
+
+
 def test_reserve_once(spark):
     wanted = spark.createDataFrame([("d1", "p"), ("d1", "p"), ("d1", "r"), ("d2", "p")], "sent_date string, channel string")
     ledger = spark.createDataFrame([("d1", "r")], "sent_date string, channel string")
@@ -111,6 +123,8 @@ def test_cancel_phantoms(spark):
             schedule_row("regular gone", 1, kind="regular"),
             schedule_row("already", 1, (4, 1), cancelled=True),
             schedule_row("flag unknown", 1, (4, 1), cancelled=None),
+            schedule_row("listed again", 1, (3, 1), cancelled=True),
+            schedule_row("regular listed", 1, cancelled=True, kind="regular"),
         ],
         kind,
     )
@@ -119,7 +133,7 @@ def test_cancel_phantoms(spark):
     assert out == {
         "gone": (True, True), "won": (True, True), "open": (False, False), "unknown wins": (False, False),
         "played": (False, False), "no status": (False, False), "regular gone": (False, False),
-        "already": (True, False), "flag unknown": (None, False),
+        "already": (True, False), "flag unknown": (True, True), "listed again": (False, False), "regular listed": (False, False),
     }
 
 
@@ -142,44 +156,6 @@ def test_dimension_and_facts_keep_first(spark):
     assert "player_name" not in facts.columns
 
 
-def test_write_partitions_replaces_only_its_dates(spark):
-    path = scratch_path(spark, "t")
-    first = spark.createDataFrame([(1, "d1"), (2, "d1"), (3, "d2")], "v int, dt string")
-    merge.write_partitions(first, path)
-    merge.write_partitions(spark.createDataFrame([(9, "d2"), (8, "d3")], "v int, dt string"), path)
-    assert rows(spark.read.parquet(path), "v", "dt") == [(1, "d1"), (2, "d1"), (8, "d3"), (9, "d2")]
-
-
-def test_upsert_partitions(spark):
-    path = scratch_path(spark, "t")
-    one = spark.createDataFrame([("a", 1, "p"), ("b", 2, "q")], "k string, v int, part string")
-    merge.upsert_partitions(spark, path, one, "k", partition="part")
-    two = spark.createDataFrame([("a", 5, "p", "n"), ("c", 3, "p", "n")], "k string, v int, part string, extra string")
-    for _ in range(2):
-        merge.upsert_partitions(spark, path, two, "k", partition="part")
-        table = spark.read.option("mergeSchema", True).parquet(path)
-        assert rows(table, "k", "v", "extra") == [("a", 5, "n"), ("b", 2, None), ("c", 3, "n")]
-
-
-def test_upsert_partitions_refuses_repeated_keys(spark):
-    batch = spark.createDataFrame([("a", 1, "p"), ("a", 2, "p")], "k string, v int, part string")
-    with pytest.raises(quality.GateFailed):
-        merge.upsert_partitions(spark, scratch_path(spark, "t"), batch, "k", partition="part")
-
-
-def test_upsert_partitions_moves_keys(spark):
-    path, kind = scratch_path(spark, "t"), "k string, v int, part string"
-
-    def load(*values):
-        merge.upsert_partitions(spark, path, spark.createDataFrame(list(values), kind), "k", partition="part")
-
-    load(("a", 1, "p"), ("b", 2, "p"), ("c", 3, "q"))
-    load(("a", 5, "q"))
-    assert rows(spark.read.parquet(path), "k", "v", "part") == [("a", 5, "q"), ("b", 2, "p"), ("c", 3, "q")]
-    with pytest.raises(quality.GateFailed):
-        load(("b", 9, "q"))
-
-
 def test_assert_schema(spark):
     merge.assert_schema(merge.empty_table(spark, schemas.SILVER_BOXSCORES), schemas.SILVER_BOXSCORES)
     with pytest.raises(ValueError):

@@ -55,14 +55,6 @@ def test_many_large_groups_are_all_numbered(skewed, monkeypatch):
     assert small is None and large is skewed
 
 
-@pytest.mark.parametrize("size", [7, 100, 10_000])
-def test_paged(skewed, size):
-    pages = ordered.paged(skewed, ["g"], [F.col("o")], size)
-    rank = F.row_number().over(Window.partitionBy("g").orderBy("o"))
-    plain = skewed.withColumn("page", F.floor((rank - 1) / size).cast("bigint"))
-    assert pairs(pages, "g", "o", "page") == pairs(plain, "g", "o", "page")
-
-
 @pytest.mark.parametrize("limit", [5, 64, 10_000])
 def test_over_preceding(skewed, limit):
     columns = {

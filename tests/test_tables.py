@@ -1,0 +1,107 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from leaguelake.operators import quality, tables
+from leaguelake.session import file_system, scratch_path, working_root
+
+KIND = "k string, v int, day string"
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+def load(spark, path, *values, version=None, kind=KIND, **kw):
+    tables.merge(spark, path, spark.createDataFrame(list(values), kind), "k", version, **kw)
+
+
+def test_replace_touches_only_its_blocks(spark):
+    path = scratch_path(spark, "t")
+    assert tables.read(spark, path) is None
+    tables.replace(spark, path, spark.createDataFrame([(1, "d1"), (2, "d1"), (3, "d2")], "v int, dt string"))
+    tables.replace(spark, path, spark.createDataFrame([(9, "d2"), (8, "d3")], "v int, dt string"))
+    assert rows(tables.read(spark, path), "v", "dt") == [(1, "d1"), (2, "d1"), (8, "d3"), (9, "d2")]
+    assert rows(tables.read(spark, path, ["d2", "none"]), "v") == [(9,)] and tables.read(spark, path, []).isEmpty()
+
+
+def test_merge_twice_is_once_and_keys_may_move(spark):
+    path = scratch_path(spark, "t")
+    load(spark, path, ("a", 1, "p"), ("b", 2, "p"), ("c", 3, "q"))
+    for _ in range(2):
+        load(spark, path, ("b", 9, "q"), ("d", 4, "r"))
+        assert rows(tables.read(spark, path), "k", "v", "day") == [("a", 1, "p"), ("b", 9, "q"), ("c", 3, "q"), ("d", 4, "r")]
+
+
+def test_older_versions_change_nothing(spark):
+    path = scratch_path(spark, "t")
+    load(spark, path, ("a", 5, "2"), version="day")
+    load(spark, path, ("a", 1, "1"), ("b", 1, "1"), version="day")
+    assert rows(tables.read(spark, path), "k", "v", "day") == [("a", 5, "2"), ("b", 1, "1")]
+
+
+def test_new_columns_and_defaults_reach_stored_rows(spark):
+    path = scratch_path(spark, "t")
+    load(spark, path, *[(f"k{i}", i, "p") for i in range(50)])
+    load(spark, path, ("k1", 5, "p", "n"), kind=KIND + ", extra string")
+    assert tables.read(spark, path).filter("extra is null").count() == 49
+    load(spark, path, ("k2", 6, "p"), defaults={"flag": ("boolean", False), "poll": ("bigint", None)})
+    stored = tables.read(spark, path)
+    assert stored.filter("flag = false and poll is null").count() == 50 and stored.filter("extra = 'n'").count() == 1
+
+
+def test_repeated_keys_are_refused(spark):
+    with pytest.raises(quality.GateFailed, match="1 values"):
+        load(spark, scratch_path(spark, "t"), ("a", 1, "p"), ("a", 2, "p"))
+
+
+def test_a_merge_reads_and_writes_only_the_blocks_of_its_keys(spark):
+    path = scratch_path(spark, "t")
+    load(spark, path, *[(f"k{i}", i, "p") for i in range(500)])
+    before = tables.state(spark, path)["blocks"]
+    load(spark, path, ("k7", 70, "p"))
+    after = tables.state(spark, path)["blocks"]
+    changed = [b for b in after if after[b] != before[b]]
+    assert len(before) == tables.BLOCKS and len(changed) == 1
+    part = tables.read(spark, path, changed)
+    assert all(f"{tables.BLOCK}={changed[0]}/" in f for f in part.inputFiles()) and part.count() < 50
+
+
+def test_a_failed_commit_leaves_the_table_as_it_was(spark, monkeypatch):
+    path = scratch_path(spark, "t")
+    load(spark, path, ("a", 1, "p"), ("b", 2, "p"))
+    reader = tables.read(spark, path)
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_add_entry", crash)
+        with pytest.raises(OSError):
+            load(spark, path, ("a", 9, "p"))
+    assert rows(tables.read(spark, path), "k", "v") == [("a", 1), ("b", 2)]
+    load(spark, path, ("a", 9, "p"))
+    assert rows(tables.read(spark, path), "k", "v") == [("a", 9), ("b", 2)]
+    assert rows(reader, "k", "v") == [("a", 1), ("b", 2)]  # the version before is still there
+
+
+def test_old_versions_and_held_batches_are_deleted(spark):
+    path = scratch_path(spark, "t")
+    files, root = file_system(spark, working_root(spark))
+    held = lambda: sum("/batch-" in s.getPath().toString() for s in files.listStatus(root))
+    load(spark, path, ("a", 0, "p"))
+    start = held()
+    for i in range(6):
+        load(spark, path, ("a", i, "p"))
+    assert held() == start
+    kept = [s for s in files.listStatus(file_system(spark, path)[1]) if s.getPath().getName().startswith("v")]
+    assert len(kept) == 2
+
+
+def test_dates_as_blocks(spark):
+    path = scratch_path(spark, "t")
+    day = dt.date(2026, 1, 1)
+    tables.replace(spark, path, spark.range(3).select("id", F.lit(day).alias("dt")))
+    assert list(tables.state(spark, path)["blocks"]) == ["2026-01-01"]
+    assert rows(tables.read(spark, path, ["2026-01-01"]), "dt") == [(day,)] * 3
