@@ -18,7 +18,6 @@ from leaguelake.sources import bridge, documents, manifest
 from leaguelake.streaming import incremental
 
 TITLE = "Resultados"
-SOURCE_MIN_GAMES = 3000
 READ_DAYS = (dt.date(1997, 3, 15), dt.date(2050, 1, 1))
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,7 +148,8 @@ def source_selection(spark, sf_dir):
     candidates = documents.parse_documents(
         bridge.schedule_documents(games, "source", "priority"), schemas.SCHEDULE_DOCUMENT
     )
-    return manifest.source_report(candidates, SOURCE_MIN_GAMES)
+    # above the mean of the five feeds, so some are accepted and some are not, however large the tables are
+    return manifest.source_report(candidates, bridge.load(spark, sf_dir, "orders").count() // 5 + 1)
 
 
 @query
@@ -356,9 +356,10 @@ def patch_column(spark, sf_dir):
 # contracts
 
 
-def _gold_boxscores(spark, sf_dir):
+def _gold_boxscores(spark, sf_dir, lines=None):
     """Box scores from keys and scores alone; contracts read no team name."""
-    games = typed_games(spark, sf_dir).join(bridge.scores(bridge.lines(spark, sf_dir)), "game_no")
+    lines = bridge.lines(spark, sf_dir) if lines is None else lines
+    games = typed_games(spark, sf_dir).join(bridge.scores(lines), "game_no")
     return games.withColumns(
         {
             "is_final": derive.is_final(F.col("game_status")),
@@ -419,7 +420,8 @@ def contract_suite(spark, sf_dir):
     players = bridge.player_names(spark, sf_dir).withColumn(
         "player_id", changed(F.col("player_id") % 43 == 0, -1 - F.col("player_id"), "player_id")
     )
-    return quality.contract_suite(schedule, boxes, facts, players)
+    columns = ["game_id", "player_id", "side", "pts", "fgm", "fga", "tpm", "tpa", "ftm", "fta", *schemas.PERCENTAGES]
+    return quality.contract_suite(schedule, boxes, held(facts.select(*columns), "facts"), players)
 
 
 # delivery
@@ -520,9 +522,10 @@ def position_distribution(spark, sf_dir):
 
 @query
 def plus_minus_context(spark, sf_dir):
-    return analytics.plus_minus_context(
-        gold_facts(spark, sf_dir), typed_games(spark, sf_dir), _gold_boxscores(spark, sf_dir)
-    )
+    # facts and scores come from one held table of lines
+    lines = held(bridge.lines(spark, sf_dir), "lines")
+    facts = merge.player_facts(bridge.silver_player_stats(spark, sf_dir, names=False, team_columns=False, base=lines))
+    return analytics.plus_minus_context(facts, typed_games(spark, sf_dir), _gold_boxscores(spark, sf_dir, lines))
 
 
 @query

@@ -225,9 +225,11 @@ SELECT dt, CAST(COUNT(*) AS BIGINT) AS wanted,
 FROM finished f LEFT JOIN landed l ON f.k = l.k GROUP BY ROLLUP (dt)"""),
     "source_selection": _with("keys", """
 , totals AS (
-  SELECT 'feed_' || priority AS source, priority, CAST(COUNT(*) AS BIGINT) AS total_games FROM keys GROUP BY priority)
-SELECT source, priority, total_games, total_games >= 3000 AS accepted,
-  COALESCE(priority = (SELECT MIN(priority) FROM totals WHERE total_games >= 3000), FALSE) AS chosen FROM totals"""),
+  SELECT 'feed_' || priority AS source, priority, CAST(COUNT(*) AS BIGINT) AS total_games FROM keys GROUP BY priority),
+enough AS (SELECT COUNT(*) // 5 + 1 AS least_games FROM keys)
+SELECT source, priority, total_games, total_games >= least_games AS accepted,
+  COALESCE(priority = (SELECT MIN(priority) FROM totals, enough WHERE total_games >= least_games), FALSE) AS chosen
+FROM totals, enough"""),
     "latest_snapshot": _with("second_day", "SELECT snapshot, game_id, status AS game_status FROM second_day"),
     "silver_gates": _with("typed scores", """
 , ids AS (

@@ -275,11 +275,11 @@ def player_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_player_stats(
-    spark: SparkSession, sf_dir: str, names: bool = True, team_columns: bool = True
+    spark: SparkSession, sf_dir: str, names: bool = True, team_columns: bool = True, base: DataFrame | None = None
 ) -> DataFrame:
     """Silver player lines plus ``dt``. ``names`` and ``team_columns`` False leave out lookups (and columns)
-    the caller does not read."""
-    played = lines(spark, sf_dir).filter("played = '1'")
+    the caller does not read; ``base`` may give the lines as a stored table."""
+    played = (lines(spark, sf_dir) if base is None else base).filter("played = '1'")
     columns = schemas.SILVER_PLAYER_STATS.fieldNames()
     if names:
         played = with_player_names(played, spark, sf_dir)
