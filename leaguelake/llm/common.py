@@ -22,13 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """Two numbers that tell documents apart even when an id is repeated or NULL: the id's hash and the text's hash.
+    """The id and a hash of the text, which tell documents apart even when an id is repeated or NULL.
 
     Rows with the same id and the same text are one document to every operator that uses this key.
     """
-    return F.struct(
-        F.xxhash64(F.lit(0), F.col(doc_id)).alias("id_hash"), F.xxhash64(F.lit(1), F.col(text)).alias("text_hash")
-    )
+    return F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"))
 
 
 def slices(lengths: Sequence[int], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:

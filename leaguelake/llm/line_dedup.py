@@ -4,7 +4,7 @@ Lines are parsed to a fixed depth: first by their number of tokens, then by thei
 are variable and become ``<*>``. The lines of a leaf are compared place by place. The most common token of each place
 makes the leaf's template, and a line is an instance of it when enough of its tokens after the leading ones agree; the
 places where it differs are variable fields. A line that agrees too little is its own template, with its digits
-variable if enough of it stays constant. A template that occurs in at least ``min_docs`` documents recurs: its first
+variable if half of it stays constant. A template that occurs in at least ``min_docs`` documents recurs: its first
 line (lowest document id, then text hash, then place) stays as the one copy of the content, all others are dropped.
 
 DataFrame functions only. Equal lines are counted once before anything else, so a line in a third of all documents is
@@ -27,12 +27,13 @@ MIN_DOCS = 2
 MIN_TOKENS = 4
 LEADING = 3
 MIN_CONSTANT = 0.7
+HALF = 0.5
 VARIABLE = "<*>"
 
 
 def _lines(keyed: DataFrame) -> DataFrame:
-    """(key, order_id, place, line) of all lines."""
-    lines = keyed.select("key", "order_id", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
+    """(key, place, line) of all lines."""
+    lines = keyed.select("key", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
     return lines.withColumn("line", F.trim("line")).filter(F.length("line") > 0)
 
 
@@ -65,7 +66,7 @@ def templates(lines: DataFrame, min_tokens: int, leading: int, min_constant: flo
         .select("leaf", F.col("form.token").alias("form"))
     )
     after = F.size("tokens") - leading
-    constant = F.filter("tokens", lambda t, i: (i >= leading) & (t != VARIABLE))
+    constant = F.filter("tokens", lambda t: t != VARIABLE)
     agree = F.filter(
         F.zip_with("tokens", "form", lambda t, f: (t != VARIABLE) & (F.xxhash64(t) == f)), lambda same: same
     )
@@ -75,7 +76,7 @@ def templates(lines: DataFrame, min_tokens: int, leading: int, min_constant: flo
     return shaped.select(
         "line_hash",
         F.when(F.col("agreeing") >= min_constant * after, F.col("leaf"))
-        .when(F.size(constant) >= min_constant * after, F.xxhash64("tokens"))
+        .when(F.size(constant) >= HALF * F.size("tokens"), F.xxhash64("tokens"))
         .otherwise(F.col("line_hash"))
         .alias("template"),
     )
@@ -85,22 +86,20 @@ def dropped_lines(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, leading: int = LEADING, min_constant: float = MIN_CONSTANT
 ) -> DataFrame:
     """(key, places): for each document the places of its lines to drop."""
-    keyed = docs.filter(F.col("text").isNotNull()).select(
-        document_key().alias("key"), F.col("doc_id").alias("order_id"), F.col("text").cast("string").alias("text")
-    )
+    keyed = docs.filter(F.col("text").isNotNull()).select(document_key().alias("key"), F.col("text").cast("string").alias("text"))
     lines = _lines(keyed)
     named = held(templates(lines.select("line").distinct(), min_tokens, leading, min_constant), "templates")
     # a line of a crowded leaf goes by its template, any other by itself
     spots = held(
         lines.filter(_long_enough(min_tokens))
-        .select("key", "order_id", "place", F.xxhash64("line").alias("line_hash"))
+        .select("key", "place", F.xxhash64("line").alias("line_hash"))
         .join(named, "line_hash", "left")
-        .select("key", "order_id", "place", F.coalesce("template", "line_hash").alias("template")),
+        .select("key", "place", F.coalesce("template", "line_hash").alias("template")),
         "spots",
     )
-    first = F.struct(F.col("order_id").isNull().alias("no_id"), "order_id", "key", "place")
+    first = F.struct(F.col("key.id").isNull().alias("no_id"), "key", "place")
     recurring = held(
-        spots.groupBy("template", "key", "order_id").agg(F.min("place").alias("place"))
+        spots.groupBy("template", "key").agg(F.min("place").alias("place"))
         .groupBy("template")
         .agg(F.count(F.lit(1)).alias("docs"), F.min(first).alias("first"))
         .filter(F.col("docs") >= min_docs)

@@ -60,8 +60,7 @@ def test_exact_repeats_against_brute_force(sample):
         kept = []
         for place, line in enumerate(text.split("\n")):
             tokens = shape(line.strip(" "))
-            constant = sum(t != "<*>" for t in tokens[d.LEADING :])
-            key = tokens if constant >= len(tokens) - d.LEADING else line.strip(" ")
+            key = tokens if 2 * sum(t != "<*>" for t in tokens) >= len(tokens) else line.strip(" ")
             if len(tokens) < d.MIN_TOKENS or seen.setdefault(key, doc) == doc:
                 kept.append(place)
         expected[doc] = len(text.split("\n")) - len(kept)

@@ -68,7 +68,7 @@ def test_every_link_within_the_radius_counts(spark, monkeypatch):
     for size in (s.SLICE, 50):
         monkeypatch.setattr(s, "SLICE", size)
         prints = spark.createDataFrame(signed, "doc_id bigint, fingerprint bigint").select(
-            F.struct("doc_id", F.struct(F.col("doc_id").alias("id_hash")).alias("key")).alias("row"), "fingerprint"
+            F.struct("doc_id", F.struct(F.col("doc_id").alias("id")).alias("key")).alias("row"), "fingerprint"
         )
         got = {r["fingerprint"]: r["component_id"] for r in s.classes(prints).collect()}
         assert [got[v] for _, v in signed] == expected
