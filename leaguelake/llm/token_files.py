@@ -36,7 +36,7 @@ from leaguelake.session import scratch_path
 MAGIC = b"BPL1"
 HEAD = "<4sBBxxIIQ"
 BLOCK = 1 << 16
-SHARD_IDS = 1 << 20
+SHARD_IDS = 1 << 18
 END_ID = 1
 LEVEL = 3
 

@@ -7,16 +7,15 @@ import os
 import re
 import sys
 import types
-from itertools import chain
+from array import array
 
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 # words kept per worker process; later words are encoded each time they come
-MAX_WORDS = 400_000
-GROUP = 2000
-# a full stop or comma between a letter or digit and white space is a piece of its own
-_END = re.compile(r"[.,](?<=[^\W_].)(?=[ \n]|$)")
+MAX_WORDS = 500_000
+# ASCII punctuation between a letter or digit and white space is a piece of its own
+_END = re.compile(r"(?<=[^\W_])[!-/:-@\[-^`{-~]+(?=[ \n]|$)")
 _MARKS = re.compile("[\u0300-\u036f]")
 
 
@@ -53,11 +52,10 @@ class Encoder:
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         normalizers = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.by_word = "Lowercase" in normalizers and steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and bool(steps[0].get("invert"))
-        ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
-        suffix = spec["model"].get("end_of_word_suffix")
-        for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
-            ends[number] = bool(suffix) and token.endswith(suffix)
-        self.ends = ends
+        # the model sees bytes as printable characters: itself where printable in Latin-1, else the next of U+0100 and on
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        hidden = [b for b in range(256) if b not in shown]
+        self.shown = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.words: dict[str, bytes] = {}
 
     @classmethod
@@ -69,40 +67,39 @@ class Encoder:
         return state["encoder"]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.dtype.char, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of different words. A word of Latin-1 letters is one piece that only lower-casing changes, so it goes to the
+        tokenizer's model directly."""
         found: dict[str, bytes] = {}
-        plain = [w for w in words if w.isalpha()]
-        for at in range(0, len(plain), GROUP):
-            group = plain[at : at + GROUP]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, self.dtype)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(group):  # one end of word for each word
-                found |= {w: p.tobytes() for w, p in zip(group, np.split(ids, cuts))}
-        rest = [w for w in words if w not in found]
-        found |= zip(rest, self._whole(rest))
+        rest = []
+        tokenize, code = self.tokenizer.model.tokenize, self.dtype.char
+        for word in words:
+            if word.isascii() and word.isalpha():
+                found[word] = array(code, [t.id for t in tokenize(word)]).tobytes()
+            elif word.isalpha() and max(word) < "\u0100":
+                found[word] = array(code, [t.id for t in tokenize(word.lower().encode().decode("latin-1").translate(self.shown))]).tobytes()
+            else:
+                rest.append(word)
+        found.update(zip(rest, self._whole(rest)))
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._whole(texts)
-        out: list[bytes | None] = [None] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
-        for i, text in enumerate(texts):
-            if "<|" not in text and not _MARKS.search(text):
-                lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-                cut.append((i, _END.sub(r" \g<0>", lowered).replace("\n", " ").split(" ")))
-        here = set(chain.from_iterable(words for _, words in cut))
-        new = self._encode_words([w for w in here if w not in self.words])
-        look = self.words
-        if len(look) + len(new) <= MAX_WORDS:
-            look.update(new)
-        else:
-            look = new | {w: look[w] for w in here if w not in new}
-        for i, words in cut:
-            out[i] = b"".join(map(look.__getitem__, words))
-        whole = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
-            out[i] = ids
+        out: list[bytes] = []
+        for text in texts:
+            if "<|" in text or _MARKS.search(text):
+                out += self._whole([text])
+                continue
+            lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+            words = _END.sub(r" \g<0>", lowered).replace("\n", " ").split(" ")
+            ids = list(map(self.words.get, words))
+            if None in ids:
+                new = self._encode_words(list({w for w, known in zip(words, ids) if known is None}))
+                if len(self.words) < MAX_WORDS:
+                    self.words.update(new)
+                ids = [new[w] if known is None else known for w, known in zip(words, ids)]
+            out.append(b"".join(ids))
         return out
