@@ -1,8 +1,8 @@
 """Line dedup with a log-template tree.
 
 Lines are parsed to a fixed depth: first by their number of tokens, then by their leading tokens; tokens with digits
-are variable and become ``<*>``. The lines of a leaf are compared place by place. The most common token of each place
-makes the leaf's template, and a line is an instance of it when enough of its tokens after the leading ones agree; the
+are variable and become ``<*>``. The lines of a leaf are compared place by place. The most common token of each place (of equally
+common ones the greatest) makes the leaf's template, and a line is an instance of it when enough of its tokens after the leading ones agree; the
 places where it differs are variable fields. A line that agrees too little is its own template, with its digits
 variable if half of it stays constant. A template that occurs in at least ``min_docs`` documents recurs: its first
 line (lowest document id, then text hash, then place) stays as the one copy of the content, all others are dropped.
@@ -56,7 +56,7 @@ def templates(lines: DataFrame, min_tokens: int, leading: int, min_constant: flo
     alike = held(parsed.join(crowded.hint("shuffle_hash"), "leaf", "left_semi"), "alike")
     alike = alike.select(F.xxhash64("line").alias("line_hash"), "leaf", _tokens("line").alias("tokens"))
     consensus = (
-        alike.select("leaf", F.posexplode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("at", "token"))
+        alike.select("leaf", F.posexplode("tokens").alias("at", "token"))
         .groupBy("leaf", "at", "token")
         .agg(F.count(F.lit(1)).alias("lines"))
         .groupBy("leaf", "at")
@@ -68,7 +68,7 @@ def templates(lines: DataFrame, min_tokens: int, leading: int, min_constant: flo
     after = F.size("tokens") - leading
     constant = F.filter("tokens", lambda t: t != VARIABLE)
     agree = F.filter(
-        F.zip_with("tokens", "form", lambda t, f: (t != VARIABLE) & (F.xxhash64(t) == f)), lambda same: same
+        F.zip_with("tokens", "form", lambda t, f: (t != VARIABLE) & (t == f)), lambda same: same
     )
     shaped = alike.join(consensus, "leaf").withColumn(
         "agreeing", F.size(agree) - F.size(F.filter(F.slice("tokens", 1, leading), lambda t: t != VARIABLE))
@@ -123,3 +123,39 @@ def line_dedup(docs: DataFrame, **limits: float) -> DataFrame:
     return joined.select(
         "row", F.when(F.col("places").isNull(), text).otherwise(left).alias("text"), F.coalesce(F.size("places"), F.lit(0)).alias("lines_dropped")
     )
+
+
+# the same in SQL (DuckDB dialect) over ``documents`` with different ids, for the default limits
+SQL = r"""
+WITH placed AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS whole, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place
+  FROM documents),
+lines AS (SELECT doc_id, place, trim(whole, ' ') AS line FROM placed WHERE regexp_matches(trim(whole, ' '), '\S(?:\s+\S+){3}')),
+parsed AS (
+  SELECT line, string_split_regex(regexp_replace(line, '[^\s0-9]*[0-9][^\s]*', '<*>', 'g'), '\s+') AS tokens
+  FROM (SELECT DISTINCT line FROM lines)),
+leaves AS (SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM parsed),
+alike AS (SELECT * FROM leaves QUALIFY COUNT(*) OVER (PARTITION BY n, lead) > 1),
+tokens_of AS (SELECT n, lead, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot, line FROM alike),
+common AS (
+  SELECT n, lead, spot, token FROM (SELECT n, lead, spot, token, COUNT(*) AS lines FROM tokens_of GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY n, lead, spot ORDER BY lines DESC, token DESC) = 1),
+agreeing AS (
+  SELECT t.line, COUNT(*) FILTER (t.token <> '<*>' AND t.spot > 3 AND t.token = c.token) AS agree,
+    COUNT(*) FILTER (t.token <> '<*>') AS constant
+  FROM tokens_of t JOIN common c ON t.n = c.n AND t.lead = c.lead AND t.spot = c.spot GROUP BY t.line),
+named AS (
+  SELECT a.line, CASE WHEN g.agree >= 0.7 * (a.n - 3) THEN 'leaf ' || a.n || ' ' || CAST(a.lead AS VARCHAR)
+    WHEN g.constant >= 0.5 * a.n THEN 'form ' || CAST(a.tokens AS VARCHAR) ELSE 'line ' || a.line END AS template
+  FROM alike a JOIN agreeing g ON a.line = g.line),
+spots AS (SELECT l.doc_id, l.place, COALESCE(m.template, 'line ' || l.line) AS template FROM lines l LEFT JOIN named m ON l.line = m.line),
+lost AS (
+  SELECT doc_id, place FROM spots
+  QUALIFY dense_rank() OVER (PARTITION BY template ORDER BY doc_id DESC) + dense_rank() OVER (PARTITION BY template ORDER BY doc_id) > 2
+    AND row_number() OVER (PARTITION BY template ORDER BY doc_id, place) > 1),
+marked AS (SELECT p.*, l.place IS NOT NULL AS gone FROM placed p LEFT JOIN lost l ON p.doc_id = l.doc_id AND p.place = l.place)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN COALESCE(m.text, '') END AS text, COALESCE(m.n, 0) AS lines_dropped
+FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(whole, chr(10) ORDER BY place) FILTER (NOT gone) AS text, CAST(COUNT(*) FILTER (gone) AS INTEGER) AS n
+  FROM marked GROUP BY doc_id) m ON d.doc_id = m.doc_id
+"""

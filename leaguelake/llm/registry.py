@@ -69,4 +69,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quality_rules,
     )
 }
-SQL: dict[str, str] = {}
+# the other operators have no SQL form: fingerprints, models, tokenizers, parsers and ciphers are tested against brute force
+SQL: dict[str, str] = {"op6_line_dedup": line_dedup.SQL}

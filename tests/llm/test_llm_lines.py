@@ -66,3 +66,13 @@ def test_exact_repeats_against_brute_force(sample):
         expected[doc] = len(text.split("\n")) - len(kept)
     got = {doc: n for doc, (_, n) in dedup(sample, min_constant=1.0).items()}
     assert got == expected and sum(got.values())
+
+
+def test_query_equals_sql(spark):
+    import sql_compare
+
+    from leaguelake.llm import registry
+
+    for sf_dir in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        df = registry.QUERIES["op6_line_dedup"](spark, sf_dir)
+        assert sql_compare.differences(df, sql_compare.connect(sf_dir), registry.SQL["op6_line_dedup"]) == []
