@@ -1,8 +1,8 @@
 """Order-dependent work on groups of any size.
 
-A plain window or ``collect_list`` puts a whole group into one task. Here a group larger than a limit is
-numbered by a range-partitioned sort, so one group spreads over many tasks, and is then cut into pieces of a
-fixed length. The results are exact; small groups take the plain path.
+A plain window puts a whole group into one task. Here rows are numbered by a range-partitioned sort, so one group
+spreads over many tasks, and are then cut into blocks of a fixed length. Results are exact, and every group, large or
+small, takes the same way.
 """
 
 from __future__ import annotations
@@ -15,40 +15,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from leaguelake.session import held
 
-# a driver-side list of large groups stays below this many keys; with more, every group is numbered
-MAX_LISTED_GROUPS = 10_000
-# groups beyond this many rows are cut into blocks for windows
+# rows of a block, besides those that its windows look back to
 BLOCK_ROWS = 100_000
 # rows per slice of a range-partitioned sort
 SLICE_ROWS = 2_000_000
 
 
-def _matches(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
-
-
-def split_large_groups(
-    df: DataFrame, group: Sequence[str], limit: int, sizes_from: DataFrame | None = None
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """(rows of groups up to ``limit``, rows of larger groups); a side without rows is ``None``.
-
-    Sizes come from one pre-aggregated count of ``sizes_from`` (default ``df``), which may be any frame with at
-    least as many rows per group. Only the keys of large groups reach the driver, at most MAX_LISTED_GROUPS.
-    """
-    group = list(group)
-    sizes = (sizes_from if sizes_from is not None else df).groupBy(*group).count()
-    listed = sizes.filter(F.col("count") > limit).select(*group).limit(MAX_LISTED_GROUPS + 1)
-    schema = listed.schema
-    keys = listed.collect()
-    if not keys:
-        return df, None
-    if len(keys) > MAX_LISTED_GROUPS:
-        return None, df
-    large = F.broadcast(df.sparkSession.createDataFrame(keys, schema))
-    match = _matches(df, large, group)
-    return df.join(large, match, "left_anti"), df.join(large, match, "left_semi")
-
-
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Exact 1-based row number within each group, with no task ever holding a whole group.
 
@@ -90,36 +62,22 @@ def over_preceding(
     columns: dict[str, Callable[[WindowSpec], Column]],
     reach: int,
     limit: int | None = None,
-    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Window columns that look back at most ``reach`` rows, for groups of any size.
 
-    ``columns`` maps a name to a function of the ordered window. Groups beyond ``limit`` rows (BLOCK_ROWS when
-    not given) are numbered and cut into blocks of ``limit`` rows; each block also gets the last ``reach`` rows
-    of the block before it, so every row sees exactly the rows a single window would show it.
+    ``columns`` maps a name to a function of the ordered window. Groups are cut into blocks of ``limit`` rows (BLOCK_ROWS
+    when not given); each block also gets the last ``reach`` rows of the block before it, so every row sees exactly the
+    rows a single window would show it.
     """
     limit = max(BLOCK_ROWS if limit is None else limit, reach)
-
-    def apply(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return frame.withColumns({name: build(window) for name, build in columns.items()})
-
-    small, large = split_large_groups(df, group, limit, sizes_from)
-    out = [*df.columns, *columns]
-    parts = []
-    if small is not None:
-        parts.append(apply(small, group).select(*out))
-    if large is not None:
-        zero_based = F.col("_rn") - 1
-        own = F.floor(zero_based / limit).cast("bigint")
-        is_tail = (zero_based % limit) >= limit - reach
-        blocks = (
-            number_rows(large, group, order, "_rn")
-            .withColumn("_own", own)
-            .withColumn(
-                "_block",
-                F.explode(F.when(is_tail, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))),
-            )
-        )
-        parts.append(apply(blocks, [*group, "_block"]).filter("_own = _block").select(*out))
-    return reduce(DataFrame.unionByName, parts)
+    place = F.col("_rn") - 1
+    own = F.expr(f"(_rn - 1) div {limit}")
+    is_tail = place % limit >= limit - reach
+    blocks = (
+        number_rows(df, group, order, "_rn")
+        .withColumn("_own", own)
+        .withColumn("_block", F.explode(F.when(is_tail, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+    )
+    window = Window.partitionBy(*group, "_block").orderBy("_rn")
+    seen = blocks.withColumns({name: build(window) for name, build in columns.items()})
+    return seen.filter("_own = _block").select(*df.columns, *columns)

@@ -38,23 +38,6 @@ def test_hot_group_spreads_over_slices(spark, skewed):
     assert max(r["count"] for r in sizes) < 2500
 
 
-@pytest.mark.parametrize("limit", [10, 100, 10_000])
-def test_split_large_groups(skewed, limit):
-    small, large = ordered.split_large_groups(skewed, ["g"], limit)
-    sizes = {r["g"]: r["count"] for r in skewed.groupBy("g").count().collect()}
-    expected = sorted((n for n in sizes.values() if n > limit))
-    got = [] if large is None else sorted(r["count"] for r in large.groupBy("g").count().collect())
-    assert got == expected
-    rest = 0 if small is None else small.count()
-    assert rest + sum(got) == 5000
-
-
-def test_many_large_groups_are_all_numbered(skewed, monkeypatch):
-    monkeypatch.setattr(ordered, "MAX_LISTED_GROUPS", 2)
-    small, large = ordered.split_large_groups(skewed, ["g"], 10)
-    assert small is None and large is skewed
-
-
 @pytest.mark.parametrize("limit", [5, 64, 10_000])
 def test_over_preceding(skewed, limit):
     columns = {
