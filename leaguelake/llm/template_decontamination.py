@@ -5,8 +5,9 @@ placeholders. Windows of WINDOW tokens of benchmark items are hash-joined with a
 with other numbers or names still meets its original. Where windows meet on one alignment (same distance between place
 in the document and place in the item), the values in the slots are compared: one value of the item must always
 stand for one value in the document, and different names must stay different. Alignments that fail this are not
-re-parameterised copies and are left out. A document holds an item when the windows left cover at least
-``min(MIN_COVERED, all)`` of its tokens.
+re-parameterised copies and are left out. A document holds an item when the windows left cover MIN_COVERED of its
+tokens, or all but two of a shorter one: its first and last word may be grown together with their neighbours, or
+stand inside a sentence and so count as a name.
 
 A name is a capitalised word inside a sentence (after a lower-case letter, digit, comma, semicolon or colon). An item
 shorter than WINDOW tokens is one window of its own length. A window needs MIN_LITERAL of its tokens to be literal, and at least
@@ -143,7 +144,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_covered: int = MIN_C
         F.sum(F.size("slots")).alias("n_slots"),
         F.sum(F.size(changed)).alias("changed_slots"),
     )
-    return found.filter(F.col("covered") >= F.least(F.lit(min_covered), F.col("item_tokens"))).select(
+    return found.filter(F.col("covered") >= F.least(F.lit(min_covered), F.col("item_tokens") - 2)).select(
         "key", "doc_id", "item_id", "covered", "item_tokens", "n_slots", "changed_slots", (F.col("changed_slots") > 0).alias("reparameterised")
     )
 
