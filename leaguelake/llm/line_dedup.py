@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leaguelake.llm.common import document_key
-from leaguelake.session import held
+from leaguelake.session import held, held_at, release
 
 MIN_DOCS = 2
 MIN_TOKENS = 4
@@ -47,13 +47,13 @@ def _long_enough(min_tokens: int) -> Column:
     return F.col("line").rlike(r"\S(?:\s+\S+){%d}" % (min_tokens - 1))
 
 
-def templates(lines: DataFrame, min_tokens: int, leading: int, min_constant: float) -> DataFrame:
-    """(line_hash, template) of the different lines in leaves with several of them."""
+def templates(lines: DataFrame, min_tokens: int, leading: int, min_constant: float) -> tuple[DataFrame, str]:
+    """(line_hash, template) of the different lines in leaves with several of them, and the path of the held lines it reads."""
     leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading))
     # the leaf goes along from the start, so a line is parsed before the shuffle and again only in a crowded leaf
     parsed = lines.filter(_long_enough(min_tokens)).withColumn("tokens", _tokens("line")).select("line", leaf.alias("leaf")).distinct()
     crowded = parsed.groupBy("leaf").agg(F.count(F.lit(1)).alias("lines")).filter("lines > 1").select("leaf")
-    alike = held(parsed.join(crowded.hint("shuffle_hash"), "leaf", "left_semi"), "alike")
+    alike, place = held_at(parsed.join(crowded.hint("shuffle_hash"), "leaf", "left_semi"), "alike")
     alike = alike.select(F.xxhash64("line").alias("line_hash"), "leaf", _tokens("line").alias("tokens"))
     consensus = (
         alike.select("leaf", F.posexplode("tokens").alias("at", "token"))
@@ -73,13 +73,14 @@ def templates(lines: DataFrame, min_tokens: int, leading: int, min_constant: flo
     shaped = alike.join(consensus, "leaf").withColumn(
         "agreeing", F.size(agree) - F.size(F.filter(F.slice("tokens", 1, leading), lambda t: t != VARIABLE))
     )
-    return shaped.select(
+    named = shaped.select(
         "line_hash",
         F.when(F.col("agreeing") >= min_constant * after, F.col("leaf"))
         .when(F.size(constant) >= HALF * F.size("tokens"), F.xxhash64("tokens"))
         .otherwise(F.col("line_hash"))
         .alias("template"),
     )
+    return named, place
 
 
 def dropped_lines(
@@ -88,9 +89,10 @@ def dropped_lines(
     """(key, places): for each document the places of its lines to drop."""
     keyed = docs.filter(F.col("text").isNotNull()).select(document_key().alias("key"), F.col("text").cast("string").alias("text"))
     lines = _lines(keyed)
-    named = held(templates(lines.select("line").distinct(), min_tokens, leading, min_constant), "templates")
+    forms, forms_at = templates(lines.select("line").distinct(), min_tokens, leading, min_constant)
+    named, named_at = held_at(forms, "templates")
     # a line of a crowded leaf goes by its template, any other by itself
-    spots = held(
+    spots, spots_at = held_at(
         lines.filter(_long_enough(min_tokens))
         .select("key", "place", F.xxhash64("line").alias("line_hash"))
         .join(named, "line_hash", "left")
@@ -98,7 +100,7 @@ def dropped_lines(
         "spots",
     )
     first = F.struct(F.col("key.id").isNull().alias("no_id"), "key", "place")
-    recurring = held(
+    recurring, recurring_at = held_at(
         spots.groupBy("template", "key").agg(F.min("place").alias("place"))
         .groupBy("template")
         .agg(F.count(F.lit(1)).alias("docs"), F.min(first).alias("first"))
@@ -107,7 +109,9 @@ def dropped_lines(
         "recurring",
     )
     lost = spots.join(recurring, "template").filter(~((F.col("key") == F.col("first_key")) & (F.col("place") == F.col("first_place"))))
-    return held(lost.groupBy("key").agg(F.collect_set("place").alias("places")), "lost")
+    places = held(lost.groupBy("key").agg(F.collect_set("place").alias("places")), "lost")
+    release(docs.sparkSession, forms_at, named_at, spots_at, recurring_at)
+    return places
 
 
 def line_dedup(docs: DataFrame, **limits: float) -> DataFrame:
