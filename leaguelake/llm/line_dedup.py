@@ -120,6 +120,8 @@ def line_dedup(docs: DataFrame, **limits: float) -> DataFrame:
     Returns (row, text, lines_dropped), where ``row`` holds the row as it came.
     """
     lost = dropped_lines(docs, **limits)
+    # Spark deletes the shuffle files of finished plans when the driver collects its garbage; the texts move next
+    docs.sparkSession.sparkContext._jvm.System.gc()
     rows = docs.select(F.struct("*").alias("row"), document_key().alias("key"))
     joined = rows.join(lost.hint("shuffle_hash"), "key", "left")
     text = F.col("row.text").cast("string")
