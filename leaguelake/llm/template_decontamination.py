@@ -2,7 +2,8 @@
 
 Texts become tokens (runs of letters and digits, lower case) in which numbers, names and units after numbers are typed
 placeholders. Windows of WINDOW tokens of benchmark items are hash-joined with all windows of the documents, so a question
-with other numbers or names still meets its original. Where windows meet on one alignment (same distance between place
+with other numbers or names still meets its original. Windows of the raw lower-case tokens go through the same join, so a
+word-for-word copy meets its original whatever its slots, case and punctuation. Where windows meet on one alignment (same distance between place
 in the document and place in the item), the values in the slots are compared: one value of the item must always
 stand for one value in the document, and different names must stay different. Alignments that fail this are not
 re-parameterised copies and are left out. A document holds an item when the windows left cover MIN_COVERED of its
@@ -10,14 +11,14 @@ tokens, or all but two of a shorter one: its first and last word may be grown to
 stand inside a sentence and so count as a name.
 
 A name is a capitalised word inside a sentence (after a lower-case letter, digit, comma, semicolon or colon). An item
-shorter than WINDOW tokens is one window of its own length. A window needs MIN_LITERAL of its tokens to be literal, and at least
-LEAST_LITERAL; otherwise anything would fit it.
+shorter than WINDOW tokens is one window of its own length. A window with placeholders needs MIN_LITERAL of its
+tokens to be literal, and at least LEAST_LITERAL; otherwise anything would fit it. A raw window needs LEAST_LITERAL tokens of any kind.
 
 DataFrame functions only. The windows of the benchmark are broadcast when they are at most BROADCAST_WINDOWS, else
 the join shuffles; the result is the same. Only documents with a common window are read again for their slots.
 
-Defined cases. NULL and empty texts hold nothing. An item without a window that has enough literal tokens is never
-found. A document is told by its id and text: repeated rows give one row per item, copies with other ids one each; the same holds for repeated
+Defined cases. NULL and empty texts hold nothing. An item without a window that has enough literal tokens is
+found word for word only, an item of fewer than LEAST_LITERAL tokens never. A document is told by its id and text: repeated rows give one row per item, copies with other ids one each; the same holds for repeated
 items. Other columns are not read.
 """
 
@@ -87,20 +88,26 @@ def meetings(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(key, item, shift, places): alignments of documents and items with the places in the item where windows meet."""
     parts = []
     for size in sorted(r["size"] for r in items.select("size").distinct().collect()):  # at most WINDOW values
+        own = items.filter(F.col("size") == size)
         literal = F.size(F.filter(F.slice("item_tokens", F.col("at") + 1, size), lambda t: ~_is_slot(t)))
         of_items = (
-            items.filter(F.col("size") == size)
-            .select("item", "item_tokens", F.posexplode(_windows(F.col("item_tokens"), size)).alias("at", "window"))
+            own.select("item", "item_tokens", F.posexplode(_windows(F.col("item_tokens"), size)).alias("at", "window"))
             .filter((literal >= MIN_LITERAL * size) & (literal >= LEAST_LITERAL))
             .select("item", "at", "window")
         )
-        of_items = held(of_items, "windows")
+        if size >= LEAST_LITERAL:
+            of_items = of_items.unionByName(own.select("item", F.posexplode(_windows(F.col("item_raw"), size)).alias("at", "window")))
+        of_items = held(of_items.distinct(), "windows")
         if of_items.count() <= BROADCAST_WINDOWS:
             of_items = F.broadcast(of_items)
+        text = _raw(F.col("text").cast("string"))
         tokens = docs.filter(F.col("text").isNotNull()).select(
-            document_key().alias("key"), _split(_canonical(_raw(F.col("text").cast("string")))).alias("tokens")
+            document_key().alias("key"), _split(_canonical(text)).alias("tokens"), _split(F.lower(text)).alias("raw")
         )
-        of_docs = tokens.select("key", F.posexplode(_windows(F.col("tokens"), size)).alias("place", "window"))
+        both = F.arrays_zip(_windows(F.col("tokens"), size).alias("window"), _windows(F.col("raw"), size).alias("raw"))
+        # most windows have no slot and are the same in both forms
+        forms = F.when(F.col("both.window") == F.col("both.raw"), F.array("both.window")).otherwise(F.array("both.window", "both.raw"))
+        of_docs = tokens.select("key", F.posexplode(both).alias("place", "both")).select("key", "place", F.explode(forms).alias("window"))
         parts.append(
             of_docs.join(of_items, "window").select(
                 "key", "item", (F.col("place") - F.col("at")).alias("shift"), F.explode(F.sequence(F.col("at"), F.col("at") + size - 1)).alias("covered")
