@@ -25,3 +25,14 @@ def test_number_dense_items_are_found_word_for_word(spark, documents, monkeypatc
     got = found(spark, documents, docs, [*ARITHMETIC, (5, "7 8")])
     assert set(got) == {(i, i) for i, _ in ARITHMETIC}
     assert not any(r["reparameterised"] for r in got.values())
+
+
+ITEM = "A train leaves Boston at 9 and drives 120 km to the station where Alice waits for 45 minutes before Alice goes home. Bob stays."
+
+
+def test_copies_with_other_case_or_without_punctuation_are_found(spark, documents):
+    short = ITEM[: ITEM.index(".")]
+    docs = [(1, f"so {ITEM.lower()}"), (2, f"so {ITEM.replace('.', '')}"), (3, f"so {short.lower()}"), (4, f"SO {ITEM.upper()}")]
+    got = found(spark, documents, docs, [(1, ITEM), (2, short)])
+    assert set(got) == {(d, i) for d in (1, 2, 3, 4) for i in (1, 2)}
+    assert all(r["changed_slots"] == 0 for r in got.values())
