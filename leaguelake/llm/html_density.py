@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
 A page is parsed to a tree of elements. Elements that say what they are not (scripts, forms, navigation, page headers,
-footers, sidebars, notices, adverts, reader comments, hidden parts; by tag, role, class or id) are cut out. For every other
+footers, sidebars, notices, adverts, reader comments, hidden parts; by tag, role, class or id) are cut out. A class or id alone does not cut a part that holds most of the page's
+characters outside links: wrappers such as ``has-sidebar`` stay and their children are judged instead. For every other
 node the composite density is the number of characters per tag, adjusted by its link characters and link tags against
 those of the whole body. The density sum of a node adds up its children's densities. Among the nodes at or above the
 threshold (the least density on the path from the body to the densest sum) the one with the maximum sum is the core
@@ -62,6 +63,7 @@ APART = frozenset(
     "comment comments commentlist discussion replies reply respond disqus "
     "share sharing social related recommended recommendations widget widgets skip search searchform form".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist discussion replies reply respond disqus".split())
 HEADER_WORDS = frozenset({"header", "siteheader", "pageheader"})
 ARTICLE_WORDS = frozenset({"article", "articlebody"})
 TEXT_LEVEL = frozenset(
@@ -69,13 +71,14 @@ TEXT_LEVEL = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split()
 )
 LINKY = 0.5
+MOST = 0.5
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 CUT_TAG = re.compile(r"<[A-Za-z/!?][^>]*\Z")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "marks", "apart", "parent", "items", "chars", "link_chars", "tags", "link_tags", "density", "sum")
+    __slots__ = ("tag", "marks", "apart", "marked", "parent", "items", "chars", "link_chars", "tags", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None, attrs: dict[str, str]) -> None:
         self.tag, self.parent, self.items = tag, parent, []
@@ -90,8 +93,8 @@ class Node:
             or "hidden" in attrs
             or attrs.get("aria-hidden", "").lower() == "true"
             or bool(HIDDEN.search(attrs.get("style", "")))
-            or (bool(self.marks & APART) and not self.is_article() and tag != "body")
         )
+        self.marked = bool(self.marks & APART) and not self.is_article() and tag != "body"
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
 
@@ -147,6 +150,21 @@ class Builder(HTMLParser):
         self.open[-1].items.append(data)
 
 
+def _unmark_wrappers(nodes: list[Node], body: Node) -> None:
+    """Take the mark from nodes that hold most characters outside links; of comments only with a heading or article inside."""
+    plain: dict[Node, int] = {}
+    heads: set[Node] = set()
+    for node in reversed(nodes):
+        if node.apart or node.tag == "a":
+            continue
+        plain[node] = sum(len("".join(x.split())) if isinstance(x, str) else plain.get(x, 0) for x in node.items)
+        if node.tag == "h1" or node.is_article() or any(x in heads for x in node.items if not isinstance(x, str)):
+            heads.add(node)
+    for node in plain:
+        if node.marked and plain[node] > MOST * plain.get(body, 0) and (node in heads or not node.marks & COMMENT_WORDS):
+            node.marked = False
+
+
 def _drop(nodes: list[Node], forms: bool) -> None:
     """Cut out what does not belong to an article; ``forms`` tells whether forms go too."""
     for node in nodes:
@@ -160,6 +178,7 @@ def _drop(nodes: list[Node], forms: bool) -> None:
             if isinstance(x, str)
             or not (
                 x.apart
+                or x.marked
                 or (x.tag == "form" and forms)
                 or ((x.tag == "header" or x.marks & HEADER_WORDS) and not in_article and not x.is_article())
             )
@@ -274,6 +293,7 @@ def main_text(html: str | None) -> str:
         builder.feed(CUT_TAG.sub("", html))
         builder.close()
         root = next((n for n in builder.nodes if n.tag == "body"), builder.root)
+        _unmark_wrappers(builder.nodes, root)
         _drop(builder.nodes, forms)
         nodes = _reached(root)
         _measure(nodes)
