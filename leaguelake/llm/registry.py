@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leaguelake.llm import (
-    edit_counts, html_density, license_scan, line_dedup, packing, pii_pseudonyms, quality_rules, simhash_dedup, template_decontamination, token_files,
+    collocations, edit_counts, html_density, license_scan, line_dedup, packing, pii_pseudonyms, prefix_trie, quality_rules, simhash_dedup,
+    template_decontamination, token_files, url_filter,
 )
 from leaguelake.llm.common import table
 
@@ -54,6 +55,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -67,7 +80,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_pii_pseudonyms,
         op10_quality_rules,
+        op11_collocations,
+        op12_url_filter,
+        op13_prefix_trie,
     )
 }
-# the other operators have no SQL form: fingerprints, models, tokenizers, parsers and ciphers are tested against brute force
-SQL: dict[str, str] = {"op6_line_dedup": line_dedup.SQL}
+# the other operators have no SQL form: fingerprints, models, tokenizers, parsers, ciphers and tries are tested against brute force
+SQL: dict[str, str] = {"op6_line_dedup": line_dedup.SQL, "op11_collocations": collocations.SQL, "op12_url_filter": url_filter.sql()}

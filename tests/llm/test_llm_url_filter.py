@@ -1,0 +1,93 @@
+import pytest
+
+from leaguelake.llm.url_filter import THRESHOLD, VOCABULARY, Rules, automaton, distinct_terms, host_and_path, judged, sql
+from sql_compare import connect, differences
+
+PAGES = "page_id bigint, url string, html string"
+
+
+def verdicts(spark, urls, **options):
+    df = judged(spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], PAGES), **options)
+    return {urls[r["page_id"]]: r for r in df.collect()}
+
+
+def naive_terms(address):
+    """Every term at every place, without an automaton."""
+    import re
+
+    text = re.sub("%[0-9A-Fa-f]{2}", " ", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in address))
+    return {
+        t for t in VOCABULARY for i in range(len(text))
+        if text.startswith(t, i) and not (i and text[i - 1].isalnum()) and not text[i + len(t):i + len(t) + 1].isalnum()
+    }
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_equals_its_sql(spark, sf):
+    folder = f"/root/testdata/sf{sf}"
+    assert differences(judged(spark.read.parquet(f"{folder}/pages.parquet")), connect(folder), sql()) == []
+
+
+def test_given_urls_against_a_plain_search(spark):
+    urls = [r["url"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    terms = automaton(VOCABULARY)
+    for url in urls:
+        address = "".join(host_and_path(url))
+        assert set(distinct_terms(terms, address)) == naive_terms(address)
+
+
+def test_rules(spark):
+    cases = {
+        "https://shop.com/x": ("com/", "allow"),
+        "https://EXAMPLE.com/en/a": ("example.com/en/", "block"),
+        "https://www.example.com/en/a?x": ("www.example.com/en/", "allow"),
+        "https://m.www.example.com/en/": ("www.example.com/en/", "allow"),
+        "https://badexample.com/en/a": ("com/", "allow"),
+        "https://www.example.com/EN/": ("com/", "allow"),
+        "http://a.net/es/1#f": ("net/es/", "block"),
+        "http://a.net/fr/": ("net/fr/", "block"),
+        "http://a.net/fr": (None, "allow"),
+        "http://a.network/fr/": (None, "allow"),
+        "http://com": (None, "allow"),
+        "http://com/": ("com/", "allow"),
+        "http://casino.com/": ("com/", "allow"),
+    }
+    got = verdicts(spark, list(cases))
+    assert {u: (r["rule"], r["verdict"]) for u, r in got.items()} == cases
+
+
+def test_hosts_and_paths():
+    assert host_and_path("http://A.B:80/C/d?e=/f#g") == ("a.b:80", "/C/d")
+    assert host_and_path("x://h?p=/1") == ("h", "") and host_and_path("x://h#/1") == ("h", "") and host_and_path("://") == ("", "")
+    assert host_and_path("a/b://c://d/e") == ("c:", "//d/e")
+    assert host_and_path(None) == host_and_path("") == host_and_path("www.example.com/a") == ("", "")
+
+
+def test_vocabulary(spark):
+    blocked = ["https://porn.org/", "https://adult-dating.org/", "https://a.org/casino", "https://a.org/Free%20PILLS", "https://a.org/sex/live/sex"]
+    allowed = [
+        "https://pornography-law.org/study", "https://essex.org/", "https://adult.org/adult/adult", "https://a.org/?q=casino", "https://a.org/éporn",
+        "https://a.org/porn2", "https://ads.org/", "https://casinos.org/",
+    ]
+    got = verdicts(spark, blocked + allowed, rules=())
+    assert {u for u, r in got.items() if r["verdict"] == "block"} == set(blocked)
+    assert got["https://adult.org/adult/adult"]["weight"] == 1 and got["https://a.org/sex/live/sex"]["terms"] == "live,sex"
+    own = verdicts(spark, ["https://a.org/one/two", "https://a.org/two"], rules=(), vocabulary={"one": 1, "two": THRESHOLD - 1, "": 9})
+    assert [r["verdict"] for r in own.values()] == ["block", "allow"]
+
+
+def test_longest_rule_wins():
+    rules = Rules([("block", "b.com", "/xx/"), ("allow", "a.b.com", "/x"), ("block", "A.B.com", "/xx/y"), ("allow", "", "/")])
+    assert rules.longest("a.b.com", "/xx/y") == ("a.b.com/xx/y", "block")
+    assert rules.longest("a.b.com", "/xx/z") == ("a.b.com/x", "allow")  # equally long: the longer host
+    assert rules.longest("c.b.com", "/xx/z") == ("b.com/xx/", "block")
+    assert rules.longest("b.com", "/x") is None
+
+
+def test_defined_cases(spark):
+    rows = [(1, None, None), (None, "https://casino.org/", ""), (2, "", ""), (3, "casino.org/porn", ""), (4, "https://" + "a" * 300_000 + ".org/casino", "")]
+    wide = spark.createDataFrame([(*r, "h", "p", "r", "v") for r in rows + rows[:1]], PAGES + ", host string, path string, rule string, verdict string")
+    got = sorted(((r["page_id"] or 0, r["verdict"], len(r["host"])) for r in judged(wide).collect()))
+    assert got == [(0, "block", 10), (1, "allow", 0), (1, "allow", 0), (2, "allow", 0), (3, "allow", 0), (4, "block", 300_004)]
+    assert judged(spark.createDataFrame([], PAGES)).count() == 0
+    assert [r["verdict"] for r in judged(wide, vocabulary={}, rules=()).collect()] == ["allow"] * 6
