@@ -7,8 +7,9 @@ a piece; everything is counted per language. The way there, with all arithmetic
    polynomials over those the fingerprint of every n-gram, by one subtraction and one product each. Fingerprints include
    the language. First, words and pairs are counted by fingerprint alone, as sorted blocks for each range of
    fingerprints. The frequent ones set one bit each in a map of fixed size (FILTER_BITS, 16 MB), the only thing that is
-   broadcast. A bit too many costs time, not rightness; none is missing.
-2. In a second scan n-grams whose pairs all have a bit are fingerprinted in two independent lanes (128 bits). In
+   broadcast. Longer n-grams follow, a scan for each length, those whose parts all have a bit. A bit too many costs
+   time, not rightness; none is missing.
+2. In the last scan n-grams that have a bit are fingerprinted in two independent lanes (128 bits). In
    each chunk all occurrences of a fingerprint are compared byte by byte with the first; one that differs (a
    collision) stays apart. Sorted blocks of fingerprint, count and occurrence pointer (document, first byte, length) are
    shuffled by range of fingerprints and summed.
@@ -40,7 +41,7 @@ from leaguelake.session import held
 MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 FILTER_BITS = 27
 CHUNK_BYTES = 1 << 20
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 # characters of all texts for each range of fingerprints
 RANGE_CHARS = 8 << 20
 UNKNOWN = "und"
@@ -161,7 +162,26 @@ def _ranges_of(fingerprints: np.ndarray, bits: int) -> Iterator[tuple[int, slice
             yield int(owner[a]), slice(int(a), int(b))
 
 
-# --- first scan: fingerprints of words and pairs, counted up to the least count ------------------------------------------
+# --- first scans: fingerprints alone, counted up to the least count -------------------------------------------------------
+
+def _has_bit(present: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    bit = (fp >> _U(64 - FILTER_BITS)).astype(np.int64)
+    return (present[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+
+
+def _levels(chunk: Chunk, words: np.ndarray, longest: int, present: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, first words, fingerprints) of the n-grams of each length whose shorter parts all have a bit; without a map, all."""
+    known = np.ones(len(words), bool)
+    for n in range(1, longest + 1):
+        first = chunk.firsts(n)
+        if n > 1:
+            first = first[known[first] & known[first + 1]]
+        fp = _LANES[0].ngrams(words, first, n, chunk.language[first])
+        yield n, first, fp
+        if present is not None:
+            known = np.zeros(len(words), bool)
+            known[first[_has_bit(present, fp)]] = True
+
 
 def _saturated(fingerprints: list[np.ndarray], counts: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
     every, n = np.concatenate(fingerprints), np.concatenate(counts)
@@ -171,10 +191,12 @@ def _saturated(fingerprints: list[np.ndarray], counts: list[np.ndarray], most: i
     return every[begin], np.minimum(np.add.reduceat(n, begin), most).astype(np.uint8)
 
 
-def _count_pairs(bits: int, least: int):
+def _count(bits: int, least: int, lengths: tuple[int, ...], shared):
+    """Counts of the n-grams of some lengths; ``shared`` is the map of shorter ones."""
     most = min(least, 255)
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present = shared.value if shared else None
         fingerprints: list[np.ndarray] = []
         counts: list[np.ndarray] = []
 
@@ -190,10 +212,9 @@ def _count_pairs(bits: int, least: int):
         waiting = 0
         for chunk in chunks(rows):
             words = _LANES[0].words(chunk.data, chunk.starts, chunk.ends)
-            for n in (1, 2):
-                first = chunk.firsts(n)
-                if len(first):
-                    every, times = np.unique(_LANES[0].ngrams(words, first, n, chunk.language[first]), return_counts=True)
+            for n, first, fp in _levels(chunk, words, max(lengths), present):
+                if n in lengths and len(first):
+                    every, times = np.unique(fp, return_counts=True)
                     fingerprints.append(every)
                     counts.append(np.minimum(times, most).astype(np.uint8))
                     waiting += len(every)
@@ -239,9 +260,8 @@ def _frequent_bits(bits: int, least: int):
     return run
 
 
-def frequency_filter(docs: DataFrame, bits: int, least: int) -> np.ndarray:
-    """A map of 2^FILTER_BITS bits; every word and pair that is found ``least`` times or more has its bit set."""
-    counted = mapped(docs, _count_pairs(bits, least), "range int, fingerprints binary, counts binary")
+def _frequent(docs: DataFrame, bits: int, least: int, lengths: tuple[int, ...], shared) -> np.ndarray:
+    counted = mapped(docs, _count(bits, least, lengths, shared), "range int, fingerprints binary, counts binary")
     parts = mapped(counted.repartition("range").sortWithinPartitions("range"), _frequent_bits(bits, least), "range int, bits binary")
     out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     width = len(out) >> bits
@@ -250,7 +270,17 @@ def frequency_filter(docs: DataFrame, bits: int, least: int) -> np.ndarray:
     return out
 
 
-# --- second scan: fingerprints with pointers -----------------------------------------------------------------------------
+def frequency_filter(docs: DataFrame, bits: int, least: int, longest: int) -> np.ndarray:
+    """A map of 2^FILTER_BITS bits; every n-gram that is found ``least`` times or more has its bit set."""
+    out = _frequent(docs, bits, least, (1, 2), None)
+    for n in range(3, longest + 1):
+        shared = docs.sparkSession.sparkContext.broadcast(out)
+        out = out | _frequent(docs, bits, least, (n,), shared)
+        shared.unpersist()
+    return out
+
+
+# --- last scan: fingerprints with pointers -------------------------------------------------------------------------------
 
 _FIELDS = {"fp": np.uint64, "check": np.uint64, "key": np.int64, "place": np.uint32, "size": np.uint32, "words": np.uint8, "count": np.int64}
 BLOCKS = "range int, " + ", ".join(f"{name} binary" for name in _FIELDS)
@@ -305,10 +335,6 @@ def _point(bits: int, max_words: int, shared):
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         present = shared.value
 
-        def frequent(fp: np.ndarray) -> np.ndarray:
-            bit = (fp >> _U(64 - FILTER_BITS)).astype(np.int64)
-            return (present[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
-
         entries: dict[str, list[np.ndarray]] = {name: [] for name in _FIELDS}
         waiting = 0
 
@@ -324,18 +350,9 @@ def _point(bits: int, max_words: int, shared):
 
         for chunk in chunks(rows):
             words = [lane.words(chunk.data, chunk.starts, chunk.ends) for lane in _LANES]
-            pair = np.zeros(len(chunk.starts), bool)
-            for n in range(1, max_words + 1):
-                first = chunk.firsts(n)
-                if n > 2:  # all pairs inside are frequent
-                    for k in range(n - 1):
-                        first = first[pair[first + k]]
-                fp = _LANES[0].ngrams(words[0], first, n, chunk.language[first])
-                if n <= 2:
-                    known = frequent(fp)
-                    first, fp = first[known], fp[known]
-                    if n == 2:
-                        pair[first] = True
+            for n, first, fp in _levels(chunk, words[0], max_words, present):
+                known = _has_bit(present, fp)
+                first, fp = first[known], fp[known]
                 if len(first):
                     check = _LANES[1].ngrams(words[1], first, n, chunk.language[first])
                     for name, values in _verified(chunk, first, n, fp, check).items():
@@ -407,7 +424,7 @@ def frequent_phrases(
     total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = min(FILTER_BITS - 3, max(3, math.ceil(math.log2(max(1, total / RANGE_CHARS)))))
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(frequency_filter(docs, bits, min_count))
+    shared = spark.sparkContext.broadcast(frequency_filter(docs, bits, min_count, max_words))
     blocks = mapped(docs, _point(bits, max_words, shared), BLOCKS).repartition("range").sortWithinPartitions("range")
     pointers = held(mapped(blocks, _frequent_pointers(min_count), POINTERS), "pointers")
     by_document = pointers.groupBy("key").agg(F.collect_list(F.struct("fp", "check", "place", "size", "words", "count")).alias("at"))
