@@ -9,10 +9,10 @@ a piece; everything is counted per language. The way there, with all arithmetic
    fingerprints. The frequent ones set one bit each in a map of fixed size (FILTER_BITS, 16 MB), the only thing that is
    broadcast. Longer n-grams follow, a scan for each length, those whose parts all have a bit. A bit too many costs
    time, not rightness; none is missing.
-2. In the last scan n-grams that have a bit are fingerprinted in two independent lanes (128 bits). In
+2. In the last scan n-grams that have a bit are fingerprinted in two independent lanes (96 bits). In
    each chunk all occurrences of a fingerprint are compared byte by byte with the first; one that differs (a
-   collision) stays apart. Sorted blocks of fingerprint, count and occurrence pointer (document, first byte, length) are
-   shuffled by range of fingerprints and summed.
+   collision) stays apart. Sorted blocks of fingerprint, count and occurrence pointer (document, first byte) are shuffled
+   by range of fingerprints, as byte planes, and summed.
 3. Pointers of frequent fingerprints go back to their documents. Only there phrases become text; each text must give
    its fingerprint again, which also tells apart documents whose keys collide.
 4. Cuts, scores and the removal of phrases inside longer ones are joins of the small table of frequent phrases.
@@ -41,7 +41,9 @@ from leaguelake.session import held
 MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 FILTER_BITS = 27
 CHUNK_BYTES = 1 << 20
-FLUSH = 1 << 20
+FLUSH = 1 << 21
+# bits of a document's key in a pointer; a text must give its fingerprint again, which tells documents of one key apart
+KEY_BITS = 40
 # characters of all texts for each range of fingerprints
 RANGE_CHARS = 8 << 20
 UNKNOWN = "und"
@@ -153,6 +155,16 @@ def _groups(order_of: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], order_of[1:] != order_of[:-1])))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of the values by place: high bytes are alike in sorted or small values, so Spark's compression finds them."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def _ranges_of(fingerprints: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """Each range of sorted fingerprints that has any, by their first bits."""
     owner = (fingerprints >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(fingerprints), np.int64)
@@ -200,11 +212,8 @@ def _count(bits: int, least: int, lengths: tuple[int, ...], shared):
         fingerprints: list[np.ndarray] = []
         counts: list[np.ndarray] = []
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            every, n = _saturated(fingerprints, counts, most)
-            found = [(r, every[s].tobytes(), n[s].tobytes()) for r, s in _ranges_of(every, bits)]
-            fingerprints.clear()
-            counts.clear()
+        def blocks(every: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            found = [(r, _planes(every[s]), n[s].tobytes()) for r, s in _ranges_of(every, bits)]
             for i in range(0, len(found), 64):
                 part = list(zip(*found[i:i + 64]))
                 yield pa.record_batch([pa.array(part[0], pa.int32()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.binary())], ["range", "fingerprints", "counts"])
@@ -219,10 +228,13 @@ def _count(bits: int, least: int, lengths: tuple[int, ...], shared):
                     counts.append(np.minimum(times, most).astype(np.uint8))
                     waiting += len(every)
             if waiting >= FLUSH:
-                yield from flush()
-                waiting = 0
-        if fingerprints:
-            yield from flush()
+                every, n = _saturated(fingerprints, counts, most)
+                if len(every) > FLUSH // 2:
+                    yield from blocks(every, n)
+                    every, n = every[:0], n[:0]
+                fingerprints, counts, waiting = [every], [n], len(every)
+        if waiting:
+            yield from blocks(*_saturated(fingerprints, counts, most))
 
     return run
 
@@ -250,7 +262,7 @@ def _frequent_bits(bits: int, least: int):
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, blocks in _by_range(rows):
             every, n = _saturated(
-                [np.frombuffer(b, np.uint64) for b in blocks["fingerprints"]], [np.frombuffer(b, np.uint8) for b in blocks["counts"]], most
+                [_from_planes(b, np.uint64) for b in blocks["fingerprints"]], [np.frombuffer(b, np.uint8) for b in blocks["counts"]], most
             )
             flags = np.zeros(1 << (FILTER_BITS - bits), np.uint8)
             frequent = every[n >= most] >> _U(64 - FILTER_BITS)
@@ -282,7 +294,7 @@ def frequency_filter(docs: DataFrame, bits: int, least: int, longest: int) -> np
 
 # --- last scan: fingerprints with pointers -------------------------------------------------------------------------------
 
-_FIELDS = {"fp": np.uint64, "check": np.uint64, "key": np.int64, "place": np.uint32, "size": np.uint32, "words": np.uint8, "count": np.int64}
+_FIELDS = {"fp": np.uint64, "check": np.uint32, "key": np.uint64, "place": np.uint32, "words": np.uint8, "count": np.uint64}
 BLOCKS = "range int, " + ", ".join(f"{name} binary" for name in _FIELDS)
 
 
@@ -316,13 +328,13 @@ def _verified(chunk: Chunk, first: np.ndarray, n: int, fp: np.ndarray, check: np
     counts[begin] = np.add.reduceat(same.astype(np.int64), begin)
     keep = np.flatnonzero(counts)
     return {
-        "fp": fp[keep], "check": check[keep], "key": chunk.keys[first[keep]], "place": chunk.places[first[keep]].astype(np.uint32),
-        "size": size[keep].astype(np.uint32), "words": np.full(len(keep), n, np.uint8), "count": counts[keep].astype(np.int64),
+        "fp": fp[keep], "check": check[keep].astype(np.uint32), "key": chunk.keys[first[keep]].astype(np.uint64),
+        "place": chunk.places[first[keep]].astype(np.uint32), "words": np.full(len(keep), n, np.uint8), "count": counts[keep].astype(np.uint64),
     }
 
 
 def _summed(entries: dict[str, list[np.ndarray]]) -> dict[str, np.ndarray]:
-    """Entries with the same 128 bits as one, with the pointer into the document of the least key."""
+    """Entries with the same bits in both lanes as one, with the pointer into the document of the least key."""
     every = {name: np.concatenate(parts) for name, parts in entries.items()}
     order = np.lexsort((every["place"], every["key"], every["check"], every["fp"]))
     every = {name: values[order] for name, values in every.items()}
@@ -338,14 +350,11 @@ def _point(bits: int, max_words: int, shared):
         entries: dict[str, list[np.ndarray]] = {name: [] for name in _FIELDS}
         waiting = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            every = _summed(entries)
-            for parts in entries.values():
-                parts.clear()
+        def blocks(every: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
             found = list(_ranges_of(every["fp"], bits))
             for i in range(0, len(found), 64):
                 some = found[i:i + 64]
-                columns = [pa.array([every[name][s].astype(kind).tobytes() for _, s in some], pa.binary()) for name, kind in _FIELDS.items()]
+                columns = [pa.array([_planes(every[name][s].astype(kind)) for _, s in some], pa.binary()) for name, kind in _FIELDS.items()]
                 yield pa.record_batch([pa.array([r for r, _ in some], pa.int32()), *columns], ["range", *_FIELDS])
 
         for chunk in chunks(rows):
@@ -359,26 +368,33 @@ def _point(bits: int, max_words: int, shared):
                         entries[name].append(values)
                     waiting += len(entries["fp"][-1])
             if waiting >= FLUSH:
-                yield from flush()
-                waiting = 0
-        if entries["fp"]:
-            yield from flush()
+                every = _summed(entries)
+                if len(every["fp"]) > FLUSH // 2:
+                    yield from blocks(every)
+                    every = {name: values[:0] for name, values in every.items()}
+                entries = {name: [values] for name, values in every.items()}
+                waiting = len(every["fp"])
+        if waiting:
+            yield from blocks(_summed(entries))
 
     return run
 
 
-POINTERS = "key bigint, fp bigint, check bigint, place bigint, size bigint, words int, count bigint"
+POINTERS = "key bigint, fp bigint, check bigint, place bigint, words int, count bigint"
+
+POINTED = [field.split()[0] for field in POINTERS.split(", ")]
+_WORD = b"[^ " + re.escape(BREAKS) + b"]+"
 
 
 def _frequent_pointers(least: int):
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blocks in _by_range(rows):
-            every = _summed({name: [np.frombuffer(b, kind) for b in blocks[name]] for name, kind in _FIELDS.items()})
+            every = _summed({name: [_from_planes(b, kind) for b in blocks[name]] for name, kind in _FIELDS.items()})
             every = {name: values[every["count"] >= least] for name, values in every.items()}
             for start in range(0, len(every["fp"]), 1 << 16):
                 part = {name: values[start:start + (1 << 16)] for name, values in every.items()}
-                part = {name: values.view(np.int64) if values.dtype == np.uint64 else values.astype(np.int32 if name == "words" else np.int64) for name, values in part.items()}
-                yield pa.record_batch([pa.array(part[n]) for n in ("key", "fp", "check", "place", "size", "words", "count")], ["key", "fp", "check", "place", "size", "words", "count"])
+                columns = [part["fp"].view(np.int64) if name == "fp" else part[name].astype(np.int32 if name == "words" else np.int64) for name in POINTED]
+                yield pa.record_batch([pa.array(c) for c in columns], POINTED)
 
     return run
 
@@ -388,7 +404,8 @@ def _texts_of(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, (langs, pointers, texts) in batches_of(rows, "lang", "at", "text"):
         for lang, points, text in zip(langs, pointers, texts):
             data = normal(text)
-            phrases = [data[p["place"]:p["place"] + p["size"]] for p in points]
+            at = {n: re.compile(_WORD + b"(?: " + _WORD + b"){%d}" % (n - 1)) for n in {p["words"] for p in points}}
+            phrases = [found[0] if (found := at[p["words"]].match(data, p["place"])) else b"" for p in points]
             code = language_hash(lang)
             chunk = Chunk([(0, code, 0, p) for p in phrases])
             words = [lane.words(chunk.data, chunk.starts, chunk.ends) for lane in _LANES]
@@ -401,7 +418,7 @@ def _texts_of(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue  # a place inside another text
                 first = begin[mine]
                 fp, check = (lane.ngrams(words[k], first, int(n), np.full(len(mine), code, np.uint64)).view(np.int64) for k, lane in enumerate(_LANES))
-                out += [(int(n), phrases[i].decode(errors="replace"), points[i]["count"]) for i, a, b in zip(mine, fp, check) if (points[i]["fp"], points[i]["check"]) == (a, b)]
+                out += [(int(n), phrases[i].decode(errors="replace"), points[i]["count"]) for i, a, b in zip(mine, fp, check) if (points[i]["fp"], points[i]["check"]) == (a, b % (1 << 32))]
             if out:
                 ns, found, counts = zip(*out)
                 yield pa.record_batch([pa.array([lang] * len(out)), pa.array(ns, pa.int32()), pa.array(found), pa.array(counts, pa.int64())], ["lang", "words", "phrase", "f"])
@@ -410,7 +427,7 @@ def _texts_of(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prepared(documents: DataFrame, text: str, lang: str, doc_id: str) -> DataFrame:
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     return documents.select(
-        F.xxhash64(F.col(doc_id), whole).alias("key"), F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), whole.alias("text")
+        F.xxhash64(F.col(doc_id), whole).bitwiseAND(F.lit((1 << KEY_BITS) - 1)).alias("key"), F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), whole.alias("text")
     )
 
 
@@ -427,7 +444,7 @@ def frequent_phrases(
     shared = spark.sparkContext.broadcast(frequency_filter(docs, bits, min_count, max_words))
     blocks = mapped(docs, _point(bits, max_words, shared), BLOCKS).repartition("range").sortWithinPartitions("range")
     pointers = held(mapped(blocks, _frequent_pointers(min_count), POINTERS), "pointers")
-    by_document = pointers.groupBy("key").agg(F.collect_list(F.struct("fp", "check", "place", "size", "words", "count")).alias("at"))
+    by_document = pointers.groupBy("key").agg(F.collect_list(F.struct("fp", "check", "place", "words", "count")).alias("at"))
     found = mapped(docs.join(by_document, "key").select("lang", "at", "text"), _texts_of, "lang string, words int, phrase string, f bigint")
     # a repeated document gives the same phrase again
     return found.groupBy("lang", "words", "phrase").agg(F.max("f").alias("f"))

@@ -96,8 +96,8 @@ def test_occurrences_with_other_text_stay_apart():
     same = np.zeros(len(first), np.uint64)  # all collide
     found = _verified(chunk, first, 1, same, same)
     texts = Counter()
-    for key, place, size, count in zip(*(found[c] for c in ("key", "place", "size", "count"))):
-        texts[(key, {1: b"aa bb aa cc", 2: b"aa dd"}[key][place:place + size])] += int(count)
+    for key, place, count in zip(*(found[c].tolist() for c in ("key", "place", "count"))):
+        texts[(key, {1: b"aa bb aa cc", 2: b"aa dd"}[key][place:place + 2])] += count
     assert texts == {(1, b"aa"): 2, (1, b"bb"): 1, (1, b"cc"): 1, (2, b"aa"): 1, (2, b"dd"): 1}
 
 
@@ -107,3 +107,16 @@ def test_fingerprints_do_not_depend_on_the_place():
         (x, y), at_a, at_b = [lane.words(c.data, c.starts, c.ends) for c in (a, b)], np.array([0]), np.array([2, 5])
         one, two = lane.ngrams(x, at_a, 2, a.language[at_a]), lane.ngrams(y, at_b, 2, b.language[at_b])
         assert set(one) == set(two)
+
+
+def test_documents_of_one_key_are_told_apart(spark, monkeypatch):
+    """Two bits of key: most documents share theirs."""
+    monkeypatch.setattr(collocations, "KEY_BITS", 2)
+    rows = invented(9, 120)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], SCHEMA)
+    assert result(df) == brute_force(rows)
+
+
+def test_planes():
+    for values in (np.array([1, 2**63, 5], np.uint64), np.array([7, 2**31], np.uint32), np.zeros(0, np.uint64)):
+        assert (collocations._from_planes(collocations._planes(values), values.dtype.type) == values).all()
