@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from leaguelake import schemas
 from leaguelake.functions import derive, localtime
-from leaguelake.operators import analytics, delivery, flatten, merge, quality, tables
+from leaguelake.operators import analytics, delivery, flatten, merge, partitions, quality
 from leaguelake.plans import medallion
 from leaguelake.session import held, scratch_path
 from leaguelake.sources import bridge, documents, manifest
@@ -244,10 +244,10 @@ def partition_overwrite(spark, sf_dir):
     both = bridge.snapshots(bridge.game_keys(spark, sf_dir)).select(
         month.alias("month"), "game_id", "game_status", "snapshot"
     )
-    tables.replace(spark, path, both.filter(F.col("snapshot") == F.lit(bridge.FIRST_SNAPSHOT)), "month")
+    partitions.replace(both.filter(F.col("snapshot") == F.lit(bridge.FIRST_SNAPSHOT)), path, "month")
     later = both.filter((F.col("snapshot") == F.lit(bridge.SECOND_SNAPSHOT)) & (F.col("month") >= "1998-01-01"))
-    tables.replace(spark, path, later, "month")
-    return tables.read(spark, path)
+    partitions.replace(later, path, "month")
+    return partitions.read(spark, path)
 
 
 @query
@@ -260,12 +260,12 @@ def table_upsert(spark, sf_dir):
     def of(day) -> DataFrame:
         return both.filter(F.col("snapshot") == F.lit(day)).drop("game_no")
 
-    tables.merge(spark, path, of(bridge.SECOND_SNAPSHOT), "game_id", "snapshot")
-    tables.merge(spark, path, of(bridge.FIRST_SNAPSHOT).withColumn("dt", F.date_add("dt", 1)), "game_id", "snapshot")
+    partitions.merge(spark, path, of(bridge.SECOND_SNAPSHOT), "game_id", "snapshot")
+    partitions.merge(spark, path, of(bridge.FIRST_SNAPSHOT).withColumn("dt", F.date_add("dt", 1)), "game_id", "snapshot")
     moved = both.filter((F.col("snapshot") == F.lit(bridge.SECOND_SNAPSHOT)) & (F.col("game_no") % 10 == 0))
     moved = moved.select("game_id", F.date_add("dt", 30).alias("dt"), F.date_add("snapshot", 1).alias("snapshot"))
-    tables.merge(spark, path, moved, "game_id", "snapshot", ["dt", "snapshot"], {"is_cancelled": ("boolean", False)})
-    return tables.read(spark, path)
+    partitions.merge(spark, path, moved, "game_id", "snapshot", ["dt", "snapshot"], {"is_cancelled": ("boolean", False)})
+    return partitions.read(spark, path)
 
 
 @query
@@ -280,7 +280,7 @@ def cancel_replay(spark, sf_dir):
     for step, snapshot in enumerate(snapshots):
         medallion.load_schedule(spark, path, snapshot)
         medallion.cancel(spark, path, snapshot)
-        steps.append(held(tables.read(spark, path).select(F.lit(step + 1).alias("step"), "game_id", "is_cancelled"), "step"))
+        steps.append(held(partitions.read(spark, path).select(F.lit(step + 1).alias("step"), "game_id", "is_cancelled"), "step"))
     return steps[0].unionByName(steps[1]).unionByName(steps[2])
 
 
@@ -321,10 +321,10 @@ def table_roundtrip(spark, sf_dir):
     """A table created from its schema, written with the schema checked, and read back for a date it has and one it lacks."""
     path = scratch_path(spark, "roundtrip")
     games = bridge.games(spark, sf_dir)
-    tables.replace(spark, path, merge.empty_table(spark, StructType([*schemas.SILVER_SCHEDULE.fields, StructField("dt", DateType())])))
+    partitions.create(spark, path, StructType([*schemas.SILVER_SCHEDULE.fields, StructField("dt", DateType())]), "dt")
     silver = bridge.silver_schedule(games, "dt")
     merge.assert_schema(silver.drop("dt"), schemas.SILVER_SCHEDULE)
-    tables.replace(spark, path, silver)
+    partitions.replace(silver, path)
     present, absent = (documents.read_partition(spark, path, day, schemas.SILVER_SCHEDULE) for day in READ_DAYS)
     return present.unionByName(absent)
 
@@ -547,7 +547,7 @@ def incremental_silver(spark, sf_dir):
         raw = bridge.schedule_documents(both.filter(F.col("snapshot") == F.lit(snapshot)))
         raw.write.text(f"{landing}/{snapshot}")
         incremental.follow_schedule(spark, landing, table, progress, multi_line=False)
-    return tables.read(spark, table)
+    return partitions.read(spark, table)
 
 
 @query
@@ -561,4 +561,28 @@ def incremental_boxscores(spark, sf_dir):
     incremental.follow_boxscores(spark, landing, boxes, players, progress, multi_line=False)
     raw.write.text(f"{landing}/{bridge.FIRST_SNAPSHOT}")
     incremental.follow_boxscores(spark, landing, boxes, players, progress, multi_line=False)
-    return tables.read(spark, boxes).select("game_id", "home_score", "away_score", "winner", "dt")
+    return partitions.read(spark, boxes).select("game_id", "home_score", "away_score", "winner", "dt")
+
+
+def _planted(doc: Column, number: Column) -> Column:
+    """A box score document cut off, without its game id, or with a score that is below zero or no number."""
+    return (
+        F.when(number % 11 == 0, F.expr("left(doc, length(doc) div 2)"))
+        .when(number % 13 == 0, F.regexp_replace(doc, '"gameId":"[^"]*"', '"gameId":null'))
+        .when(number % 17 == 0, F.regexp_replace(doc, '"score":(\\d+)', '"score":-1$1'))
+        .when(number % 19 == 0, F.regexp_replace(doc, '"score":(\\d+)', '"score":"many"'))
+        .otherwise(doc)
+    )
+
+
+@query
+def quarantine(spark, sf_dir):
+    """Box scores land with broken ones among them: what is stored, by game, and what waits as a dead letter, by reason."""
+    names = ("landing", "boxscores", "players", "progress")
+    landing, boxes, players, progress = (scratch_path(spark, n) for n in names)
+    raw = bridge.boxscore_headers(spark, sf_dir)
+    raw.select(_planted(F.col("doc"), F.regexp_extract("doc", '"gameId":"(\\d+)"', 1).cast("bigint"))).write.text(f"{landing}/{bridge.FIRST_SNAPSHOT}")
+    incremental.follow_boxscores(spark, landing, boxes, players, progress, multi_line=False)
+    stored = partitions.read(spark, boxes).select(F.lit("stored").alias("what"), "game_id", F.lit(1).cast("bigint").alias("documents"))
+    letters = incremental.dead_letters(spark, f"{boxes}_dead_letters").groupBy(F.col("reason").alias("what")).agg(F.sum("documents").alias("documents"))
+    return stored.unionByName(letters.select("what", F.lit(None).cast("string").alias("game_id"), "documents"))

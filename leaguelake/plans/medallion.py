@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
 from leaguelake.functions import derive
-from leaguelake.operators import flatten, merge, quality, tables
+from leaguelake.operators import flatten, merge, partitions, quality
 from leaguelake.session import held_at, release
 from leaguelake.sources import documents, manifest
 
@@ -48,12 +48,12 @@ def landed(spark: SparkSession, lake: Lake, kind: str, since: dt.date | None = N
 def pending(spark: SparkSession, lake: Lake, kind: str, since: dt.date | None = None) -> DataFrame:
     """Landed files that Silver has not taken in, or that have changed since."""
     files = landed(spark, lake, kind, since)
-    taken = tables.read(spark, lake.silver(f"{kind}_ingested"))
+    taken = partitions.read(spark, lake.silver(f"{kind}_ingested"), schemas.INGESTED)
     return files if taken is None else files.join(taken, ["path", "landed_at"], "left_anti")
 
 
 def _record(spark: SparkSession, lake: Lake, kind: str, files: DataFrame) -> None:
-    tables.replace(spark, lake.silver(f"{kind}_ingested"), files.select(*schemas.INGESTED.fieldNames()))
+    partitions.replace(files.select(*schemas.INGESTED.fieldNames()), lake.silver(f"{kind}_ingested"))
 
 
 def _documents(spark: SparkSession, lake: Lake, kind: str, schema, since: dt.date | None):
@@ -85,7 +85,7 @@ def build_silver_schedule(spark: SparkSession, lake: Lake, since: dt.date | None
     quality.enforce(games, quality.schedule_value_gates(), by=["dt"])
     silver = flatten.derive_schedule(flatten.project_schedule(games, ["dt"]), ["dt"])
     merge.assert_schema(silver.drop("dt"), schemas.SILVER_SCHEDULE)
-    tables.replace(spark, lake.silver("schedule"), silver)
+    partitions.replace(silver, lake.silver("schedule"))
     _record(spark, lake, "schedule", files)
     release(spark, *held)
 
@@ -103,15 +103,15 @@ def build_silver_games(spark: SparkSession, lake: Lake, since: dt.date | None =
     players = flatten.silver_player_stats(rows, ["dt"])
     merge.assert_schema(players.drop("dt"), schemas.SILVER_PLAYER_STATS)
     if quality.enforce(players, quality.player_gates()):
-        tables.replace(spark, lake.silver("player_stats"), players)
-    tables.replace(spark, lake.silver("boxscores"), boxes)
+        partitions.replace(players, lake.silver("player_stats"))
+    partitions.replace(boxes, lake.silver("boxscores"))
     _record(spark, lake, "boxscores", files)
     release(spark, *held)
 
 
 def ingest_report(spark: SparkSession, lake: Lake, run_start: dt.datetime) -> DataFrame:
     """Audit of the newest schedule's finished games against all landed box scores; raises when a date got none."""
-    newest = documents.latest_snapshot(tables.read(spark, lake.silver("schedule")))
+    newest = newest_date(partitions.read(spark, lake.silver("schedule")))
     day = F.to_date("game_datetime_utc")
     wanted = newest.filter(F.col("game_status") == derive.FINAL_STATUS).select(day.alias("dt"), "game_id")
     files = landed(spark, lake, "boxscores").select(
@@ -122,30 +122,32 @@ def ingest_report(spark: SparkSession, lake: Lake, run_start: dt.datetime) -> Da
     return audit
 
 
+def newest_date(stored: DataFrame) -> DataFrame:
+    """Rows of the greatest partition ``dt``: a literal date, so the other partitions are not read."""
+    newest = stored.agg(F.max("dt")).first()[0]
+    return stored.filter(F.col("dt") == F.lit(newest))
+
+
 def load_gold(spark: SparkSession, lake: Lake, since: dt.date | None = None) -> None:
     """Merge Silver into the star schema; the newest date of a key wins.
 
-    Without ``since`` all dates are replayed. With it only the Silver blocks from then on are read, and rows older than
+    Without ``since`` all dates are replayed. With it only the Silver dates from then on are read, and rows older than
     the stored ones change nothing. Cancellations always follow the newest snapshot of all.
     """
 
     def silver(table: str) -> DataFrame | None:
-        current = tables.state(spark, lake.silver(table))
-        if current is None:
-            return None
-        blocks = [b for b in current["blocks"] if since is None or b >= since.isoformat()]
-        return tables.read(spark, lake.silver(table), blocks)
+        stored = partitions.read(spark, lake.silver(table))
+        return stored if stored is None or since is None else stored.filter(F.col("dt") >= F.lit(since))
 
     schedule, boxes, lines = silver("schedule"), silver("boxscores"), silver("player_stats")
     if schedule is not None:
         load_schedule(spark, lake.gold("schedule"), schedule.withColumnRenamed("dt", "snapshot"))
-        newest = max(tables.state(spark, lake.silver("schedule"))["blocks"])
-        cancel(spark, lake.gold("schedule"), tables.read(spark, lake.silver("schedule"), [newest]))
+        cancel(spark, lake.gold("schedule"), newest_date(partitions.read(spark, lake.silver("schedule"))))
     if boxes is not None:
-        tables.merge(spark, lake.gold("boxscores"), merge.latest_per_key(boxes, ["game_id"], "dt"), "game_id", version="dt")
+        partitions.merge(spark, lake.gold("boxscores"), merge.latest_per_key(boxes, ["game_id"], "dt"), "game_id", version="dt")
     if lines is not None:
-        tables.merge(spark, lake.gold("players"), merge.players_dimension(lines), "player_id", version="dt")
-        tables.merge(spark, lake.gold("player_stats"), merge.player_facts(lines), "pk", version="dt")
+        partitions.merge(spark, lake.gold("players"), merge.players_dimension(lines), "player_id", version="dt")
+        partitions.merge(spark, lake.gold("player_stats"), merge.player_facts(lines), "pk", version="dt")
 
 
 def load_schedule(spark: SparkSession, path: str, snapshots: DataFrame) -> None:
@@ -153,21 +155,21 @@ def load_schedule(spark: SparkSession, path: str, snapshots: DataFrame) -> None:
     newest = merge.latest_per_key(snapshots, ["game_id"], "snapshot")
     columns = [*schemas.SILVER_SCHEDULE.fieldNames(), "snapshot"]
     update = [c for c in columns if c != "game_id"]
-    tables.merge(spark, path, newest.select(*columns), "game_id", "snapshot", update, schemas.GOLD_SCHEDULE_EXTRAS)
+    partitions.merge(spark, path, newest.select(*columns), "game_id", "snapshot", update, schemas.GOLD_SCHEDULE_EXTRAS)
 
 
 def cancel(spark: SparkSession, path: str, snapshot: DataFrame) -> None:
     """Work the cancellations of the Gold schedule out anew from one snapshot; without rows in it nothing changes."""
     if snapshot.isEmpty():
         return
-    flags = merge.cancel_phantoms(tables.read(spark, path).withColumn("_was", F.col("is_cancelled")), snapshot)
+    flags = merge.cancel_phantoms(partitions.read(spark, path).withColumn("_was", F.col("is_cancelled")), snapshot)
     changed = flags.filter(~F.col("_was").eqNullSafe(F.col("is_cancelled"))).select("game_id", "is_cancelled")
-    tables.merge(spark, path, changed, "game_id", None, ["is_cancelled"])
+    partitions.merge(spark, path, changed, "game_id", None, ["is_cancelled"])
 
 
 def check_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     """Violation counts of every contract over the stored star schema."""
-    stored = [tables.read(spark, lake.gold(t)) for t in ("schedule", "boxscores", "player_stats", "players")]
+    stored = [partitions.read(spark, lake.gold(t)) for t in ("schedule", "boxscores", "player_stats", "players")]
     return quality.contract_suite(*stored)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
 from leaguelake.functions import localtime
-from leaguelake.operators import delivery, merge, tables
+from leaguelake.operators import delivery, merge, partitions
 from leaguelake.plans.medallion import Lake
 from leaguelake.session import held
 from leaguelake.sources.documents import read_table
@@ -54,7 +54,7 @@ def record_polls(spark: SparkSession, lake: Lake, patches: DataFrame) -> None:
     """Store (game_id, poll_message_id) on the schedule; a NULL id clears it. Ids of unknown games are left out."""
     known = patches.join(read_table(spark, lake.gold("schedule")).select("game_id"), "game_id", "left_semi")
     latest = known.groupBy("game_id").agg(F.max("poll_message_id").alias("poll_message_id"))
-    tables.merge(spark, lake.gold("schedule"), latest, "game_id", None, ["poll_message_id"])
+    partitions.merge(spark, lake.gold("schedule"), latest, "game_id", None, ["poll_message_id"])
 
 
 def close_polls(spark: SparkSession, lake: Lake, now: dt.datetime) -> DataFrame:

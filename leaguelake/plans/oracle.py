@@ -306,6 +306,15 @@ SELECT {SCHEDULE_COLUMNS} FROM schedule WHERE dt IN (DATE '1997-03-15', DATE '20
 SELECT *, CASE WHEN away_score > home_score THEN 'away' WHEN home_score > away_score THEN 'home' ELSE 'data_anomaly' END AS winner,
   DATE '2026-01-02' AS dt
 FROM corrected"""),
+    "quarantine": _with("typed scores", """
+, planted AS (SELECT game_id, CAST(game_id AS BIGINT) AS n FROM typed t JOIN scores s ON t.k = s.k),
+judged AS (
+  SELECT game_id, CASE WHEN n % 11 = 0 THEN 'unreadable' WHEN n % 13 = 0 THEN 'no_game_id' WHEN n % 17 = 0 THEN 'score_negative'
+    WHEN n % 19 = 0 THEN 'number_untyped' ELSE 'stored' END AS what
+  FROM planted)
+SELECT what, game_id, CAST(1 AS BIGINT) AS documents FROM judged WHERE what = 'stored'
+UNION ALL
+SELECT what, NULL, COUNT(*) FROM judged WHERE what <> 'stored' GROUP BY what"""),
     "patch_column": _with("keys", """
 SELECT game_id, ts AS game_datetime_utc,
   CASE WHEN priority = 5 THEN CASE WHEN status = 1 THEN k + 1 END WHEN k % 3 = 0 THEN k * 10 END AS poll_message_id

@@ -6,11 +6,10 @@ import datetime as dt
 import re
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from leaguelake.operators import tables
+from leaguelake.operators import partitions
 from leaguelake.session import file_system
 
 # landed files lie at <root>/<yyyy-MM-dd>/<file>.json
@@ -71,24 +70,17 @@ def parse_documents(raw: DataFrame, schema: StructType, column: str = "doc") ->
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A committed table (see ``operators.tables``) or a plain Parquet one, or None when nothing was written yet."""
-    committed = tables.read(spark, path)
-    if committed is not None:
-        return committed
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    """A stored Parquet table, or None when nothing was written yet."""
+    return partitions.read(spark, path)
 
 
 def read_partition(spark: SparkSession, path: str, day: dt.date, schema: StructType) -> DataFrame:
-    """One date of a stored table; an absent table or date is an empty frame."""
-    table = read_table(spark, path)
-    if table is None:
-        return spark.createDataFrame([], schema)
-    return table.filter(F.col("dt") == F.lit(day)).select(*schema.fieldNames())
+    """One date of a table partitioned by ``dt``; an absent table or date is an empty frame.
+
+    The schema is given and only the date's own partition is listed, so the cost does not grow with the calendar.
+    """
+    rows = partitions.read_date(spark, path, day, StructType([*schema.fields, StructField("dt", DateType())]))
+    return spark.createDataFrame([], schema) if rows is None else rows.select(*schema.fieldNames())
 
 
 def read_sql(spark: SparkSession, text: str, args: Mapping[str, object], **views: DataFrame) -> DataFrame:
