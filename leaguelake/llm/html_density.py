@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
@@ -64,6 +65,8 @@ APART = frozenset(
     "share sharing social related recommended recommendations widget widgets skip search searchform form".split()
 )
 COMMENT_WORDS = frozenset("comment comments commentlist discussion replies reply respond disqus".split())
+# words of parts that are links or forms where they do not belong to the text
+LINK_WORDS = frozenset("related recommended recommendations social share sharing search skip form searchform navigation copyright notice notices".split())
 HEADER_WORDS = frozenset({"header", "siteheader", "pageheader"})
 ARTICLE_WORDS = frozenset({"article", "articlebody"})
 TEXT_LEVEL = frozenset(
@@ -78,7 +81,7 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "marks", "apart", "marked", "parent", "items", "chars", "link_chars", "tags", "link_tags", "density", "sum")
+    __slots__ = ("tag", "marks", "apart", "marked", "inside", "parent", "items", "chars", "link_chars", "tags", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None, attrs: dict[str, str]) -> None:
         self.tag, self.parent, self.items = tag, parent, []
@@ -95,6 +98,7 @@ class Node:
             or bool(HIDDEN.search(attrs.get("style", "")))
         )
         self.marked = bool(self.marks & APART) and not self.is_article() and tag != "body"
+        self.inside = self.is_article() or (parent is not None and parent.inside)
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
 
@@ -103,26 +107,47 @@ class Node:
 
 
 class Builder(HTMLParser):
-    """Tree of a page in document order; ``nodes`` lists parents before children."""
+    """Tree of a page in document order; ``nodes`` lists parents before children.
+
+    ``places`` has, for each tag, where it is open, so no step looks through all open elements, however deep the page.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("html", None, {})
         self.nodes, self.open = [self.root], [self.root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def _open(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.open))
+        self.open.append(node)
+
+    def _cut(self, place: int) -> None:
+        """Close the element at a place and all within it."""
+        while len(self.open) > place:
+            tag = self.open.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def _innermost(self, tag: str) -> int:
+        return self.places[tag][-1] if self.places.get(tag) else 0
 
     def _close(self, tags: frozenset[str], boundary: frozenset[str]) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i].tag
-            if tag in boundary:
-                return
-            if tag in tags:
-                del self.open[i:]
+        """Close the outermost of ``tags`` within the innermost ``boundary``."""
+        edge = max(map(self._innermost, boundary))
+        found = [places[i] for places in map(self.places.get, tags) if places and (i := bisect_right(places, edge)) < len(places)]
+        if found:
+            self._cut(min(found))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag == "html" or (tag == "body" and any(n.tag == "body" for n in self.open)):
+        if tag == "html" or (tag == "body" and self._innermost("body")):
             return
         if tag not in IN_HEAD and len(self.open) > 1 and self.open[1].tag == "head":
-            del self.open[1:]
+            self._cut(1)
         if tag in BLOCK:
             self._close(frozenset({"p"}), P_BOUNDARY)
         if tag in CLOSES:
@@ -131,38 +156,45 @@ class Builder(HTMLParser):
         self.open[-1].items.append(node)
         self.nodes.append(node)
         if tag not in VOID:
-            self.open.append(node)
+            self._open(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in ("html", "body"):
+        place = self._innermost(tag)
+        if tag in ("html", "body") or not place:
             return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if tag not in BLOCK and self.open[i].tag in BLOCK:
-                return
+        if tag in BLOCK or not self.blocks or self.blocks[-1] < place:
+            self._cut(place)
 
     def handle_data(self, data: str) -> None:
         self.open[-1].items.append(data)
 
 
 def _unmark_wrappers(nodes: list[Node], body: Node) -> None:
-    """Take the mark from nodes that hold most characters outside links; of comments only with a heading or article inside."""
+    """Take the mark from nodes that hold most characters outside links, of comments only with a heading or article inside;
+    and within an article from nodes whose mark speaks of links or forms while their text is not mostly links."""
     plain: dict[Node, int] = {}
+    total: dict[Node, int] = {}
     heads: set[Node] = set()
     for node in reversed(nodes):
-        if node.apart or node.tag == "a":
+        if node.apart:
+            continue
+        own = sum(len("".join(x.split())) for x in node.items if isinstance(x, str))
+        kids = [x for x in node.items if not isinstance(x, str)]
+        total[node] = own + sum(total.get(k, 0) for k in kids)
+        if node.tag == "a":
             continue
-        plain[node] = sum(len("".join(x.split())) if isinstance(x, str) else plain.get(x, 0) for x in node.items)
-        if node.tag == "h1" or node.is_article() or any(x in heads for x in node.items if not isinstance(x, str)):
+        plain[node] = own + sum(plain.get(k, 0) for k in kids)
+        if node.tag == "h1" or node.is_article() or any(k in heads for k in kids):
             heads.add(node)
-    for node in plain:
-        if node.marked and plain[node] > MOST * plain.get(body, 0) and (node in heads or not node.marks & COMMENT_WORDS):
+    for node, chars in plain.items():
+        if node.marked and chars > MOST * plain.get(body, 0) and (node in heads or not node.marks & COMMENT_WORDS):
             node.marked = False
+        if node.marked and node.inside and chars > LINKY * total[node]:
+            quoted = node.tag == "blockquote" and node.marks & APART <= COMMENT_WORDS
+            node.marked = not (quoted or node.marks & APART <= LINK_WORDS)
 
 
 def _drop(nodes: list[Node], forms: bool) -> None:
@@ -171,7 +203,6 @@ def _drop(nodes: list[Node], forms: bool) -> None:
         items = node.items
         if not items:
             continue
-        in_article = _within_article(node)
         node.items = [
             x
             for x in items
@@ -180,19 +211,11 @@ def _drop(nodes: list[Node], forms: bool) -> None:
                 x.apart
                 or x.marked
                 or (x.tag == "form" and forms)
-                or ((x.tag == "header" or x.marks & HEADER_WORDS) and not in_article and not x.is_article())
+                or ((x.tag == "header" or x.marks & HEADER_WORDS) and not node.inside and not x.is_article())
             )
         ]
 
 
-def _within_article(node: Node | None) -> bool:
-    while node is not None:
-        if node.is_article():
-            return True
-        node = node.parent
-    return False
-
-
 def _reached(root: Node) -> list[Node]:
     """Nodes that are still in the tree, parents before children."""
     out, at = [root], 0
@@ -256,7 +279,7 @@ def _article(nodes: list[Node]) -> list[Node]:
 
 
 def _blocks(parts: list[Node]) -> Iterator[str]:
-    """Text of blocks in page order; link lists inside are left out."""
+    """Text of blocks in page order; lists of links outside an article element are left out."""
     words: list[str] = []
 
     def ended() -> Iterator[str]:
@@ -274,7 +297,7 @@ def _blocks(parts: list[Node]) -> Iterator[str]:
             words.append(item)
         elif item.tag == "br":
             words.append(" ")
-        elif item.tag in ("ul", "ol", "dl", "table") and item.link_tags > 1 and _linky(item):
+        elif item.tag in ("ul", "ol", "dl", "table") and item.link_tags > 1 and not item.inside and _linky(item):
             continue
         else:
             if item.tag in BLOCK:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
 import sys
 import types
+import unicodedata
 from array import array
 
 import numpy as np
@@ -16,7 +18,14 @@ TOKENIZER = "word_bpe_49k.json"
 MAX_WORDS = 500_000
 # ASCII punctuation between a letter or digit and white space is a piece of its own
 _END = re.compile(r"(?<=[^\W_])[!-/:-@\[-^`{-~]+(?=[ \n]|$)")
-_MARKS = re.compile("[\u0300-\u036f]")
+
+
+@functools.cache
+def _joining() -> re.Pattern:
+    """Combining marks, and letters whose composed lower-case form ends in one: a mark joins the punctuation behind it."""
+    letters = filter(str.isalnum, map(chr, range(0xC0, sys.maxunicode + 1)))
+    joining = [c for c in letters if not unicodedata.normalize("NFC", c).lower()[-1].isalnum()]
+    return re.compile("[\u0300-\u036f" + "".join(joining) + "]")
 
 
 def tokenizer_json(path: str | None = None) -> str:
@@ -39,7 +48,8 @@ class Encoder:
 
     A tokenizer that lower-cases, drops white space and never joins what white space parts gives a text the ids of its
     words one after another. For such a one, texts are cut at spaces and line ends and each different word is encoded once.
-    Texts where cutting or lower-casing A-Z first could change ids (special token strings, combining marks) are encoded whole.
+    Texts where cutting or lower-casing A-Z first could change ids (special token strings, combining marks, letters that are
+    composed or lower-cased to end in a mark) are encoded whole.
     """
 
     def __init__(self, content: str) -> None:
@@ -90,7 +100,7 @@ class Encoder:
             return self._whole(texts)
         out: list[bytes] = []
         for text in texts:
-            if "<|" in text or _MARKS.search(text):
+            if "<|" in text or _joining().search(text):
                 out += self._whole([text])
                 continue
             lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")

@@ -51,3 +51,36 @@ def test_pages_of_the_tables(spark):
         parts = re.split(r"</?(?:p|h1)>", re.sub(r"<[a-z/][^>]*$", "", body))
         blocks = [" ".join(html.unescape(re.sub(r"</?b>", "", p.replace("<br>", " "))).split()) for p in parts]
         assert got[r["page_id"]] == "\n".join(b for b in blocks if b)
+
+
+def test_nothing_of_the_article_is_lost():
+    body = "<p>A paragraph of the article that is long enough to be told from what lies around it.</p>"
+    for part, text in (
+        ("<ul><li><a href=1>First source</a></li><li><a href=2>Second source</a></li></ul>", "First source\nSecond source"),
+        ("<table><tr><td><a href=1>Cell one</a></td><td><a href=2>Cell two</a></td></tr></table>", "Cell one\nCell two"),
+        ("<blockquote class='comment'>What the minister said to the press.</blockquote>", "What the minister said to the press."),
+        ("<div class='related-work'><p>Earlier studies came to another result.</p></div>", "Earlier studies came to another result."),
+        ("<p class='form-text'>The form has three parts.</p>", "The form has three parts."),
+        ("<section class='social-history'><p>The town grew quickly.</p></section>", "The town grew quickly."),
+    ):
+        got = h.main_text(f"<body><nav><a href=/>Home</a></nav><article><h1>T</h1>{body}{part}{body}</article></body>")
+        assert text in got and got.count("A paragraph") == 2, part
+    for part in (
+        "<div class='related'><a href=1>Another story to read</a> <a href=2>More</a></div>", "<section id='comments'><p>Nice one, thanks for it.</p></section>",
+        "<div class='share'><a href=1>Share this</a></div>", "<div class='ad'>Buy now</div>",
+    ):
+        got = h.main_text(f"<body><article><h1>T</h1>{body}{part}{body}</article></body>")
+        assert got.split("\n") == ["T", re.sub("<.*?>", "", body), re.sub("<.*?>", "", body)], part
+
+
+def test_time_grows_with_the_depth():
+    import time
+
+    def seconds(depth):
+        page = "<body>" + "<div>" * depth + "deep</section></b>" * 2000 + "</div>" * depth
+        start = time.process_time()
+        assert h.main_text(page).startswith("deep")
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(40_000) < 8 * seconds(10_000) + 1

@@ -155,3 +155,25 @@ def test_cleaning_against_full_encoding(documents, sample):
         r = got[doc]
         assert (r["n_tokens_before"], r["n_edits"], r["n_tokens"]) == (len(encoding.encode_ordinary(text)), len(edits), len(encoding.encode_ordinary(clean)))
     assert e.cleaned_counts(documents([])).count() == 0
+
+
+def test_every_character_in_four_surroundings(tokenizer):
+    """The encoder gives the tokenizer's ids for all assigned characters, also before punctuation."""
+    import sys
+    import unicodedata
+
+    encoder = t.Encoder(t.tokenizer_json())
+    characters = [c for c in map(chr, range(1, sys.maxunicode + 1)) if unicodedata.category(c) not in ("Cn", "Co", "Cs")]
+    for form in ("{}.", "a{}, b", "({}) {}!", "{}"):
+        for start in range(0, len(characters), 20_000):
+            texts = [form.replace("{}", c) for c in characters[start:start + 20_000]]
+            whole = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            for text, ids, expected in zip(texts, encoder.encode(texts), whole):
+                assert np.frombuffer(ids, encoder.dtype).tolist() == expected.ids, ascii(text)
+
+
+def test_sentences_whose_letters_end_in_marks(tokenizer):
+    texts = ["DENİZLİ. Sonra, İSTANBUL'DA (İ) bekledi!", "ज़रूर. लड़का, पढ़ा!", "বাড়ি. আষাঢ়, সময়!", "ਸ਼ੇਰ. ਜ਼ਮੀਨ, ਫ਼ਲ!"]
+    encoder = t.Encoder(t.tokenizer_json())
+    whole = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(ids, encoder.dtype).tolist() for ids in encoder.encode(texts)] == whole
