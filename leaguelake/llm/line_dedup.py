@@ -48,12 +48,18 @@ def _long_enough(min_tokens: int) -> Column:
 
 
 def templates(lines: DataFrame, min_tokens: int, leading: int, min_constant: float) -> tuple[DataFrame, str]:
-    """(line_hash, template) of the different lines in leaves with several of them, and the path of the held lines it reads."""
+    """(line_hash, template) of the different lines in leaves with several of them, and the path of the held lines it reads.
+
+    The different lines are shuffled once, by their hash. Crowded leaves are found from 16 bytes a line, and so are the
+    hashes of their lines, which meet the lines where they are.
+    """
     leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading))
-    # the leaf goes along from the start, so a line is parsed before the shuffle and again only in a crowded leaf
-    parsed = lines.filter(_long_enough(min_tokens)).withColumn("tokens", _tokens("line")).select("line", leaf.alias("leaf")).distinct()
-    crowded = parsed.groupBy("leaf").agg(F.count(F.lit(1)).alias("lines")).filter("lines > 1").select("leaf")
-    alike, place = held_at(parsed.join(crowded.hint("shuffle_hash"), "leaf", "left_semi"), "alike")
+    parsed = lines.filter(_long_enough(min_tokens)).withColumn("tokens", _tokens("line"))
+    different = parsed.groupBy(F.xxhash64("line").alias("line_hash")).agg(F.first(leaf).alias("leaf"), F.first("line").alias("line"))
+    # all three readers of ``different`` ask for the line, so that they share its one shuffle
+    crowded = different.groupBy("leaf").agg(F.count("line").alias("lines")).filter("lines > 1").select("leaf")
+    wanted = different.filter("line IS NOT NULL").select("line_hash", "leaf").join(crowded, "leaf", "left_semi").select("line_hash")
+    alike, place = held_at(different.join(wanted.hint("shuffle_hash"), "line_hash", "left_semi").select("line", "leaf"), "alike")
     alike = alike.select(F.xxhash64("line").alias("line_hash"), "leaf", _tokens("line").alias("tokens"))
     consensus = (
         alike.select("leaf", F.posexplode("tokens").alias("at", "token"))
@@ -89,7 +95,7 @@ def dropped_lines(
     """(key, places): for each document the places of its lines to drop."""
     keyed = docs.filter(F.col("text").isNotNull()).select(document_key().alias("key"), F.col("text").cast("string").alias("text"))
     lines = _lines(keyed)
-    forms, forms_at = templates(lines.select("line").distinct(), min_tokens, leading, min_constant)
+    forms, forms_at = templates(lines.select("line"), min_tokens, leading, min_constant)
     named, named_at = held_at(forms, "templates")
     # a line of a crowded leaf goes by its template, any other by itself
     spots, spots_at = held_at(
@@ -120,8 +126,6 @@ def line_dedup(docs: DataFrame, **limits: float) -> DataFrame:
     Returns (row, text, lines_dropped), where ``row`` holds the row as it came.
     """
     lost = dropped_lines(docs, **limits)
-    # Spark deletes the shuffle files of finished plans when the driver collects its garbage; the texts move next
-    docs.sparkSession.sparkContext._jvm.System.gc()
     rows = docs.select(F.struct("*").alias("row"), document_key().alias("key"))
     joined = rows.join(lost.hint("shuffle_hash"), "key", "left")
     text = F.col("row.text").cast("string")
