@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
@@ -20,7 +19,6 @@ MAX_WORDS = 500_000
 _END = re.compile(r"(?<=[^\W_])[!-/:-@\[-^`{-~]+(?=[ \n]|$)")
 
 
-@functools.cache
 def _joining() -> re.Pattern:
     """Combining marks, and letters whose composed lower-case form ends in one: a mark joins the punctuation behind it."""
     letters = filter(str.isalnum, map(chr, range(0xC0, sys.maxunicode + 1)))
@@ -67,6 +65,7 @@ class Encoder:
         hidden = [b for b in range(256) if b not in shown]
         self.shown = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.words: dict[str, bytes] = {}
+        self.joining = _joining()
 
     @classmethod
     def here(cls, content: str) -> Encoder:
@@ -100,7 +99,7 @@ class Encoder:
             return self._whole(texts)
         out: list[bytes] = []
         for text in texts:
-            if "<|" in text or _joining().search(text):
+            if "<|" in text or self.joining.search(text):
                 out += self._whole([text])
                 continue
             lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
