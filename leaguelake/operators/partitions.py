@@ -21,12 +21,13 @@ from pyspark.sql.types import StructType
 
 from leaguelake.operators.merge import add_missing, upsert
 from leaguelake.operators.quality import GateFailed, key_violations
-from leaguelake.session import held_at, release
+from leaguelake.session import file_system, held_at, release
 
 # hash blocks of a keyed table; their number also bounds the literal list that prunes a merge
 BLOCKS = 64
 BLOCK = "_block"
 ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's name of the partition of NULL
 
 
 def _stored(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
@@ -60,12 +61,27 @@ def create(spark: SparkSession, path: str, schema: StructType, by: str) -> None:
     """An empty table: a file without rows holds the schema. An existing table stays as it is."""
     if _stored(spark, path) is None:
         columns = StructType([f for f in schema.fields if f.name != by])
-        spark.createDataFrame([], columns).write.mode("append").parquet(f"{path}/{by}=__HIVE_DEFAULT_PARTITION__")
+        spark.createDataFrame([], columns).write.mode("append").parquet(f"{path}/{by}={NO_VALUE}")
+
+
+def _is_empty(spark: SparkSession, path: str, by: str) -> bool:
+    """Whether a table has no rows, from the names of its partitions; at most the file of ``create`` is opened."""
+    files, root = file_system(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(root)] if files.exists(root) else []
+    held_partitions = [n for n in names if n.startswith(f"{by}=")]
+    return not held_partitions or held_partitions == [f"{by}={NO_VALUE}"] and spark.read.parquet(f"{path}/{by}={NO_VALUE}").isEmpty()
 
 
 def replace(df: DataFrame, path: str, by: str = "dt") -> None:
-    """Replace the partitions of ``by`` that ``df`` has rows of; a large one is written by several tasks."""
-    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    """Replace the partitions of ``by`` that ``df`` has rows of; a large one is written by several tasks.
+
+    The first rows of a table are appended, which spares looking for partitions to replace.
+    """
+    writer = df.hint("rebalance", by).write
+    if _is_empty(df.sparkSession, path, by):
+        writer.mode("append").partitionBy(by).parquet(path)
+    else:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def block_of(key: str, blocks: int = BLOCKS) -> Column:
