@@ -72,12 +72,25 @@ def _is_empty(spark: SparkSession, path: str, by: str) -> bool:
     return not held_partitions or held_partitions == [f"{by}={NO_VALUE}"] and spark.read.parquet(f"{path}/{by}={NO_VALUE}").isEmpty()
 
 
+def _spread(df: DataFrame, by: str) -> DataFrame:
+    """Rows dealt out for writing, few files to a partition and none too large for a task.
+
+    Many partitions (a calendar) go by range of (partition, row hash) to the usual number of tasks, so that a small one is
+    one file and a large one several tasks' work; few partitions get the sizes that AQE finds fitting.
+    """
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if by != BLOCK and df.select(by).distinct().count() > usual:
+        hashed = [name for name, kind in df.dtypes if not kind.startswith("map")]
+        return df.repartitionByRange(usual, F.col(by), F.xxhash64(*hashed))
+    return df.hint("rebalance", by)
+
+
 def replace(df: DataFrame, path: str, by: str = "dt") -> None:
-    """Replace the partitions of ``by`` that ``df`` has rows of; a large one is written by several tasks.
+    """Replace the partitions of ``by`` that ``df`` has rows of.
 
     The first rows of a table are appended, which spares looking for partitions to replace.
     """
-    writer = df.hint("rebalance", by).write
+    writer = _spread(df, by).write
     if _is_empty(df.sparkSession, path, by):
         writer.mode("append").partitionBy(by).parquet(path)
     else:
