@@ -48,7 +48,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii_pseudonyms.pseudonymised(table(spark, sf_dir, "documents"))
+    return pii_pseudonyms.pseudonymised(table(spark, sf_dir, "documents"), pii_pseudonyms.EXAMPLE_KEY)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
