@@ -14,7 +14,7 @@ from leaguelake.functions import derive, localtime
 from leaguelake.operators import analytics, delivery, flatten, merge, partitions, quality
 from leaguelake.plans import medallion
 from leaguelake.session import held, scratch_path
-from leaguelake.sources import bridge, documents, manifest
+from leaguelake.sources import bridge, documents, drift, manifest
 from leaguelake.streaming import incremental
 
 TITLE = "Resultados"
@@ -586,3 +586,25 @@ def quarantine(spark, sf_dir):
     stored = partitions.read(spark, boxes).select(F.lit("stored").alias("what"), "game_id", F.lit(1).cast("bigint").alias("documents"))
     letters = incremental.dead_letters(spark, f"{boxes}_dead_letters").groupBy(F.col("reason").alias("what")).agg(F.sum("documents").alias("documents"))
     return stored.unionByName(letters.select("what", F.lit(None).cast("string").alias("game_id"), "documents"))
+
+
+def _drifted(doc: Column, number: Column) -> Column:
+    """A box score document with fields and shapes that its read schema does not know, some cut off."""
+    changes = [
+        (7, '^\\{"game":\\{', '{"game":{"arena":{"name":"x"},'),
+        (11, '"gameStatus":(\\d+|null)', '"gameStatus":{"code":$1}'),
+        (13, '"players":\\[\\]', '"players":[7,8,"x"]'),
+        (19, '"awayTeam":', '"guestTeam":'),
+    ]
+    for step, sought, new in changes:
+        doc = F.when(number % step == 0, F.regexp_replace(doc, sought, new)).otherwise(doc)
+    return F.when(number % 17 == 0, F.substring(doc, 1, 60)).otherwise(doc)
+
+
+@query
+def schema_drift(spark, sf_dir):
+    """What a read of landed box scores would lose or misread: unknown fields, other shapes, truncated documents."""
+    landing = f"{scratch_path(spark, 'landing')}/{bridge.FIRST_SNAPSHOT}"
+    raw = bridge.boxscore_headers(spark, sf_dir)
+    raw.select(_drifted(F.col("doc"), F.regexp_extract("doc", '"gameId":"(\\d+)"', 1).cast("bigint"))).write.text(landing)
+    return drift.landed_drift(spark, [landing], schemas.BOXSCORE_DOCUMENT, multi_line=False)

@@ -9,10 +9,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
-from leaguelake.functions import derive
+from leaguelake.functions import derive, localtime
 from leaguelake.operators import flatten, merge, partitions, quality
 from leaguelake.session import held_at, release
-from leaguelake.sources import documents, manifest
+from leaguelake.sources import documents, drift, manifest
 
 
 @dataclass(frozen=True)
@@ -109,19 +109,61 @@ def build_silver_games(spark: SparkSession, lake: Lake, since: dt.date | None =
     release(spark, *held)
 
 
-def ingest_report(spark: SparkSession, lake: Lake, run_start: dt.datetime) -> DataFrame:
-    """Audit of the newest schedule's finished games against all landed box scores; raises when a date got none."""
-    newest = newest_date(partitions.read(spark, lake.silver("schedule")))
-    day = F.to_date("game_datetime_utc")
-    wanted = newest.filter(F.col("game_status") == derive.FINAL_STATUS).select(day.alias("dt"), "game_id")
-    files = landed(spark, lake, "boxscores").select(
+def _wanted(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """(dt, game_id) of the finished games of the newest schedule, None if there is no schedule."""
+    stored = partitions.read(spark, lake.silver("schedule"))
+    if stored is None:
+        return None
+    finished = newest_date(stored).filter(F.col("game_status") == derive.FINAL_STATUS)
+    return finished.select(F.to_date("game_datetime_utc").alias("dt"), "game_id")
+
+
+def _audit(spark: SparkSession, lake: Lake, wanted: DataFrame, run_start: dt.datetime, since: dt.date | None = None) -> DataFrame:
+    """Audit of wanted games against the box scores landed from ``since`` on, from the listing alone."""
+    files = landed(spark, lake, "boxscores", since).select(
         documents.path_game_id(F.col("path")).alias("game_id"), F.to_utc_timestamp("landed_at", "UTC").cast("timestamp_ntz").alias("landed_at")
     )
-    audit = manifest.ingest_audit(wanted, files.groupBy("game_id").agg(F.max("landed_at").alias("landed_at")), run_start)
+    return manifest.ingest_audit(wanted, files.groupBy("game_id").agg(F.max("landed_at").alias("landed_at")), run_start)
+
+
+def ingest_report(spark: SparkSession, lake: Lake, run_start: dt.datetime) -> DataFrame:
+    """Audit of the newest schedule's finished games against all landed box scores; raises when a date got none."""
+    wanted = _wanted(spark, lake)
+    if wanted is None:
+        raise FileNotFoundError("no schedule found")
+    audit = _audit(spark, lake, wanted, run_start)
     manifest.require_landed(audit)
     return audit
 
 
+def record_audit(spark: SparkSession, lake: Lake, run_start: dt.datetime, since: dt.date | None = None) -> None:
+    """Store the audit of a run, one row per date of finished games; ``since`` leaves earlier dates as they are."""
+    wanted = _wanted(spark, lake)
+    if wanted is None:
+        return
+    listed_from = None
+    if since is not None:
+        wanted = wanted.filter(F.col("dt") >= F.lit(since))
+        listed_from = since - dt.timedelta(days=1)  # a game's UTC date may be the day after its folder's
+    audit = _audit(spark, lake, wanted, run_start, listed_from).filter(F.col("dt").isNotNull())
+    partitions.replace(audit.withColumn("run_start", localtime.utc_literal(run_start)), lake.path("audit"))
+
+
+def none_landed(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Dates of the stored audit whose games were wanted and got no box score, with the columns of the audit."""
+    stored = partitions.read(spark, lake.path("audit"))
+    return merge.empty_table(spark, schemas.AUDIT) if stored is None else stored.filter("none_landed").select(*schemas.AUDIT.fieldNames())
+
+
+def drift_report(spark: SparkSession, lake: Lake, kind: str, since: dt.date | None = None) -> DataFrame:
+    """What landed documents hold beyond their read schema, or in another shape; see ``sources.drift``."""
+    folders = documents.date_folders(spark, lake.bronze(kind), since)
+    schema = {"schedule": schemas.SCHEDULE_DOCUMENT, "boxscores": schemas.BOXSCORE_DOCUMENT}[kind]
+    if not folders:
+        return drift.drift(merge.empty_table(spark, schemas.RAW), schema)
+    return drift.landed_drift(spark, folders, schema, lake.multi_line, schemas.ANY_SHAPE)
+
+
 def newest_date(stored: DataFrame) -> DataFrame:
     """Rows of the greatest partition ``dt``: a literal date, so the other partitions are not read."""
     newest = stored.agg(F.max("dt")).first()[0]
@@ -173,10 +215,19 @@ def check_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     return quality.contract_suite(*stored)
 
 
-def refresh(spark: SparkSession, lake: Lake, since: dt.date | None = None) -> DataFrame:
+def refresh(spark: SparkSession, lake: Lake, since: dt.date | None = None, require_landed: bool = False) -> DataFrame:
     """The whole way for whatever has landed; returns the contract report. ``since`` limits all steps to dates from
-    then on."""
+    then on.
+
+    The audit of wanted against landed games is stored with every run (``none_landed`` reads it). With ``require_landed`` a date
+    of finished games without any box score fails the run, after all that did land is stored.
+    """
+    run_start = dt.datetime.now(dt.UTC).replace(tzinfo=None)
     build_silver_schedule(spark, lake, since)
     build_silver_games(spark, lake, since)
     load_gold(spark, lake, since)
+    record_audit(spark, lake, run_start, since)
+    if require_landed:
+        missing = none_landed(spark, lake)
+        manifest.require_landed(missing if since is None else missing.filter(F.col("dt") >= F.lit(since)))
     return check_gold(spark, lake)

@@ -315,6 +315,19 @@ judged AS (
 SELECT what, game_id, CAST(1 AS BIGINT) AS documents FROM judged WHERE what = 'stored'
 UNION ALL
 SELECT what, NULL, COUNT(*) FROM judged WHERE what <> 'stored' GROUP BY what"""),
+    "schema_drift": _with("typed scores", """
+, landed AS (SELECT CAST(game_id AS BIGINT) AS n FROM typed t JOIN scores s ON t.k = s.k),
+sound AS (SELECT n FROM landed WHERE n % 17 <> 0),
+finds AS (
+  SELECT '' AS path, 'unreadable' AS problem, NULL AS found, 1 AS times FROM landed WHERE n % 17 = 0
+  UNION ALL SELECT 'game.arena', 'unknown', 'OBJECT', 1 FROM sound WHERE n % 7 = 0
+  UNION ALL SELECT 'game.gameStatus', 'retyped', 'OBJECT', 1 FROM sound WHERE n % 11 = 0
+  UNION ALL SELECT 'game.homeTeam.players[]', 'retyped', unnest(['BIGINT', 'STRING']), unnest([2, 1]) FROM sound WHERE n % 13 = 0
+  UNION ALL SELECT 'game.awayTeam.players[]', 'retyped', unnest(['BIGINT', 'STRING']), unnest([2, 1]) FROM sound
+    WHERE n % 13 = 0 AND n % 19 <> 0
+  UNION ALL SELECT 'game.guestTeam', 'unknown', 'OBJECT', 1 FROM sound WHERE n % 19 = 0)
+SELECT path, problem, found, COUNT(*) AS documents, CAST(SUM(times) AS BIGINT) AS occurrences
+FROM finds GROUP BY path, problem, found"""),
     "patch_column": _with("keys", """
 SELECT game_id, ts AS game_datetime_utc,
   CASE WHEN priority = 5 THEN CASE WHEN status = 1 THEN k + 1 END WHEN k % 3 = 0 THEN k * 10 END AS poll_message_id

@@ -38,6 +38,12 @@ SCHEDULE_DOCUMENT = _struct(
     )
 )
 
+# text leaves that the feed fills with texts, objects or lists, all of which the projections read
+ANY_SHAPE = (
+    "leagueSchedule.gameDates[].games[].broadcasters.nationalTvBroadcasters",
+    "leagueSchedule.gameDates[].games[].broadcasters.intlTvBroadcasters",
+)
+
 # output column -> field of the player's statistics object (fixed by the feed)
 STATISTIC_FIELDS = {
     "minutes": "minutes",
@@ -104,3 +110,5 @@ GOLD_SCHEDULE_EXTRAS = {
 }
 INGESTED = T.StructType([T.StructField("path", T.StringType()), T.StructField("dt", T.DateType()), T.StructField("landed_at", T.TimestampType())])
 GOLD_LEDGER = _struct(sent_date=DATE, channel=TEXT)
+AUDIT = _struct(dt=DATE, wanted=BIGINT, landed=BIGINT, skipped=BIGINT, failed=BIGINT, none_landed=BOOLEAN, run_start=INSTANT)
+RAW = _struct(doc=TEXT)
