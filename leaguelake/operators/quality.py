@@ -84,7 +84,7 @@ def _typed(raw: Column, typed: Column) -> Column:
 
 
 def snapshot_gates(min_games: int) -> list[Gate]:
-    """For the landed snapshot dates left-joined to their games (``one`` marks a game), so an empty snapshot is seen."""
+    """For games (``one`` marks a game) and, where a snapshot has none, a row without one, so an empty snapshot is seen."""
     bronze, silver = F.count("one"), F.count("game_id")
     return [
         Gate("schedule_not_empty", silver > 0),
@@ -94,10 +94,16 @@ def snapshot_gates(min_games: int) -> list[Gate]:
     ]
 
 
+def landed_schedule_gates(min_games: int) -> list[Gate]:
+    """All gates of landed schedules, for the rows of ``snapshot_gates`` with ``game`` and ``_corrupt_record``."""
+    return [*document_gates(), *snapshot_gates(min_games), *schedule_value_gates()]
+
+
 def landed_boxscore_gates() -> list[Gate]:
-    """For the landed dates left-joined to their box scores."""
+    """All gates of landed box scores, for documents with their Silver columns and ``_corrupt_record``."""
     negative = (F.col("away_score") < 0) | (F.col("home_score") < 0)
-    return [Gate("boxscores_not_empty", F.count("game_id") > 0), Gate("boxscore_scores", F.count_if(negative) == 0)]
+    landed = [Gate("boxscores_not_empty", F.count("game_id") > 0), Gate("boxscore_scores", F.count_if(negative) == 0)]
+    return [*document_gates(), *boxscore_value_gates(), *landed]
 
 
 def document_gates() -> list[Gate]:
