@@ -101,13 +101,20 @@ def block_of(key: str, blocks: int = BLOCKS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
 
+def touched_blocks(keys: DataFrame, key: str, blocks: int = BLOCKS) -> list[int]:
+    """Blocks that hold the given keys."""
+    return [r[0] for r in keys.select(block_of(key, blocks)).distinct().collect()]  # at most ``blocks``
+
+
+def in_blocks(spark: SparkSession, path: str, touched: Sequence[int], schema: StructType | None = None) -> DataFrame | None:
+    """Rows of some blocks, a literal list, so the others are not even listed. With ``schema`` no file is opened to learn it."""
+    frame = _stored(spark, path, schema)
+    return None if frame is None else frame.filter(F.col(BLOCK).isin(touched)).drop(BLOCK)
+
+
 def blocks_of(spark: SparkSession, path: str, keys: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame | None:
-    """Rows of the blocks that hold the given keys; the blocks are a literal list, so the others are not even listed."""
-    frame = _stored(spark, path)
-    if frame is None:
-        return None
-    touched = [r[0] for r in keys.select(block_of(key, blocks)).distinct().collect()]  # at most ``blocks``
-    return frame.filter(F.col(BLOCK).isin(touched)).drop(BLOCK)
+    """Rows of the blocks that hold the given keys."""
+    return in_blocks(spark, path, touched_blocks(keys, key, blocks))
 
 
 def merge(
@@ -119,9 +126,12 @@ def merge(
     update: Sequence[str] | None = None,
     defaults: Mapping[str, tuple[str, object]] | None = None,
     blocks: int = BLOCKS,
+    block_key: str | None = None,
 ) -> None:
     """Keyed merge of a batch with one row per key, reading and rewriting only the blocks of its keys.
 
+    ``block_key`` names another column for the blocks, one that the key determines: tables with the same one lie in the same blocks.
+
     With ``version`` a row older than the stored one changes nothing, so batches may come in any order; None is
     for patches, which always apply. Columns that the table lacks are added; where ``defaults`` gives one a value, rows
     already stored get it too. A rerun gives the same table.
@@ -131,15 +141,15 @@ def merge(
     if repeated:
         raise GateFailed(f"batch repeats or lacks {key} ({repeated} values)")
     update = list(update) if update is not None else [c for c in batch.columns if c != key]
-    defaults = defaults or {}
+    defaults, block_key = defaults or {}, block_key or key
     stored = read(spark, path)
     if stored is None:
         merged = add_missing(batch, defaults)
         create(spark, path, merged.schema, BLOCK)
     else:
         given = any(defaults[c][1] is not None for c in defaults if c not in stored.columns)
-        target = stored if given else blocks_of(spark, path, batch, key, blocks)
+        target = stored if given else blocks_of(spark, path, batch, block_key, blocks)
         kinds = {f.name: (f.dataType.simpleString(), None) for f in batch.schema.fields if f.name != key}
         merged = upsert(add_missing(add_missing(target, defaults), kinds), batch, key, update, version)
-    replace(merged.withColumn(BLOCK, block_of(key, blocks)), path, BLOCK)
+    replace(merged.withColumn(BLOCK, block_of(block_key, blocks)), path, BLOCK)
     release(spark, place)

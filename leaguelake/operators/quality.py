@@ -160,6 +160,45 @@ def contract_suite(
     or player holding a large share of the lines costs one row per task. The per-game checks then share one
     co-partitioned pass over schedule, box scores and that reduction.
     """
+    per_game = _per_game(schedule, boxscores, player_stats)
+    game_counts = per_game.agg(*[F.sum(n).alias(name) for name, n in _game_checks().items()])
+    pairs = player_stats.groupBy("game_id", "player_id").agg(F.count(F.lit(1)).alias("n"))
+    key_counts = pairs.agg(F.count_if(F.col("n") > 1).alias("player_stats_key_unique"))
+    unknown = pairs.join(players.select("player_id"), "player_id", "left_anti").agg(
+        F.sum("n").alias("player_stats_player_in_dim")
+    )
+    return (
+        _as_rows(game_counts).unionByName(_as_rows(key_counts)).unionByName(_as_rows(unknown))
+    )
+
+
+def game_violations(
+    schedule: DataFrame, boxscores: DataFrame, player_stats: DataFrame, players: DataFrame
+) -> DataFrame:
+    """(game_id, one count per contract) for every game that any of the tables names; their sums are ``contract_suite``.
+
+    Every contract judges rows of one game, so the counts of a game change only with its own rows or, for
+    ``player_stats_player_in_dim``, with the players. Rows without a game id share a row.
+    """
+    per_game = _per_game(schedule, boxscores, player_stats).select("game_id", *[n.alias(name) for name, n in _game_checks().items()])
+    known = players.select("player_id", F.lit(True).alias("in_players")).distinct()
+    pairs = player_stats.groupBy("game_id", "player_id").agg(F.count(F.lit(1)).alias("n")).join(known, "player_id", "left")
+    per_line = pairs.select(
+        "game_id",
+        F.when(F.col("n") > 1, 1).otherwise(0).alias("player_stats_key_unique"),
+        F.when(F.col("in_players").isNull(), F.col("n")).otherwise(0).alias("player_stats_player_in_dim"),
+    )
+    counted = per_game.unionByName(per_line, allowMissingColumns=True)
+    return counted.groupBy("game_id").agg(*[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in CONTRACTS])
+
+
+def summed(counts: DataFrame) -> DataFrame:
+    """(check_name, kind, violations) from rows of counts, as ``contract_suite`` gives them."""
+    return _as_rows(counts.agg(*[F.sum(name).alias(name) for name in CONTRACTS]))
+
+
+def _per_game(schedule: DataFrame, boxscores: DataFrame, player_stats: DataFrame) -> DataFrame:
+    """Schedule, box score and reduced player lines of each game side by side."""
     line_checks = {
         "side_domain": ~F.col("side").isin("home", "away"),
         "percentages_in_range": _out_of_range("fg_pct") | _out_of_range("tp_pct") | _out_of_range("ft_pct"),
@@ -173,7 +212,7 @@ def contract_suite(
         F.countDistinct("side").alias("n_sides"),
         *[F.count_if(test).alias(name) for name, test in line_checks.items()],
     )
-    per_game = (
+    return (
         schedule.select("game_id", "game_type", "game_status", F.lit(True).alias("in_schedule"))
         .join(
             boxscores.select(
@@ -184,39 +223,35 @@ def contract_suite(
         )
         .join(lines, "game_id", "full")
     )
+
+
+def _game_checks() -> dict[str, Column]:
+    """Contract -> violations in a row of ``_per_game``."""
     col = F.col
     unscheduled = col("in_schedule").isNull()
     boxed, unboxed = col("in_boxscores").isNotNull(), col("in_boxscores").isNull()
     low = (col("home_score") < MIN_SCORE) | (col("away_score") < MIN_SCORE)
-    game_counts = per_game.agg(
-        F.count_if(boxed & unscheduled).alias("boxscore_game_in_schedule"),
-        F.sum(F.when(unscheduled, col("n_lines"))).alias("player_stats_game_in_schedule"),
-        F.count_if((col("game_status") == derive.FINAL_STATUS) & unboxed).alias("final_game_has_boxscore"),
-        F.count_if(col("is_final") & col("n_lines").isNull()).alias("final_game_has_player_stats"),
-        F.count_if(col("n_sides") != 2).alias("game_has_two_sides"),
-        F.count_if((col("home_score") < 0) | (col("away_score") < 0)).alias("scores_not_negative"),
-        F.count_if(col("is_final") & col("game_type").isin("regular", "playoff", "play-in") & low).alias(
-            "final_scores_plausible"
+    tests = {
+        "boxscore_game_in_schedule": boxed & unscheduled,
+        "final_game_has_boxscore": (col("game_status") == derive.FINAL_STATUS) & unboxed,
+        "final_game_has_player_stats": col("is_final") & col("n_lines").isNull(),
+        "game_has_two_sides": col("n_sides") != 2,
+        "scores_not_negative": (col("home_score") < 0) | (col("away_score") < 0),
+        "final_scores_plausible": col("is_final") & col("game_type").isin("regular", "playoff", "play-in") & low,
+        "winner_domain": ~col("winner").isin("home", "away"),
+        "game_type_domain": ~col("game_type").isin(*derive.GAME_TYPES),
+        "winner_matches_score": col("is_final")
+        & (
+            ((col("home_score") > col("away_score")) & (col("winner") != "home"))
+            | ((col("away_score") > col("home_score")) & (col("winner") != "away"))
         ),
-        F.count_if(~col("winner").isin("home", "away")).alias("winner_domain"),
-        F.count_if(~col("game_type").isin(*derive.GAME_TYPES)).alias("game_type_domain"),
-        F.count_if(
-            col("is_final")
-            & (
-                ((col("home_score") > col("away_score")) & (col("winner") != "home"))
-                | ((col("away_score") > col("home_score")) & (col("winner") != "away"))
-            )
-        ).alias("winner_matches_score"),
-        *[F.sum(name).alias(name) for name in line_checks],
-    )
-    pairs = player_stats.groupBy("game_id", "player_id").agg(F.count(F.lit(1)).alias("n"))
-    key_counts = pairs.agg(F.count_if(col("n") > 1).alias("player_stats_key_unique"))
-    unknown = pairs.join(players.select("player_id"), "player_id", "left_anti").agg(
-        F.sum("n").alias("player_stats_player_in_dim")
-    )
-    return (
-        _as_rows(game_counts).unionByName(_as_rows(key_counts)).unionByName(_as_rows(unknown))
-    )
+    }
+    of_lines = ("side_domain", "percentages_in_range", "points_not_negative", "made_within_attempted")
+    return {
+        **{name: F.when(test, 1).otherwise(0) for name, test in tests.items()},
+        "player_stats_game_in_schedule": F.when(unscheduled, col("n_lines")),
+        **{name: col(name) for name in of_lines},
+    }
 
 
 def _as_rows(counts: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from leaguelake import schemas
 from leaguelake.functions import derive, localtime
-from leaguelake.operators import analytics, delivery, flatten, merge, partitions, quality
+from leaguelake.operators import analytics, delivery, flatten, ledger, merge, partitions, quality
 from leaguelake.plans import medallion
 from leaguelake.session import held, scratch_path
 from leaguelake.sources import bridge, documents, drift, manifest
@@ -380,10 +380,9 @@ def contract_suite_gold(spark, sf_dir):
     )
 
 
-@query
-def contract_suite(spark, sf_dir):
-    """All contracts over whole tables with a planted violation of each kind. Rows are altered, none left out:
-    an altered key is missing on one side and unknown on the other."""
+def _planted_gold(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Schedule, box scores, player lines and players with a planted violation of each kind. Rows are altered, none left
+    out: an altered key is missing on one side and unknown on the other."""
     number, part = F.col("game_no"), F.col("part_id")
 
     def changed(test: Column, value: object, column: str) -> Column:
@@ -421,7 +420,36 @@ def contract_suite(spark, sf_dir):
         "player_id", changed(F.col("player_id") % 43 == 0, -1 - F.col("player_id"), "player_id")
     )
     columns = ["game_id", "player_id", "side", "pts", "fgm", "fga", "tpm", "tpa", "ftm", "fta", *schemas.PERCENTAGES]
-    return quality.contract_suite(schedule, boxes, held(facts.select(*columns), "facts"), players)
+    return [schedule, boxes, facts.select(*columns), players]
+
+
+@query
+def contract_suite(spark, sf_dir):
+    """All contracts over whole tables with planted violations."""
+    schedule, boxes, facts, players = _planted_gold(spark, sf_dir)
+    return quality.contract_suite(schedule, boxes, held(facts, "facts"), players)
+
+
+@query
+def contract_ledger(spark, sf_dir):
+    """The same counts kept up to date: a third of each table's games comes later, and only games with later rows are
+    counted again."""
+    names = (*ledger.GAME_TABLES, "players")
+    paths = {name: scratch_path(spark, name) for name in names}
+    counts = scratch_path(spark, "ledger")
+    tables = dict(zip(names, _planted_gold(spark, sf_dir)))
+    tables.pop("players").select("player_id").write.parquet(paths["players"])
+    tables = {name: held(df.select(*ledger.COLUMNS[name].fieldNames()), name) for name, df in tables.items()}
+    for later in (False, True):
+        came = []
+        for name, df in tables.items():
+            is_later = F.pmod(F.xxhash64(F.lit(name), "game_id"), F.lit(3)) == 0
+            now = df.filter(is_later == later)
+            blocked = now.withColumn(partitions.BLOCK, partitions.block_of("game_id")).hint("rebalance", partitions.BLOCK)
+            blocked.write.mode("append").partitionBy(partitions.BLOCK).parquet(paths[name])
+            came.append(now.select("game_id"))
+        ledger.update(spark, counts, reduce(DataFrame.unionByName, came), paths)
+    return ledger.report(spark, counts)
 
 
 # delivery

@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import os
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leaguelake import schemas
 from leaguelake.functions import derive, localtime
-from leaguelake.operators import flatten, merge, partitions, quality
+from leaguelake.operators import flatten, ledger, merge, partitions, quality
 from leaguelake.session import held_at, release
 from leaguelake.sources import documents, drift, manifest
 
@@ -180,6 +181,11 @@ def load_gold(spark: SparkSession, lake: Lake, since: dt.date | None = None) ->
         return stored if stored is None or since is None else stored.filter(F.col("dt") >= F.lit(since))
 
     schedule, boxes, lines = silver("schedule"), silver("boxscores"), silver("player_stats")
+    changed = [rows.select("game_id") for rows in (boxes, lines) if rows is not None]
+    if schedule is not None:
+        changed.append(ledger.changed_schedule(schedule, partitions.read(spark, lake.gold("schedule"))))
+    if changed:
+        ledger.note(reduce(DataFrame.unionByName, changed), lake.path("contracts", "changed"))
     if schedule is not None:
         load_schedule(spark, lake.gold("schedule"), schedule.withColumnRenamed("dt", "snapshot"))
         cancel(spark, lake.gold("schedule"), newest_date(partitions.read(spark, lake.silver("schedule"))))
@@ -187,7 +193,7 @@ def load_gold(spark: SparkSession, lake: Lake, since: dt.date | None = None) ->
         partitions.merge(spark, lake.gold("boxscores"), merge.latest_per_key(boxes, ["game_id"], "dt"), "game_id", version="dt")
     if lines is not None:
         partitions.merge(spark, lake.gold("players"), merge.players_dimension(lines), "player_id", version="dt")
-        partitions.merge(spark, lake.gold("player_stats"), merge.player_facts(lines), "pk", version="dt")
+        partitions.merge(spark, lake.gold("player_stats"), merge.player_facts(lines), "pk", version="dt", block_key="game_id")
 
 
 def load_schedule(spark: SparkSession, path: str, snapshots: DataFrame) -> None:
@@ -207,10 +213,20 @@ def cancel(spark: SparkSession, path: str, snapshot: DataFrame) -> None:
     partitions.merge(spark, path, changed, "game_id", None, ["is_cancelled"])
 
 
-def check_gold(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Violation counts of every contract over the stored star schema."""
-    stored = [partitions.read(spark, lake.gold(t)) for t in ("schedule", "boxscores", "player_stats", "players")]
-    return quality.contract_suite(*stored)
+def check_gold(spark: SparkSession, lake: Lake, whole: bool = False) -> DataFrame:
+    """Violation counts of every contract over the stored star schema.
+
+    Only games that ``load_gold`` touched since the last check are counted again; the others' counts are stored by game
+    (``ledger.offenders`` names those that break a contract). ``whole`` counts all games again, for tables changed by other means.
+    """
+    tables = {t: lake.gold(t) for t in (*ledger.GAME_TABLES, "players")}
+    counts, notes = lake.path("contracts", "games"), lake.path("contracts", "changed")
+    first = partitions.read(spark, counts) is None
+    changed = ledger.all_games(spark, tables) if whole or first else ledger.noted(spark, notes)
+    if changed is not None:
+        ledger.update(spark, counts, changed, tables)
+        release(spark, notes)
+    return ledger.report(spark, counts)
 
 
 def refresh(spark: SparkSession, lake: Lake, since: dt.date | None = None, require_landed: bool = False) -> DataFrame:

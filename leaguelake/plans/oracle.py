@@ -193,6 +193,21 @@ SELECT rule AS check_name, kind, CAST(broken AS BIGINT) AS violations
 FROM (VALUES {rows}) AS counted(rule, kind, broken)""")
 
 
+PLANTED_CONTRACTS = _contracts(
+    "SELECT CASE WHEN k % 89 = 0 THEN 'X' || game_id ELSE game_id END AS game_id, status AS game_status, "
+    "CASE WHEN k % 83 = 0 THEN 'exhibition' ELSE game_type END AS game_type FROM typed",
+    "SELECT * REPLACE (CASE WHEN k % 79 = 0 THEN 'X' || game_id ELSE game_id END AS game_id, "
+    "CASE WHEN k % 73 = 0 THEN -home_score ELSE home_score END AS home_score, "
+    "CASE WHEN k % 71 = 0 THEN 'away' ELSE winner END AS winner) FROM boxes",
+    "SELECT * REPLACE (CASE WHEN k % 67 = 0 THEN 'X' || game_id ELSE game_id END AS game_id, "
+    "CASE WHEN (k + reb) % 61 = 0 THEN 'bench' ELSE side END AS side, "
+    "CASE WHEN part_id % 59 = 0 THEN 1.5 ELSE fg_pct END AS fg_pct, "
+    "CASE WHEN part_id % 53 = 0 THEN -pts ELSE pts END AS pts, "
+    "CASE WHEN part_id % 47 = 0 THEN fga + 1 ELSE fgm END AS fgm) FROM stats",
+    "SELECT CASE WHEN s_suppkey % 43 = 0 THEN -1 - s_suppkey ELSE s_suppkey END AS player_id FROM supplier",
+)
+
+
 SQL = {
     "schedule_flatten": _with("schedule", f"SELECT {SCHEDULE_COLUMNS} FROM schedule"),
     "schedule_broadcasters": _with("games", "SELECT game_id, us_broadcaster, brazil_broadcaster FROM games"),
@@ -338,19 +353,8 @@ FROM keys"""),
         "SELECT * FROM facts",
         "SELECT s_suppkey AS player_id FROM supplier",
     ),
-    "contract_suite": _contracts(
-        "SELECT CASE WHEN k % 89 = 0 THEN 'X' || game_id ELSE game_id END AS game_id, status AS game_status, "
-        "CASE WHEN k % 83 = 0 THEN 'exhibition' ELSE game_type END AS game_type FROM typed",
-        "SELECT * REPLACE (CASE WHEN k % 79 = 0 THEN 'X' || game_id ELSE game_id END AS game_id, "
-        "CASE WHEN k % 73 = 0 THEN -home_score ELSE home_score END AS home_score, "
-        "CASE WHEN k % 71 = 0 THEN 'away' ELSE winner END AS winner) FROM boxes",
-        "SELECT * REPLACE (CASE WHEN k % 67 = 0 THEN 'X' || game_id ELSE game_id END AS game_id, "
-        "CASE WHEN (k + reb) % 61 = 0 THEN 'bench' ELSE side END AS side, "
-        "CASE WHEN part_id % 59 = 0 THEN 1.5 ELSE fg_pct END AS fg_pct, "
-        "CASE WHEN part_id % 53 = 0 THEN -pts ELSE pts END AS pts, "
-        "CASE WHEN part_id % 47 = 0 THEN fga + 1 ELSE fgm END AS fgm) FROM stats",
-        "SELECT CASE WHEN s_suppkey % 43 = 0 THEN -1 - s_suppkey ELSE s_suppkey END AS player_id FROM supplier",
-    ),
+    "contract_suite": PLANTED_CONTRACTS,
+    "contract_ledger": PLANTED_CONTRACTS,
     "results_digest": DIGEST,
     "results_digest_documents": DIGEST,
     "results_message": _with("games scores", RESULTS + """
