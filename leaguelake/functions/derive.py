@@ -22,6 +22,12 @@ def as_int(value: Column) -> Column:
     )
 
 
+def _matched_int(text: Column, pattern: str, group: int) -> Column:
+    """A group of a pattern as int, NULL without a match. No match is NULL before the cast: a cast of empty text
+    raises an error inside ``try_cast``, which costs ten times the match."""
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit("")).try_cast("int")
+
+
 def utc_instant(text: Column) -> Column:
     """ISO instant with zone designator to a zone-free UTC timestamp, whatever the session zone."""
     instant = F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssX"))
@@ -59,8 +65,8 @@ def with_series_wins(df: DataFrame, text: Column, home: Column, away: Column) ->
     """
     parts = df.withColumns(
         {
-            "_first": F.regexp_extract(text, SCORE_PATTERN, 1).try_cast("int"),
-            "_second": F.regexp_extract(text, SCORE_PATTERN, 2).try_cast("int"),
+            "_first": _matched_int(text, SCORE_PATTERN, 1),
+            "_second": _matched_int(text, SCORE_PATTERN, 2),
             "_leader": F.regexp_extract(text, LEADER_PATTERN, 1),
             "_home": home,
             "_away": away,
@@ -108,6 +114,6 @@ def surrogate_key(*parts: Column) -> Column:
 
 def minutes_played(text: Column) -> Column:
     """Whole minutes from ``PT34M12.00S`` or ``34:12``; anything else NULL."""
-    iso = F.regexp_extract(text, r"^PT(\d+)M([\d.]+)S$", 1)
-    clock = F.regexp_extract(text, r"^(\d+):(\d{2})$", 1)
-    return F.coalesce(iso.try_cast("int"), clock.try_cast("int"))
+    iso = _matched_int(text, r"^PT(\d+)M([\d.]+)S$", 1)
+    clock = _matched_int(text, r"^(\d+):(\d{2})$", 1)
+    return F.coalesce(iso, clock)
