@@ -18,6 +18,7 @@ from leaguelake.sources import bridge, documents, drift, manifest
 from leaguelake.streaming import incremental
 
 TITLE = "Resultados"
+LANDED = "lz4"  # codec of landed documents; files are as many as the tasks that wrote them
 READ_DAYS = (dt.date(1997, 3, 15), dt.date(2050, 1, 1))
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -292,7 +293,8 @@ def _landed_schedule(spark, sf_dir) -> str:
     landing = scratch_path(spark, "landing")
     both = bridge.snapshots(bridge.games(spark, sf_dir))
     for snapshot in (bridge.FIRST_SNAPSHOT, bridge.SECOND_SNAPSHOT):
-        bridge.schedule_documents(both.filter(F.col("snapshot") == F.lit(snapshot))).write.text(f"{landing}/{snapshot}")
+        raw = bridge.schedule_documents(both.filter(F.col("snapshot") == F.lit(snapshot)))
+        raw.write.option("compression", LANDED).text(f"{landing}/{snapshot}")
     return landing
 
 
@@ -304,8 +306,10 @@ def file_scan_schedule(spark, sf_dir):
 
 
 def _landed_boxscores(spark, sf_dir) -> str:
+    """Box scores as compressed files of their date, one document to a line; JSON repeats its field names for every line."""
     landing = scratch_path(spark, "landing")
-    bridge.boxscore_documents(spark, sf_dir).select("doc").write.text(f"{landing}/{bridge.FIRST_SNAPSHOT}")
+    docs = bridge.boxscore_documents(spark, sf_dir).select("doc")
+    docs.write.option("compression", LANDED).text(f"{landing}/{bridge.FIRST_SNAPSHOT}")
     return landing
 
 
@@ -573,7 +577,7 @@ def incremental_silver(spark, sf_dir):
     both = bridge.snapshots(bridge.games(spark, sf_dir))
     for snapshot in (bridge.SECOND_SNAPSHOT, bridge.FIRST_SNAPSHOT):
         raw = bridge.schedule_documents(both.filter(F.col("snapshot") == F.lit(snapshot)))
-        raw.write.text(f"{landing}/{snapshot}")
+        raw.write.option("compression", LANDED).text(f"{landing}/{snapshot}")
         incremental.follow_schedule(spark, landing, table, progress, multi_line=False)
     return partitions.read(spark, table)
 

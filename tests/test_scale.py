@@ -55,3 +55,14 @@ def test_a_text_without_a_match_is_not_cast(spark, tmp_path):
     series = derive.with_series_wins(texts, F.col("m"), F.lit("A"), F.lit("B"))
     for df in (minutes, series):
         assert not re.search(r"(?<!else )cast\(regexp_extract", plan_of(df).replace("try_", ""))  # a failing cast costs ten times the match
+
+
+def landed_and_text(landing, docs):
+    files = [os.path.join(root, name) for root, _, names in os.walk(landing) for name in names if name.startswith("part-")]
+    return sum(map(os.path.getsize, files)), docs.agg(F.sum(F.octet_length("doc"))).first()[0]
+
+
+def test_landed_box_scores_take_a_part_of_their_text(spark, tables):
+    landed, text = landed_and_text(catalog._landed_boxscores(spark, tables), bridge.boxscore_documents(spark, tables))
+    assert landed < text / 2
+    assert catalog.file_scan_boxscores(spark, tables).count() == 100
