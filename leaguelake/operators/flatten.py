@@ -79,22 +79,15 @@ def player_entries(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame
     """One row per listed player of either side, from a single pass over the documents."""
 
     def side(name: str, team: str) -> Column:
-        return F.struct(F.lit(name).alias("side"), F.col(f"game.{team}").alias("team"))
+        column = F.col(f"game.{team}")
+        fields = {"team_id": "teamId", "team_city": "teamCity", "team_name": "teamName", "players": "players"}
+        return F.struct(F.lit(name).alias("side"), *[column[field].alias(alias) for alias, field in fields.items()])
 
+    # the list is a column of its own, so it is not carried beside each of its players
     sides = documents.select(
-        *carry,
-        F.col("game.gameId").alias("game_id"),
-        F.explode(F.array(side("home", "homeTeam"), side("away", "awayTeam"))).alias("entry"),
-    )
-    return sides.select(
-        *carry,
-        "game_id",
-        F.col("entry.side").alias("side"),
-        F.col("entry.team.teamId").alias("team_id"),
-        F.col("entry.team.teamCity").alias("team_city"),
-        F.col("entry.team.teamName").alias("team_name"),
-        F.explode("entry.team.players").alias("player"),
+        *carry, F.col("game.gameId").alias("game_id"), F.inline(F.array(side("home", "homeTeam"), side("away", "awayTeam")))
     )
+    return sides.select(*carry, "game_id", "side", "team_id", "team_city", "team_name", F.explode("players").alias("player"))
 
 
 def silver_player_stats(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -307,7 +307,7 @@ def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _boxscore_document(players: dict[str, Column]) -> Column:
-    """A document from the header columns and the JSON text of each side's players."""
+    """A document from the header columns and the JSON list of each side's players."""
 
     def team(side: str) -> Column:
         plain = F.to_json(
@@ -318,7 +318,7 @@ def _boxscore_document(players: dict[str, Column]) -> Column:
         )
         opened = F.rtrim(plain, F.lit("}"))
         comma = F.when(F.length(opened) > 1, ",").otherwise("")
-        return F.concat(opened, comma, F.lit('"players":['), players[side], F.lit("]}"))
+        return F.concat(opened, comma, F.lit('"players":'), players[side], F.lit("}"))
 
     return F.concat(
         F.lit('{"game":{"gameId":"'), F.col("game_id"), F.lit('","gameStatus":'), F.coalesce(F.col("game_status").cast("string"), F.lit("null")),
@@ -328,7 +328,7 @@ def _boxscore_document(players: dict[str, Column]) -> Column:
 
 def boxscore_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One box score document (dt, doc) per game, without players; no player line is put into a list."""
-    none = F.lit("")
+    none = F.lit("[]")
     return _headers(spark, sf_dir).select("dt", _boxscore_document({"home": none, "away": none}).alias("doc"))
 
 
@@ -336,23 +336,22 @@ def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Box score documents (dt, doc) with the players of at most LINES_PER_DOCUMENT neighbouring rows of a source file.
 
     The lines of a game thus come in one document for each stretch of a file that holds some, each with the game's header,
-    and no task gathers all lines of one game.
+    and no task gathers all lines of one game. Lines are shuffled, sorted and joined as typed values; their JSON text, many
+    times as long, is made last.
     """
     idle = F.when(F.col("played") == "0", "INACTIVE")
-    player = F.to_json(
-        F.struct(
-            F.col("player_id").alias("personId"),
-            F.col("player_name").alias("name"),
-            "position",
-            F.col("starter").cast("string").alias("starter"),
-            "played",
-            idle.alias("notPlayingReason"),
-            F.struct(*[F.col(c).alias(f) for c, f in schemas.STATISTIC_FIELDS.items()]).alias("statistics"),
-        )
+    player = F.struct(
+        F.col("player_id").alias("personId"),
+        F.col("player_name").alias("name"),
+        "position",
+        F.col("starter").cast("string").alias("starter"),
+        "played",
+        idle.alias("notPlayingReason"),
+        F.struct(*[F.col(c).alias(f) for c, f in schemas.STATISTIC_FIELDS.items()]).alias("statistics"),
     )
 
     def players(side: str) -> Column:
-        return F.array_join(F.collect_list(F.when(F.col("side") == side, F.col("player"))), ",")
+        return F.collect_list(F.when(F.col("side") == side, F.col("player")))
 
     grouped = (
         with_player_names(lines(spark, sf_dir, with_place=True), spark, sf_dir)
@@ -360,7 +359,7 @@ def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("game_no", "row_file", "stretch")
         .agg(players("home").alias("home_players"), players("away").alias("away_players"))
     )
-    doc = _boxscore_document({side: F.col(f"{side}_players") for side in ("home", "away")})
+    doc = _boxscore_document({side: F.to_json(f"{side}_players") for side in ("home", "away")})
     return grouped.join(_headers(spark, sf_dir), "game_no").select("dt", doc.alias("doc"))
 
 

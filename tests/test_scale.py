@@ -57,6 +57,23 @@ def test_a_text_without_a_match_is_not_cast(spark, tmp_path):
         assert not re.search(r"(?<!else )cast\(regexp_extract", plan_of(df).replace("try_", ""))  # a failing cast costs ten times the match
 
 
+def below_first_join(df):
+    lines = plan_of(df).splitlines()
+    first = next(i for i, line in enumerate(lines) if "Join " in line)
+    return "\n".join(lines[first:])
+
+
+def test_player_lines_are_joined_and_grouped_before_they_become_text(spark, tables):
+    docs = bridge.boxscore_documents(spark, tables)
+    assert "StructsToJson" in plan_of(docs) and "StructsToJson" not in below_first_join(docs)
+    parsed = documents.parse_documents(docs, schemas.BOXSCORE_DOCUMENT)
+    rows = flatten.silver_player_stats(parsed, ["dt"])
+    expected = bridge.silver_player_stats(spark, tables)
+    assert rows.count() == expected.count() == 100  # every other game's five lines were played
+    columns = sorted(expected.columns)
+    assert rows.select(columns).exceptAll(expected.select(columns)).isEmpty()
+
+
 def landed_and_text(landing, docs):
     files = [os.path.join(root, name) for root, _, names in os.walk(landing) for name in names if name.startswith("part-")]
     return sum(map(os.path.getsize, files)), docs.agg(F.sum(F.octet_length("doc"))).first()[0]
