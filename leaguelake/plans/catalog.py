@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -13,7 +13,7 @@ from leaguelake import schemas
 from leaguelake.functions import derive, localtime
 from leaguelake.operators import analytics, delivery, flatten, ledger, merge, partitions, quality
 from leaguelake.plans import medallion
-from leaguelake.session import held, scratch_path
+from leaguelake.session import held, scratch_path, spread
 from leaguelake.sources import bridge, documents, drift, manifest
 from leaguelake.streaming import incremental
 
@@ -26,8 +26,13 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(run: Query) -> Query:
-    REGISTRY[run.__name__] = run
-    return run
+    @wraps(run)
+    def at_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spread(spark, *[f"{sf_dir}/{table}.parquet" for table in ("orders", "lineitem")])
+        return run(spark, sf_dir)
+
+    REGISTRY[run.__name__] = at_size
+    return at_size
 
 
 def parsed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,24 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
     return builder.getOrCreate()
 
 
+# stored bytes of the tables for each shuffle partition to begin with; AQE joins those that turn out small
+BYTES_PER_PARTITION = 4 << 20
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def spread(spark: SparkSession, *paths: str) -> None:
+    """Let shuffles begin with as many partitions as the tables at ``paths`` need, never fewer than the session has.
+
+    A fixed number makes each task's sorts, hash maps and spills grow with the tables. AQE can join partitions, but splits
+    only skewed ones.
+    """
+    sizes = [files.getContentSummary(where).getLength() for files, where in (file_system(spark, p) for p in paths) if files.exists(where)]
+    usual = int(spark.conf.get(FIRST_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-sum(sizes) // BYTES_PER_PARTITION)
+    if wanted > usual:
+        spark.conf.set(FIRST_PARTITIONS, wanted)
+
+
 def working_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
 

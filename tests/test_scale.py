@@ -83,3 +83,24 @@ def test_landed_box_scores_take_a_part_of_their_text(spark, tables):
     landed, text = landed_and_text(catalog._landed_boxscores(spark, tables), bridge.boxscore_documents(spark, tables))
     assert landed < text / 2
     assert catalog.file_scan_boxscores(spark, tables).count() == 100
+
+
+def test_shuffles_begin_with_partitions_for_the_size_of_the_tables(spark, tables, monkeypatch):
+    before = spark.conf.get(session.FIRST_PARTITIONS, None)
+    spark.conf.unset(session.FIRST_PARTITIONS)
+    try:
+        catalog.REGISTRY["contract_ledger"](spark, tables)
+        assert spark.conf.get(session.FIRST_PARTITIONS, None) is None  # small tables: as the session has it
+        size = sum(os.path.getsize(os.path.join(f"{tables}/{t}.parquet", n)) for t in ("orders", "lineitem") for n in os.listdir(f"{tables}/{t}.parquet"))
+        monkeypatch.setattr(session, "BYTES_PER_PARTITION", 100)
+        catalog.REGISTRY["game_type"](spark, tables)
+        assert int(spark.conf.get(session.FIRST_PARTITIONS)) >= size // 150
+        monkeypatch.undo()
+        wide = spark.conf.get(session.FIRST_PARTITIONS)
+        catalog.REGISTRY["game_type"](spark, tables)
+        assert spark.conf.get(session.FIRST_PARTITIONS) == wide  # never fewer than the session has
+        session.spread(spark, f"{tables}/absent.parquet")
+    finally:
+        spark.conf.unset(session.FIRST_PARTITIONS)
+        if before is not None:
+            spark.conf.set(session.FIRST_PARTITIONS, before)
