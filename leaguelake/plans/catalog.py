@@ -278,9 +278,10 @@ def table_upsert(spark, sf_dir):
 def cancel_replay(spark, sf_dir):
     """Cancellations after a snapshot without some games, and after the next one that lists them again."""
     path = scratch_path(spark, "cancel")
-    games = bridge.snapshots(bridge.games(spark, sf_dir))
+    # every load and every cancellation reads a snapshot, so both come from one held table
+    silver = held(bridge.silver_schedule(bridge.snapshots(bridge.games(spark, sf_dir)), "snapshot"), "snapshots")
     days = [bridge.FIRST_SNAPSHOT, bridge.SECOND_SNAPSHOT]
-    snapshots = [bridge.silver_schedule(games.filter(F.col("snapshot") == F.lit(day)), "snapshot") for day in days]
+    snapshots = [silver.filter(F.col("snapshot") == F.lit(day)) for day in days]
     snapshots.append(snapshots[0].withColumn("snapshot", F.date_add("snapshot", 2)))
     steps = []
     for step, snapshot in enumerate(snapshots):

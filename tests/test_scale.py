@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from leaguelake import schemas, session
 from leaguelake.functions import derive
 from leaguelake.operators import flatten
-from leaguelake.plans import catalog
-from leaguelake.sources import bridge, documents
+from leaguelake.plans import catalog, medallion
+from leaguelake.sources import bridge, documents, drift
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 LINES = (
@@ -104,3 +104,17 @@ def test_shuffles_begin_with_partitions_for_the_size_of_the_tables(spark, tables
         spark.conf.unset(session.FIRST_PARTITIONS)
         if before is not None:
             spark.conf.set(session.FIRST_PARTITIONS, before)
+
+
+def test_loads_and_cancellations_read_a_held_snapshot(spark, tables, monkeypatch):
+    read = []
+    cancel = medallion.cancel
+
+    def spied(spark, path, snapshot):
+        read.extend(snapshot.inputFiles())
+        cancel(spark, path, snapshot)
+
+    monkeypatch.setattr(medallion, "cancel", spied)
+    steps = catalog.cancel_replay(spark, tables).groupBy("step").count().collect()
+    assert {r["step"]: r["count"] for r in steps} == {1: 40, 2: 40, 3: 40}
+    assert read and not [name for name in read if tables in name]
