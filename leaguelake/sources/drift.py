@@ -37,7 +37,7 @@ def _depth(kind: DataType) -> int:
 def _judged(rows: DataFrame, known: dict[str, str], any_shape: Collection[str]) -> DataFrame:
     """Rows that drift, with their ``problem``, and those to be opened, without one."""
     paths = {shape: [p for p, s in known.items() if s == shape] for shape in (OBJECT, ARRAY, LEAF)}
-    shape = F.regexp_extract(F.schema_of_variant("node"), "^[A-Z]+", 0)
+    shape = F.substring_index(F.substring_index(F.schema_of_variant("node"), "<", 1), "(", 1)
     path, container = F.col("path"), F.col("shape").isin(OBJECT, ARRAY)
 
     def among(names: Collection[str]) -> Column:

@@ -118,3 +118,13 @@ def test_loads_and_cancellations_read_a_held_snapshot(spark, tables, monkeypatch
     steps = catalog.cancel_replay(spark, tables).groupBy("step").count().collect()
     assert {r["step"]: r["count"] for r in steps} == {1: 40, 2: 40, 3: 40}
     assert read and not [name for name in read if tables in name]
+
+
+def test_shapes_are_taken_without_a_pattern(spark, tmp_path):
+    docs = [('{"game":{"gameId":"1","gameStatus":{"code":1.5},"homeTeam":[7],"x":2.5}}',), ('{"game":null}',), ("{",)]
+    spark.createDataFrame(docs, "doc string").write.parquet(str(tmp_path / "docs"))
+    report = drift.drift(spark.read.parquet(str(tmp_path / "docs")), schemas.BOXSCORE_DOCUMENT)
+    assert {(r.path, r.problem, r.found) for r in report.collect()} == {
+        ("", "unreadable", None), ("game.gameStatus", "retyped", "OBJECT"), ("game.homeTeam", "retyped", "ARRAY"), ("game.x", "unknown", "DECIMAL"),
+    }
+    assert "regexp_extract" not in plan_of(report)  # one pattern for every node of every document
