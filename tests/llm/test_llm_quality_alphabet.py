@@ -1,0 +1,50 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from leaguelake.llm import quality_rules as q
+
+
+def test_every_character_is_told_apart():
+    chars = "éжךع漢字0123456789;:-_/()@\U0001f600\U00020000"
+    a = q.Alphabet([ord(c) for c in chars])
+    grams = {a.grams([c])[0].tobytes() for c in chars + "abcxyz"}
+    assert len(grams) == len(chars) + 6
+    assert a.grams(["ÉЖ"])[0].tolist() == a.grams(["éж"])[0].tolist()
+
+
+def test_characters_beyond_the_single_symbols_take_two(monkeypatch):
+    monkeypatch.setattr(q, "SINGLE", 30)
+    codes = list(range(0x4E00, 0x4E00 + 200))
+    a = q.Alphabet(codes)
+    assert [len(a.grams([chr(c)])[0]) for c in codes] == [2] * 3 + [3] * 197
+    assert len({a.grams([chr(c)])[0].tobytes() for c in codes}) == 200
+    grams, begins = a.grams(["ab", "".join(map(chr, codes[:5])), "", chr(codes[9])])
+    assert np.diff(begins).tolist() == [3, 8, 1, 3]
+    assert grams[begins[1] : begins[2]].tolist() == a.grams(["".join(map(chr, codes[:5]))])[0].tolist()
+
+
+def foreign(rows, first, step):
+    """Texts of the same shape in letters ``step`` code points apart."""
+    return [(i, "".join(c if c == " " else chr(first + step * (ord(c) - ord("a"))) for c in text), "xx") for i, text in rows]
+
+
+def test_letters_ten_code_points_apart_differ(documents):
+    rows = [(i, "abc abd cab dab bad cad abc dac " * 5) for i in range(30)]
+    texts = foreign(rows, 0x4E00, 10)
+    strange = (99, texts[0][1].replace(chr(0x4E00), chr(0x4E00 + 500)), "xx")
+    got = {r["row"]["doc_id"]: r["log_perplexity"] for r in q.scored(documents([*texts, strange]), q.train(documents(texts))).collect()}
+    assert got[99] > got[0] + 1
+
+
+def test_scores_of_a_large_model_by_join(documents, monkeypatch):
+    docs = documents([(i, f"some plain words {i} of english text, here жук", "en") for i in range(9)] + [(9, "ein paar deutsche worte", "de"), (10, None, "de")])
+    new = documents([(1, "zzz qqq", "en"), (2, "some plain words", "en"), (3, "bonjour", "fr"), (4, "deutsche worte", "de"), (4, None, "en"), (None, "漢", "de")])
+    model = q.train(docs)
+    key = [F.col("row.doc_id"), F.col("row.text"), "n_words", "word_chars", "base_failed", "log_perplexity"]
+    first = sorted(map(tuple, q.scored(new, model).select(*key).collect()), key=str)
+    monkeypatch.setattr(q, "LARGE_ENTRIES", 1)
+    joined = sorted(map(tuple, q.scored(new, model).select(*key).collect()), key=str)
+    assert [r[:5] for r in joined] == [r[:5] for r in first]
+    assert [r[5] for r in joined] == pytest.approx([r[5] for r in first])
+    assert q.scored(new, model, with_text=False).count() == 6
