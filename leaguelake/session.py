@@ -33,19 +33,24 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
 # stored bytes of the tables for each shuffle partition to begin with; AQE joins those that turn out small
 BYTES_PER_PARTITION = 4 << 20
 FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# AQE and file scans otherwise make one task a core, or one more, which then runs alone while the other cores wait
+LEAST_PARTITIONS = ("spark.sql.adaptive.coalescePartitions.minPartitionNum", "spark.sql.files.minPartitionNum")
 
 
 def spread(spark: SparkSession, *paths: str) -> None:
-    """Let shuffles begin with as many partitions as the tables at ``paths`` need, never fewer than the session has.
+    """Let shuffles and scans have as many partitions as the tables at ``paths`` need, never fewer than the session has.
 
-    A fixed number makes each task's sorts, hash maps and spills grow with the tables. AQE can join partitions, but splits
-    only skewed ones.
+    A fixed number makes each task's sorts, hash maps and spills grow with the tables. AQE splits only skewed partitions,
+    and joins others by their stored bytes, however long the JSON text is that a task makes of them; text landed by few tasks is
+    few files, read by as few.
     """
     sizes = [files.getContentSummary(where).getLength() for files, where in (file_system(spark, p) for p in paths) if files.exists(where)]
     usual = int(spark.conf.get(FIRST_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = -(-sum(sizes) // BYTES_PER_PARTITION)
     if wanted > usual:
         spark.conf.set(FIRST_PARTITIONS, wanted)
+        for setting in LEAST_PARTITIONS:
+            spark.conf.set(setting, max(wanted, int(spark.conf.get(setting, None) or 0)))
 
 
 def working_root(spark: SparkSession) -> str:
