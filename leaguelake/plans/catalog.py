@@ -9,16 +9,17 @@ from functools import reduce, wraps
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from leaguelake import schemas
+from leaguelake import schemas, session
 from leaguelake.functions import derive, localtime
 from leaguelake.operators import analytics, delivery, flatten, ledger, merge, partitions, quality
 from leaguelake.plans import medallion
-from leaguelake.session import held, scratch_path, spread
+from leaguelake.session import held, in_rounds, scratch_path, spread, stored_bytes
 from leaguelake.sources import bridge, documents, drift, manifest
 from leaguelake.streaming import incremental
 
 TITLE = "Resultados"
 LANDED = "lz4"  # codec of landed documents; files are as many as the tasks that wrote them
+LANDED_LINES = "gzip"  # of documents with player lines, which take much more disk
 READ_DAYS = (dt.date(1997, 3, 15), dt.date(2050, 1, 1))
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +29,7 @@ REGISTRY: dict[str, Query] = {}
 def query(run: Query) -> Query:
     @wraps(run)
     def at_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spread(spark, *[f"{sf_dir}/{table}.parquet" for table in ("orders", "lineitem")])
+        spread(spark, *_sources(sf_dir))
         return run(spark, sf_dir)
 
     REGISTRY[run.__name__] = at_size
@@ -40,6 +41,16 @@ def parsed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.parse_documents(raw, schemas.SCHEDULE_DOCUMENT)
 
 
+def _sources(sf_dir: str) -> list[str]:
+    return [f"{sf_dir}/{table}.parquet" for table in ("orders", "lineitem")]
+
+
+def _boxscores_in_rounds(spark: SparkSession, sf_dir: str, write: Callable[[DataFrame], None]) -> None:
+    """Typed box scores to ``write``, a share of the games at a time, so that their shuffles do not lie on disk all at once."""
+    rounds = -(-stored_bytes(spark, *_sources(sf_dir)) // session.BYTES_PER_ROUND)
+    in_rounds(spark, "game_no", max(1, rounds), lambda wanted: write(bridge.boxscore_rows(spark, sf_dir, wanted)))
+
+
 def parsed_boxscores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.parse_documents(bridge.boxscore_documents(spark, sf_dir), schemas.BOXSCORE_DOCUMENT)
 
@@ -314,8 +325,12 @@ def file_scan_schedule(spark, sf_dir):
 def _landed_boxscores(spark, sf_dir) -> str:
     """Box scores as compressed files of their date, one document to a line; JSON repeats its field names for every line."""
     landing = scratch_path(spark, "landing")
-    docs = bridge.boxscore_documents(spark, sf_dir).select("doc")
-    docs.write.option("compression", LANDED).text(f"{landing}/{bridge.FIRST_SNAPSHOT}")
+
+    def land(rows: DataFrame) -> None:
+        docs = bridge.boxscore_text(rows).select("doc")
+        docs.write.mode("append").option("compression", LANDED_LINES).text(f"{landing}/{bridge.FIRST_SNAPSHOT}")
+
+    _boxscores_in_rounds(spark, sf_dir, land)
     return landing
 
 

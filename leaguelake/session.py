@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,6 +37,10 @@ BYTES_PER_PARTITION = 4 << 20
 FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # AQE and file scans otherwise make one task a core, or one more, which then runs alone while the other cores wait
 LEAST_PARTITIONS = ("spark.sql.adaptive.coalescePartitions.minPartitionNum", "spark.sql.files.minPartitionNum")
+# stored bytes of the tables for each round of a write in rounds
+BYTES_PER_ROUND = 1 << 30
+# shuffle files go when their write has ended; otherwise they stay until the driver's garbage collector finds them unused
+SHUFFLES_DROPPED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def spread(spark: SparkSession, *paths: str) -> None:
@@ -44,15 +50,47 @@ def spread(spark: SparkSession, *paths: str) -> None:
     and joins others by their stored bytes, however long the JSON text is that a task makes of them; text landed by few tasks is
     few files, read by as few.
     """
-    sizes = [files.getContentSummary(where).getLength() for files, where in (file_system(spark, p) for p in paths) if files.exists(where)]
     usual = int(spark.conf.get(FIRST_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = -(-sum(sizes) // BYTES_PER_PARTITION)
+    wanted = -(-stored_bytes(spark, *paths) // BYTES_PER_PARTITION)
     if wanted > usual:
         spark.conf.set(FIRST_PARTITIONS, wanted)
         for setting in LEAST_PARTITIONS:
             spark.conf.set(setting, max(wanted, int(spark.conf.get(setting, None) or 0)))
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files at ``paths``; what is absent has none."""
+    return sum(files.getContentSummary(where).getLength() for files, where in (file_system(spark, p) for p in paths) if files.exists(where))
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, object]):
+    """The session with other settings for a while."""
+    before = {setting: spark.conf.get(setting, None) for setting in values}
+    try:
+        for setting, value in values.items():
+            spark.conf.set(setting, str(value))
+        yield
+    finally:
+        for setting, value in before.items():
+            spark.conf.unset(setting) if value is None else spark.conf.set(setting, value)
+
+
+def in_rounds(spark: SparkSession, key: str, rounds: int, write: Callable[[Column], None]) -> None:
+    """Call ``write`` with a condition on ``key`` for each of ``rounds`` shares of its values, and drop a write's shuffle files when it ends.
+
+    A write shuffles only the rows that its condition keeps, so the disk that shuffles take at one time is that of a round, however
+    large the tables are. Each round has its share of the partitions.
+    """
+    share = {SHUFFLES_DROPPED: "true"}
+    for setting in (FIRST_PARTITIONS, *LEAST_PARTITIONS):
+        if now := spark.conf.get(setting, None):
+            share[setting] = -(-int(now) // rounds)
+    with _settings(spark, share):
+        for turn in range(rounds):
+            write(F.pmod(F.xxhash64(key), F.lit(rounds)) == turn if rounds > 1 else F.lit(True))
+
+
 def working_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
 

@@ -8,6 +8,7 @@ and lines that find no match; Spark broadcasts what its size statistics allow.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,9 +17,11 @@ from leaguelake.functions import derive
 from leaguelake.operators.flatten import derive_boxscore, derive_schedule
 
 AWAY_TEAMS = 25  # the away team is drawn from this many
+EVERY_GAME = "true"  # as a condition on game_no
 CALLED_OFF_BELOW = 5000.0  # orders below this price are games the second snapshot no longer lists
 GAMES_PER_DOCUMENT = 64
 LINES_PER_DOCUMENT = 512
+ROW_VALUES = ("linenumber", "quantity", "discount", "tax", "returnflag", "linestatus")  # of line items, beside the keys
 FIRST_SNAPSHOT = dt.date(2026, 1, 1)
 SECOND_SNAPSHOT = dt.date(2026, 1, 2)
 RUN_START = dt.datetime(1998, 6, 1)
@@ -196,14 +199,21 @@ def silver_schedule(games: DataFrame, *carry: str) -> DataFrame:
     return derive_schedule(renamed, carry)
 
 
-def lines(spark: SparkSession, sf_dir: str, with_place: bool = False) -> DataFrame:
-    """Player lines: one row per line item with its game number, side and statistics.
+def _row_values(spark: SparkSession, sf_dir: str, *place: Column) -> DataFrame:
+    """What a player line is made of: the values of its row that are not repeated in another form."""
+    return load(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("game_no"),
+        F.col("l_suppkey").alias("player_id"),
+        F.col("l_partkey").alias("part_id"),
+        *[F.col(f"l_{name}").alias(name) for name in ROW_VALUES],
+        *place,
+    )
 
-    ``with_place`` adds the row's place in its source file, which tells copies of one line apart.
-    """
-    place = [F.col("_metadata.file_path").alias("row_file"), F.col("_metadata.row_index").alias("row_index")]
-    number, part, player = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    points = F.col("l_quantity").cast("int")
+
+def _line(row: Callable[[str], Column]) -> dict[str, Column]:
+    """Side, flags and statistics of a player line; ``row`` gives a value of ``_row_values`` by name."""
+    number, part, player = row("linenumber"), row("part_id"), row("player_id")
+    points = row("quantity").cast("int")
     clock = F.lpad((part % 60).cast("string"), 2, "0")
     minutes = (
         F.when(number % 3 == 0, F.concat(F.lit("PT"), points, F.lit("M"), clock, F.lit(".00S")))
@@ -221,27 +231,29 @@ def lines(spark: SparkSession, sf_dir: str, with_place: bool = False) -> DataFra
         "plus_minus": points - 25,
         "fgm": points,
         "fga": points + number,
-        "fg_pct": F.col("l_discount"),
+        "fg_pct": row("discount"),
         "tpm": part % 5,
         "tpa": part % 5 + number,
-        "tp_pct": F.col("l_tax"),
+        "tp_pct": row("tax"),
         "ftm": player % 7,
         "fta": player % 7 + part % 3,
-        "ft_pct": F.col("l_discount") + F.col("l_tax"),
+        "ft_pct": row("discount") + row("tax"),
         "reb_off": number % 3,
         "reb_def": number - number % 3,
     }
     kinds = {f.name: f.dataType for f in schemas.SILVER_PLAYER_STATS.fields}
-    return load(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("game_no"),
-        F.when(F.col("l_linestatus") == "O", "home").otherwise("away").alias("side"),
-        player.alias("player_id"),
-        part.alias("part_id"),
-        F.when(F.col("l_returnflag") == "N", "0").otherwise("1").alias("played"),
-        F.when(number <= 2, 1).otherwise(0).alias("starter"),
-        *[column.cast(kinds[name]).alias(name) for name, column in stat.items()],
-        *(place if with_place else []),
-    )
+    return {
+        "side": F.when(row("linestatus") == "O", "home").otherwise("away"),
+        "played": F.when(row("returnflag") == "N", "0").otherwise("1"),
+        "starter": F.when(number <= 2, 1).otherwise(0),
+        **{name: column.cast(kinds[name]) for name, column in stat.items()},
+    }
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player lines: one row per line item with its game number, side and statistics."""
+    line = {name: column.alias(name) for name, column in _line(F.col).items()}
+    return _row_values(spark, sf_dir).select("game_no", line.pop("side"), "player_id", "part_id", *line.values())
 
 
 def with_player_names(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,8 +314,8 @@ def silver_player_stats(
     )
 
 
-def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return games(spark, sf_dir).join(scores(lines(spark, sf_dir)), "game_no")
+def _headers(spark: SparkSession, sf_dir: str, wanted: Column | str) -> DataFrame:
+    return games(spark, sf_dir).filter(wanted).join(scores(lines(spark, sf_dir).filter(wanted)), "game_no")
 
 
 def _boxscore_document(players: dict[str, Column]) -> Column:
@@ -329,38 +341,56 @@ def _boxscore_document(players: dict[str, Column]) -> Column:
 def boxscore_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One box score document (dt, doc) per game, without players; no player line is put into a list."""
     none = F.lit("[]")
-    return _headers(spark, sf_dir).select("dt", _boxscore_document({"home": none, "away": none}).alias("doc"))
+    return _headers(spark, sf_dir, EVERY_GAME).select("dt", _boxscore_document({"home": none, "away": none}).alias("doc"))
 
 
-def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Box score documents (dt, doc) with the players of at most LINES_PER_DOCUMENT neighbouring rows of a source file.
+def boxscore_rows(spark: SparkSession, sf_dir: str, wanted: Column | str = EVERY_GAME) -> DataFrame:
+    """Box scores as typed values: one row per document, with the header and the row values of each side's players.
+
+    ``wanted`` is a condition on game_no; other games' lines are not shuffled.
 
-    The lines of a game thus come in one document for each stretch of a file that holds some, each with the game's header,
-    and no task gathers all lines of one game. Lines are shuffled, sorted and joined as typed values; their JSON text, many
-    times as long, is made last.
+    A document has the players of at most LINES_PER_DOCUMENT neighbouring rows of a source file. The lines of a game thus come in
+    one document for each stretch of a file that holds some, each with the game's header, and no task gathers all lines of one
+    game. Lines are shuffled, sorted and joined as the values of their rows; the statistics made of them, and the JSON text,
+    many times as long, come last.
     """
-    idle = F.when(F.col("played") == "0", "INACTIVE")
-    player = F.struct(
-        F.col("player_id").alias("personId"),
-        F.col("player_name").alias("name"),
-        "position",
-        F.col("starter").cast("string").alias("starter"),
-        "played",
-        idle.alias("notPlayingReason"),
-        F.struct(*[F.col(c).alias(f) for c, f in schemas.STATISTIC_FIELDS.items()]).alias("statistics"),
+    # two files of one number would at most share a document
+    place = [F.xxhash64("_metadata.file_path").alias("row_file"), F.expr(f"_metadata.row_index div {LINES_PER_DOCUMENT}").alias("stretch")]
+    named = with_player_names(_row_values(spark, sf_dir, *place).filter(wanted), spark, sf_dir)
+    player = F.struct(*[c for c in named.columns if c not in ("game_no", "linestatus", "row_file", "stretch")])
+    at_home = F.coalesce(F.col("linestatus") == "O", F.lit(False))
+    grouped = named.groupBy("game_no", "row_file", "stretch").agg(
+        F.collect_list(F.when(at_home, player)).alias("home_players"),
+        F.collect_list(F.when(~at_home, player)).alias("away_players"),
+    )
+    return grouped.drop("row_file", "stretch").join(_headers(spark, sf_dir, wanted), "game_no").select(
+        "dt", "game_id", "game_status",
+        *[f"{side}_{column}" for side in ("home", "away") for column in ("id", "city", "name", "score", "players")],
     )
 
-    def players(side: str) -> Column:
-        return F.collect_list(F.when(F.col("side") == side, F.col("player")))
 
-    grouped = (
-        with_player_names(lines(spark, sf_dir, with_place=True), spark, sf_dir)
-        .withColumns({"stretch": F.expr(f"row_index div {LINES_PER_DOCUMENT}"), "player": player})
-        .groupBy("game_no", "row_file", "stretch")
-        .agg(players("home").alias("home_players"), players("away").alias("away_players"))
-    )
-    doc = _boxscore_document({side: F.to_json(f"{side}_players") for side in ("home", "away")})
-    return grouped.join(_headers(spark, sf_dir), "game_no").select("dt", doc.alias("doc"))
+def boxscore_text(rows: DataFrame) -> DataFrame:
+    """Box score documents (dt, doc) of typed rows."""
+
+    def listed(row: Column) -> Column:
+        line = _line(lambda name: F.lit(None).cast("string") if name == "linestatus" else row[name])
+        return F.struct(
+            row["player_id"].alias("personId"),
+            row["player_name"].alias("name"),
+            row["position"].alias("position"),
+            line["starter"].cast("string").alias("starter"),
+            line["played"].alias("played"),
+            F.when(line["played"] == "0", "INACTIVE").alias("notPlayingReason"),
+            F.struct(*[line[c].alias(f) for c, f in schemas.STATISTIC_FIELDS.items()]).alias("statistics"),
+        )
+
+    doc = _boxscore_document({side: F.to_json(F.transform(f"{side}_players", listed)) for side in ("home", "away")})
+    return rows.select("dt", doc.alias("doc"))
+
+
+def boxscore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box score documents (dt, doc) of ``boxscore_rows``."""
+    return boxscore_text(boxscore_rows(spark, sf_dir))
 
 
 def landed_games(spark: SparkSession, sf_dir: str) -> DataFrame:
