@@ -52,7 +52,10 @@ def _boxscores_in_rounds(spark: SparkSession, sf_dir: str, write: Callable[[Data
 
 
 def parsed_boxscores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.parse_documents(bridge.boxscore_documents(spark, sf_dir), schemas.BOXSCORE_DOCUMENT)
+    path = scratch_path(spark, "boxscores")
+    _boxscores_in_rounds(spark, sf_dir, lambda rows: rows.write.mode("append").parquet(path))
+    stored = spark.read.schema(bridge.boxscore_rows(spark, sf_dir).schema).parquet(path)
+    return documents.parse_documents(bridge.boxscore_text(stored), schemas.BOXSCORE_DOCUMENT)
 
 
 def parsed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:

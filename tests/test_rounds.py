@@ -70,7 +70,7 @@ def in_some_rounds(monkeypatch, tables):
     return turns
 
 
-@pytest.mark.parametrize("name", ["file_scan_boxscores"])
+@pytest.mark.parametrize("name", ["player_lines", "file_scan_boxscores"])
 def test_no_shuffle_of_box_scores_stays_on_disk(spark, tables, monkeypatch, name):
     expected = bridge.silver_player_stats(spark, tables).drop("dt").collect()
     settings = (session.SHUFFLES_DROPPED, session.FIRST_PARTITIONS, *session.LEAST_PARTITIONS)
